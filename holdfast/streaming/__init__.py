@@ -1,0 +1,5 @@
+"""Nothing stateful to offer.
+
+Every fitted transform is a row-independent projection, so ``model.transform(stream)`` works on a
+streaming DataFrame without state, watermark or code of its own (tests/test_branches.py shows it).
+"""
