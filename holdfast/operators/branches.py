@@ -8,8 +8,9 @@ projection of the declared columns; every other column is left out of the vector
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -145,6 +146,10 @@ class FeatureBranches(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     def _fit(self, dataset: DataFrame) -> "BranchesModel":
         branches = self.branches()
         _check_columns(dataset, branches)
+        with held(dataset, [*_sources(branches), *self.getOrDefault(self.keyCols)]) as dataset:
+            return self._fit_held(dataset, branches)
+
+    def _fit_held(self, dataset: DataFrame, branches: Sequence[Branch]) -> "BranchesModel":
         knn = None
         if self.uses_knn:
             knn = KnnImputer(
@@ -160,7 +165,8 @@ class FeatureBranches(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         branches = self.branches()
         _check_columns(dataset, branches)
         fits = [_fit_all(branches, keep_where(F.col(fold) != i)) for i in range(n_splits)]
-        return [self._model(branches, found, None) for found in fit_together(dataset, fits)]
+        with held(dataset, [*_sources(branches), fold]) as dataset:
+            return [self._model(branches, found, None) for found in fit_together(dataset, fits)]
 
     def _model(self, branches, found, knn) -> "BranchesModel":
         model = BranchesModel(knn)._set(
@@ -180,6 +186,24 @@ def _fit_all(branches: Sequence[Branch], keep):
     })
 
 
+def _sources(branches: Sequence[Branch]) -> list[str]:
+    names = [s.removeprefix(_KNN) for _, sources, _ in branches for s in sources.values()]
+    return list(dict.fromkeys(names))
+
+
+@contextmanager
+def held(dataset: DataFrame, columns: Sequence[str]):
+    """The needed columns, persisted for a fit of several passes unless the caller did so already."""
+    if dataset.storageLevel != StorageLevel.NONE:
+        yield dataset
+        return
+    narrow = dataset.select(*[F.col(f"`{c}`") for c in dict.fromkeys(columns)]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield narrow
+    finally:
+        narrow.unpersist()
+
+
 def _check_columns(df: DataFrame, branches: Sequence[Branch]) -> None:
     for name, sources, _ in branches:
         absent = [c for c in sources if c not in df.columns]

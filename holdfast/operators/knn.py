@@ -68,19 +68,16 @@ def neighbours(
         tree = SpaceTree(np.zeros((0, len(dims))), 0)
     leaf = _leaf_udf(tree)
     point = F.array(*[F.col(c) for c in dims])
-    placed = donors.withColumn("leaf", leaf(point)).persist()
-    try:
-        boxes = placed.groupBy("leaf").agg(
-            *[f(c).alias(f"{n}{i}") for i, c in enumerate(dims) for n, f in (("lo", F.min), ("hi", F.max))]
-        ).toPandas()
-        reach = _reach_udf(
-            boxes["leaf"].to_numpy(dtype=np.int64),
-            boxes[[f"lo{i}" for i in range(len(dims))]].to_numpy(dtype=float),
-            boxes[[f"hi{i}" for i in range(len(dims))]].to_numpy(dtype=float),
-            scale,
-        )
-    finally:
-        placed.unpersist()
+    placed = donors.withColumn("leaf", leaf(point))
+    boxes = placed.groupBy("leaf").agg(
+        *[f(c).alias(f"{n}{i}") for i, c in enumerate(dims) for n, f in (("lo", F.min), ("hi", F.max))]
+    ).toPandas()
+    reach = _reach_udf(
+        boxes["leaf"].to_numpy(dtype=np.int64),
+        boxes[[f"lo{i}" for i in range(len(dims))]].to_numpy(dtype=float),
+        boxes[[f"hi{i}" for i in range(len(dims))]].to_numpy(dtype=float),
+        scale,
+    )
     asked = queries.select(*dims).distinct().select(*[F.col(c).alias(f"q{i}") for i, c in enumerate(dims)])
     asked_point = F.array(*[F.col(f"q{i}") for i in range(len(dims))])
     asked = asked.withColumn("home", leaf(asked_point))
@@ -90,7 +87,7 @@ def neighbours(
     nearest = Window.partitionBy(*point_columns).orderBy("d", "donor")
 
     def meet(points: DataFrame) -> DataFrame:
-        met = points.join(donors.withColumn("leaf", leaf(point)), "leaf").withColumn("d", distance)
+        met = points.join(placed, "leaf").withColumn("d", distance)
         return met.select(*point_columns, "d", "donor", "value")
 
     def closest(found: DataFrame) -> DataFrame:

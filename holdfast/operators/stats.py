@@ -12,6 +12,7 @@ statistics are found by counting rows in ever narrower brackets, each pass one s
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Generator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -322,6 +323,8 @@ def order_statistics(df: DataFrame, wanted: dict[str, Sequence[int]]) -> dict[st
     Each pass counts rows per bucket of every open bracket and keeps the bucket that holds the rank;
     a bucket's own minimum and maximum become the next bracket, so ties and gaps end it at once.
     """
+    if not wanted:
+        return {}
     edges = df.agg(*[f(c).alias(f"{c}_{n}") for c in wanted for n, f in (("min", F.min), ("max", F.max))]).first()
     found: dict[str, dict[int, float]] = {c: {} for c in wanted}
     # (column, low, high) -> [(rank, rows below low)]
@@ -355,8 +358,9 @@ def _bucket_counts(df: DataFrame, brackets: Sequence[tuple[str, float, float]])
     """Rows, minimum and maximum per bucket of each bracket: one pass, at most brackets x buckets rows."""
     cells = []
     for b, (c, low, high) in enumerate(brackets):
-        # Halved so that the width of a very wide bracket cannot overflow.
-        share = (F.col(c) / 2.0 - F.lit(low / 2.0)) / F.lit(high / 2.0 - low / 2.0)
+        # Halved only when the bracket is so wide that its width overflows.
+        half = 2.0 if math.isinf(high - low) else 1.0
+        share = (F.col(c) / half - F.lit(low / half)) / F.lit(high / half - low / half)
         bucket = F.least(F.floor(share * BRACKET_BUCKETS).cast("int"), F.lit(BRACKET_BUCKETS - 1))
         cell = F.struct(F.lit(b).alias("b"), bucket.alias("k"), F.col(c).alias("v"))
         cells.append(F.when(F.col(c).between(low, high), cell))
