@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from holdfast.sources.spread import spread
+
 KEY = "id"
 
 
@@ -66,7 +68,7 @@ def housing_sql(engine: str, source: str = "orders") -> str:
 
 
 def housing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey"))
     return spark.sql(housing_sql("spark", "{orders}"), orders=orders)
 
 

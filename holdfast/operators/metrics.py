@@ -55,21 +55,57 @@ def segment_table(
     masks: dict[str, Column] | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Metrics per segment, empty segments included with n = 0.
+    """Metrics per segment, in order, empty segments included with n = 0.
 
-    Segments overlap, so they are conditional aggregates of one pass, turned into rows afterwards:
-    no row is ever copied.
+    Segments overlap, but the cells they are made of do not: rows are summed up once per combination
+    of masks (four cells for the five segments), and the few cells are added up per segment. No row
+    is copied, and sums of squares are merged about the segment's mean.
     """
     masks = segments(F.col(label), F.col("ocean_proximity")) if masks is None else masks
-    wide = df.groupBy(*by).agg(*[
-        c.alias(f"{s}_{k}")
-        for s, mask in masks.items()
-        for k, c in metric_columns(F.col(label), F.col(prediction), mask).items()
-    ])
-    rows = F.array(*[
-        F.struct(F.lit(s).alias("segment"), *[F.col(f"{s}_{k}").alias(k) for k in METRIC_NAMES]) for s in masks
+    error = (F.col(label) - F.col(prediction)).cast("double")
+    y = F.when(error.isNotNull(), F.col(label).cast("double"))
+    flags = {f"__in{i}": F.coalesce(mask, F.lit(False)) for i, mask in enumerate(masks.values())}
+    cells = (
+        df.select(*by, y.alias("__y"), error.alias("__e"), *[m.alias(f) for f, m in flags.items()])
+        .groupBy(*by, *flags)
+        .agg(
+            F.count("__e").alias("n"), F.sum(F.col("__e") * F.col("__e")).alias("se"), F.sum(F.abs("__e")).alias("ae"),
+            F.avg("__y").alias("mean"), F.var_pop("__y").alias("var"),
+        )
+    )
+    if not by:
+        nothing = [F.lit(False)] * len(flags) + [F.lit(0).cast("bigint")] + [F.lit(0.0)] * 4
+        cells = cells.unionAll(df.sparkSession.range(1).select(*nothing))
+    hits = F.array(*[
+        F.struct(F.lit(i).alias("at"), F.lit(s).alias("segment"), F.col(f).alias("hit"))
+        for i, (s, f) in enumerate(zip(masks, flags))
     ])
-    return wide.select(*by, F.inline(rows))
+    part = cells.select(*by, "n", "se", "ae", "mean", "var", F.inline(hits))
+    part = part.withColumn("n", F.when(F.col("hit"), F.col("n")).otherwise(0))
+    inside = F.col("n") > 0
+    sums = part.groupBy(*by, "at", "segment").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.when(inside, F.col("se"))).alias("se"),
+        F.sum(F.when(inside, F.col("ae"))).alias("ae"),
+        # Var(y) of the union: variance within the cells plus variance of their means.
+        F.try_divide(F.sum(F.when(inside, F.col("n") * F.col("var"))), F.sum("n")).alias("within"),
+        F.try_divide(F.sum(F.when(inside, F.col("n") * F.col("mean"))), F.sum("n")).alias("mean"),
+        F.collect_list(F.when(inside, F.struct("n", "mean"))).alias("cells"),
+    )
+    between = F.aggregate(
+        "cells", F.lit(0.0), lambda acc, c: acc + c["n"] * (c["mean"] - F.col("mean")) * (c["mean"] - F.col("mean"))
+    )
+    spread = F.col("n") * F.col("within") + between
+    r2 = (
+        F.when(F.col("n") < 2, F.lit(None).cast("double"))
+        .when(spread > 0, 1.0 - F.try_divide(F.col("se"), spread))
+        .when(F.col("se") == 0, F.lit(1.0))
+        .otherwise(F.lit(0.0))
+    )
+    return sums.orderBy(*by, "at").select(
+        *by, "segment", F.sqrt(F.try_divide("se", "n")).alias("rmse"), F.try_divide("ae", "n").alias("mae"),
+        r2.alias("r2"), "n",
+    )
 
 
 def compare(results: dict[str, DataFrame]) -> DataFrame:

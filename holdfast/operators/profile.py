@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from holdfast import config
 from holdfast.functions import expressions as fx
+from holdfast.operators.stats import wide_agg
 
 
 def censoring(df: DataFrame, target: str = config.TARGET, cap=config.TARGET_CAP, floor=config.TARGET_FLOOR):
@@ -65,12 +66,9 @@ def geo_grid(df: DataFrame, cell: float = 0.5, target: str = config.TARGET) -> D
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair, over the rows that hold both; long form."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    one = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [(a, b, i) for i, (a, b) in enumerate(pairs)] + [(b, a, i) for i, (a, b) in enumerate(pairs) if a != b]
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("column"), F.lit(b).alias("other"), F.col(f"c{i}").alias("corr")) for a, b, i in cells
-    ])
-    return one.select(F.inline(rows))
+    found = wide_agg(df, {f"c{i}": F.corr(a, b) for i, (a, b) in enumerate(pairs)})
+    rows = [(x, y, found[f"c{i}"]) for i, (a, b) in enumerate(pairs) for x, y in dict.fromkeys([(a, b), (b, a)])]
+    return df.sparkSession.createDataFrame(rows, "column string, other string, corr double")
 
 
 def missing_by_level(df: DataFrame, column: str = "total_bedrooms", level: str = "ocean_proximity") -> DataFrame:

@@ -83,13 +83,15 @@ def up_to_cut(df: DataFrame, number: Column, cuts: dict[Any, int], group: Column
     return joined, number <= F.col("__cut")
 
 
-def global_rank(df: DataFrame, number: Column, name: str, n: int, by: Sequence[str] = (), ties: Sequence[str] = ()):
-    """Add the exact rank 1..n in hash order (within ``by``) as column ``name``.
+def global_rank(
+    df: DataFrame, number: Column, name: str, n: int, by: Sequence[str] = (), ties: Sequence[str] = (), groups: int = 1
+) -> DataFrame:
+    """Add the exact rank 1..n in hash order (within each of ``groups`` groups of ``by``) as column ``name``.
 
-    Buckets are ranked apart and shifted by the bucket counts before them: at most 65,536 small
-    rows per group of ``by``, which is why that table may be broadcast.
+    Buckets are ranked apart and shifted by the bucket counts before them. All groups together have
+    at most 65,536 buckets, which is why the table of counts may be broadcast.
     """
-    bits = prefix_bits(n, 4096)
+    bits = max(min(prefix_bits(n, 4096), 16 - math.ceil(math.log2(groups))), 0)
     rows = df.withColumn("__h", number).withColumn("__k", F.shiftright("__h", HASH_BITS - bits))
     here = F.row_number().over(Window.partitionBy(*by, "__k").orderBy("__h", *ties))
     if bits == 0:

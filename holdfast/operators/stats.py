@@ -24,9 +24,10 @@ from pyspark.sql import functions as F
 
 IN_MEMORY_ROWS = 2_000_000
 BRACKET_BUCKETS = 256
-#: Requests per job: wide aggregates outgrow what the JIT compiles, so they are dealt out.
+#: Aggregate functions per job. The loop of a wider aggregate outgrows what the JIT compiles (45
+#: correlations in one job took six times as long as in four), so wide requests are dealt out.
+PER_JOB = 12
 SPREADS_PER_JOB = 4
-SMALL_JOB = 16
 #: One output column per level: beyond this many levels a wide encoding is refused.
 MAX_LEVELS = 10_000
 
@@ -157,19 +158,29 @@ class _Reader:
         return self._rows
 
     def answer(self, asked: dict[int, dict[str, Any]]) -> dict[int, dict[str, Any]]:
-        """The jobs of one depth: one for all scalars, one for all spreads, one per grouping, side by side."""
-        requests = {(i, key): r for i, block in asked.items() for key, r in block.items()}
+        """The jobs of one depth, side by side: scalars and spreads dealt out, one per grouping."""
+        every = {(i, key): r for i, block in asked.items() for key, r in block.items()}
+        # Branches that share a column ask for the same median or the same levels: compute it once.
+        first: dict[str, tuple[int, str]] = {}
+        same = {w: first.setdefault(repr(r), w) for w, r in every.items() if isinstance(r, (Quantiles, Levels))}
+        requests = {w: r for w, r in every.items() if same.get(w, w) == w}
         found: dict[tuple[int, str], Any] = {}
-        jobs = [lambda part=part: self._scalars(part, found) for part in self._scalar_parts(requests)]
+        scalars = {w: r for w, r in requests.items() if isinstance(r, (Agg, Quantiles))}
+        if any(isinstance(r, Quantiles) and r.exact for r in scalars.values()):
+            _ = self.rows  # counted once, before the jobs that ask for it
+        jobs = [lambda part=part: self._scalars(part, found) for part in _by_width(scalars)]
         jobs += [
             lambda part=part: self._spreads(part, found)
             for part in _parts({w: r for w, r in requests.items() if isinstance(r, Spread)}, SPREADS_PER_JOB)
         ]
+        ranked = {w: r for w, r in scalars.items() if isinstance(r, Quantiles) and r.exact}
+        if ranked and self.rows > self.in_memory_rows:
+            jobs.append(lambda: found.update(_quantiles_by_rank(self.df, ranked)))
         for where, request in requests.items():
             if isinstance(request, (Levels, Grouped)):
                 jobs.append(lambda w=where, r=request: found.__setitem__(w, self._grouped(r)))
         side_by_side(jobs)
-        return {i: {key: found[(i, key)] for key in block} for i, block in asked.items()}
+        return {i: {key: found[same.get((i, key), (i, key))] for key in block} for i, block in asked.items()}
 
     def _grouped(self, request: Levels | Grouped) -> list:
         if isinstance(request, Levels):
@@ -178,14 +189,6 @@ class _Reader:
         grouped = rows.groupBy(*[F.expr(text).alias(k) for k, text in request.keys.items()])
         return [r.asDict() for r in grouped.agg(*[F.expr(t).alias(k) for k, t in request.columns.items()]).collect()]
 
-    def _scalar_parts(self, requests: dict[Any, Any]) -> list[dict]:
-        """One pass for everything on big data; on small data several short ones side by side."""
-        scalars = {w: r for w, r in requests.items() if isinstance(r, (Agg, Quantiles))}
-        exact = any(isinstance(r, Quantiles) and r.exact for r in scalars.values())
-        if exact and len(scalars) > SMALL_JOB and self.rows <= self.in_memory_rows:
-            return _parts(scalars, SMALL_JOB)
-        return [scalars] if scalars else []
-
     def _spreads(self, requests: dict[Any, Spread], found) -> None:
         most = max(len(r.points) for r in requests.values())
         rows = self.df.select(
@@ -205,14 +208,12 @@ class _Reader:
         inputs: dict[str, Column] = {}
         outputs: list[Column] = []
         readers: list[tuple[tuple[int, str], Any]] = []
-        ranked: dict[tuple[int, str], Quantiles] = {}
         for n, (where, request) in enumerate(requests.items()):
             if isinstance(request, Agg):
                 outputs += [c.alias(f"a{n}_{k}") for k, c in request.columns.items()]
                 readers.append((where, lambda row, n=n, r=request: {k: row[f"a{n}_{k}"] for k in r.columns}))
             elif isinstance(request, Quantiles):
                 if request.exact and self.rows > self.in_memory_rows:
-                    ranked[where] = request
                     continue
                 inputs[f"q{n}"] = request.column.cast("double")
                 outputs += _quantile_columns(f"q{n}", request)
@@ -221,8 +222,6 @@ class _Reader:
             row = self.df.withColumns(inputs).agg(*outputs).first()
             for where, read in readers:
                 found[where] = read(row)
-        if ranked:
-            found.update(_quantiles_by_rank(self.df, ranked))
 
 
 def _parts(requests: dict, size: int) -> list[dict]:
@@ -230,6 +229,28 @@ def _parts(requests: dict, size: int) -> list[dict]:
     return [dict(items[at:at + size]) for at in range(0, len(items), size)]
 
 
+def _by_width(requests: dict) -> list[dict]:
+    """Requests packed into jobs of about PER_JOB aggregate functions."""
+    parts: list[dict] = []
+    room = 0
+    for where, request in requests.items():
+        width = len(request.columns) if isinstance(request, Agg) else 1 + bool(request.parts)
+        if width > room or not parts:
+            parts.append({})
+            room = PER_JOB
+        parts[-1][where] = request
+        room -= width
+    return parts
+
+
+def wide_agg(df: DataFrame, columns: dict[str, Column], per_job: int = PER_JOB) -> dict[str, Any]:
+    """Many aggregates of one table, dealt into jobs the JIT can compile, as one dict."""
+    rows = side_by_side([
+        lambda part=part: df.agg(*_named(part)).first().asDict() for part in _parts(columns, per_job)
+    ])
+    return {k: v for row in rows for k, v in row.items()}
+
+
 def number_array(values: Sequence[float]) -> Column:
     """A literal array of doubles, as one expression."""
     return F.expr(f"array({', '.join(sql_double(v) for v in values)})")

@@ -43,7 +43,9 @@ def permuted(
         .select("column", "repeat", *keys, number.alias("__number"), word.alias("__word"))
     )
     order = F.md5(key_text(F.lit(str(seed)), F.col("column"), F.col("repeat"), *[F.col(k) for k in keys]))
-    away = global_rank(away, hash_number(order), "place", n, by=["column", "repeat"], ties=keys)
+    away = global_rank(
+        away, hash_number(order), "place", n, by=["column", "repeat"], ties=keys, groups=len(columns) * n_repeats
+    )
     away = away.select("column", "repeat", "place", "__number", "__word")
     out = home.join(away, ["column", "repeat", "place"])
     types = dict(df.dtypes)

@@ -12,6 +12,7 @@ from holdfast import config
 from holdfast.errors import DataNotFoundError
 from holdfast.functions.expressions import nan_to_null
 from holdfast.operators.contract import HOUSING, Contract
+from holdfast.sources.spread import spread
 
 
 def _files(spark: SparkSession, path: str, name: str | None = None) -> list[str]:
@@ -73,9 +74,9 @@ def read_csv(spark: SparkSession, path: str, contract: Contract = HOUSING, *, ch
     if checked:
         raw = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).csv(path, header=True)
         contract.check_missing(raw, require_target=False)
-        return nan_to_null(contract.cast_text(raw))
+        return nan_to_null(contract.cast_text(spread(raw)))
     typed = T.StructType([T.StructField(c, known.get(c, T.StringType())) for c in header])
-    return nan_to_null(spark.read.schema(typed).csv(path, header=True, mode="FAILFAST"))
+    return nan_to_null(spread(spark.read.schema(typed).csv(path, header=True, mode="FAILFAST")))
 
 
 def load_raw(

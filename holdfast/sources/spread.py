@@ -1,0 +1,13 @@
+"""Partitions for small inputs."""
+
+from pyspark.sql import DataFrame
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain scan of few small files, dealt out over the cores.
+
+    Spark makes one task of a small file, and every later pass would keep to that one core. A scan
+    that already has a task per core (any large one) is left as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
