@@ -34,10 +34,10 @@ LINEAR = interpret.LinearScorer(
 )
 #: The tree queries fit the same learners with fewer rounds than the tuned ones.
 SHORT = {
-    "rf": {"n_estimators": 20, "max_depth": 10},
-    "lgbm": {"n_estimators": 10, "num_leaves": 31},
-    "xgb": {"n_estimators": 10, "max_depth": 5},
-    "hgb": {"max_iter": 10, "max_leaf_nodes": 31},
+    "rf": {"n_estimators": 10, "max_depth": 8},
+    "lgbm": {"n_estimators": 5, "num_leaves": 31},
+    "xgb": {"n_estimators": 5, "max_depth": 5},
+    "hgb": {"max_iter": 5, "max_leaf_nodes": 31},
 }
 
 
@@ -837,7 +837,6 @@ def model_ridge(spark, d):
 def _tree(name):
     def run(spark, d):
         train, test = split.split_train_test(housing(spark, d), KEY)
-        train = train.repartitionByRange(8, "id").sortWithinPartitions("id")
         estimator = models.tuned_estimator(name, **SHORT[name])
         fitted_chain = models.model_chain(estimator, **{**models.tuned_preprocess(name), "deskew": "log"}).fit(train)
         return fitted_chain.transform(test).select("id", Y, "prediction")

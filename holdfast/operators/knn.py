@@ -88,6 +88,8 @@ def neighbours(
 
     def meet(points: DataFrame) -> DataFrame:
         met = points.join(placed, "leaf").withColumn("d", distance)
+        if "radius" in points.columns:
+            met = met.where(F.col("d") <= F.col("radius"))
         return met.select(*point_columns, "d", "donor", "value")
 
     def closest(found: DataFrame) -> DataFrame:
@@ -95,10 +97,13 @@ def neighbours(
 
     first = closest(meet(asked.withColumn("leaf", F.col("home"))))
     radius = first.groupBy(*point_columns).agg(F.max(F.when(F.col("place") == k, F.col("d"))).alias("radius"))
-    wider = asked.join(radius, point_columns, "left").withColumn(
-        "leaf", F.explode(reach(asked_point, F.coalesce("radius", F.lit(float("inf"))), F.col("home")))
+    wider = (
+        asked.join(radius, point_columns, "left")
+        .withColumn("radius", F.coalesce("radius", F.lit(float("inf"))))
+        .withColumn("leaf", F.explode(reach(asked_point, F.col("radius"), F.col("home"))))
     )
-    found = closest(first.drop("place").unionByName(meet(wider.select(*point_columns, "leaf"))))
+    # Pairs beyond the radius end in the join: what is sorted afterwards is about k rows per query.
+    found = closest(first.drop("place").unionByName(meet(wider.select(*point_columns, "leaf", "radius"))))
     return found.select(*[F.col(q).alias(c) for q, c in zip(point_columns, dims)], "d", "donor", "value")
 
 

@@ -1,8 +1,8 @@
 """Exact ranks in hash order, without ever sorting a whole table in one task.
 
 The order is that of a uniform 52-bit number. A prefix of it cuts the table into buckets of like
-size whatever the data holds, so "the r-th smallest" needs bucket counts (one small shuffle) and a
-look into one bucket. Split, folds and samples then become a comparison with a literal.
+size whatever the data holds, so "the r-th smallest" needs bucket counts (small shuffles) and a look
+into one bucket. Split, folds and samples then become a comparison with a literal.
 """
 
 from __future__ import annotations
@@ -20,6 +20,10 @@ ALL_ROWS = (1 << HASH_BITS) - 1
 NO_ROWS = -1
 #: Groups whose cuts travel as literals; beyond it, as a broadcast table.
 LITERAL_GROUPS = 200
+#: Hash bits counted per pass: a task sends at most 1,024 counts per open bucket.
+PASS_BITS = 10
+#: Rows that may be left to rank directly, over all groups.
+RANKED_ROWS = 200_000
 
 
 def prefix_bits(n: int, per_bucket: int) -> int:
@@ -33,37 +37,51 @@ def hash_cuts(
     sizes: dict[Any, int],
     group: Column | None = None,
 ) -> dict[Any, list[int]]:
-    """For each group the hash numbers at the wanted ranks (1 = smallest)."""
+    """For each group the hash numbers at the wanted ranks (1 = smallest).
+
+    Each pass counts rows per next ten bits of the hash, in the buckets that still hold a wanted
+    rank, and keeps the one bucket per rank: a small shuffle that narrows a thousandfold. When few
+    rows are left they are ranked as they are.
+    """
     group = F.lit("all") if group is None else group
-    inner = [(g, r) for g, ranks in wanted.items() for r in ranks if 0 < r < sizes[g]]
-    found: dict[tuple[Any, int], int] = {}
-    if inner:
-        bits = prefix_bits(max(sizes.values()), 64)
-        rows = df.select(group.alias("g"), number.alias("h")).where("g is not null")
-        rows = rows.withColumn("k", F.shiftright("h", HASH_BITS - bits))
-        asked = df.sparkSession.createDataFrame(inner, f"g {_type(df, group)}, r bigint")
-        running = Window.partitionBy("g").orderBy("k")
-        edges = (
-            rows.groupBy("g", "k").count()
+    spark, kind = df.sparkSession, _type(df, group)
+    rows = df.select(group.alias("g"), number.alias("h")).where("g is not null")
+    # (group, rank) -> (prefix of the bucket that holds it, place in the bucket, rows in the bucket)
+    places = {(g, r): (0, r, sizes[g]) for g, ranks in wanted.items() for r in ranks if 0 < r < sizes[g]}
+    used = 0
+
+    def held_in() -> DataFrame:
+        listed = [(g, r, prefix, place) for (g, r), (prefix, place, _) in places.items()]
+        return F.broadcast(spark.createDataFrame(listed, f"g {kind}, r bigint, prefix bigint, place bigint"))
+
+    def inside() -> DataFrame:
+        tagged = rows.withColumn("prefix", F.shiftright("h", HASH_BITS - used))
+        return tagged.join(F.broadcast(held_in().select("g", "prefix").distinct()), ["g", "prefix"], "left_semi")
+
+    while used < HASH_BITS and sum({(g, p[0]): p[2] for (g, _), p in places.items()}.values()) > RANKED_ROWS:
+        bits = min(PASS_BITS, HASH_BITS - used)
+        running = Window.partitionBy("g", "prefix").orderBy("k")
+        counted = (
+            inside().withColumn("k", F.shiftright("h", HASH_BITS - used - bits))
+            .groupBy("g", "prefix", "k").count()
             .withColumn("upto", F.sum("count").over(running))
-            .join(F.broadcast(asked), "g")
-            .where("upto >= r and upto - count < r")
-            .select("g", "k", "r", (F.col("r") - F.col("upto") + F.col("count")).alias("place"))
-            .collect()
+            .join(held_in(), ["g", "prefix"])
+            .where("upto >= place and upto - count < place")
+            .select("g", "r", "k", F.expr("place - upto + count"), "count")
         )
-        places = df.sparkSession.createDataFrame(
-            [tuple(e) for e in edges], f"g {_type(df, group)}, k bigint, r bigint, place bigint"
-        )
-        inside = Window.partitionBy("g", "k").orderBy("h")
+        places = {(g, r): (k, place, size) for g, r, k, place, size in counted.collect()}
+        used += bits
+    found: dict[tuple[Any, int], int] = {}
+    if places:
+        order = Window.partitionBy("g", "prefix").orderBy("h")
         hits = (
-            rows.join(F.broadcast(places.select("g", "k").distinct()), ["g", "k"], "left_semi")
-            .withColumn("place", F.row_number().over(inside).cast("bigint"))
-            .withColumn("after", F.lead("h").over(inside))
-            .join(F.broadcast(places), ["g", "k", "place"])
+            inside()
+            .withColumn("place", F.row_number().over(order).cast("bigint"))
+            .withColumn("after", F.lead("h").over(order))
+            .join(held_in(), ["g", "prefix", "place"])
             .select("g", "r", "h", "after")
-            .collect()
         )
-        for g, r, h, after in hits:
+        for g, r, h, after in hits.collect():
             if h == after:
                 raise ValueError("the key columns do not tell rows apart: no exact cut exists")
             found[(g, r)] = h

@@ -291,7 +291,7 @@ def _quantile_columns(name: str, request: Quantiles) -> list[Column]:
     probs = F.array(*[F.lit(float(p)) for p in request.probs])
     if request.exact:
         return [F.percentile(name, probs).alias(f"{name}_0")]
-    return [F.percentile_approx(name, probs, 100_000).alias(f"{name}_0")]
+    return [F.percentile_approx(name, probs, 10_000).alias(f"{name}_0")]
 
 
 def _quantile_values(row, name: str, request: Quantiles) -> list[float] | None:

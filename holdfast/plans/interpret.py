@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from holdfast import config
 from holdfast.functions.keys import hash_number, key_text, seeded_md5
+from holdfast.operators.branches import held
 from holdfast.operators.rank import global_rank
 from holdfast.operators.stats import Quantiles, fit_one
 
@@ -26,8 +27,7 @@ def permuted(
     tag. Both orders are uniform, so ranks come from buckets of like size and the join has no hot
     key, whatever the columns hold.
     """
-    rows = df.persist()
-    n = rows.count()
+    rows, n = df, df.count()
     tags = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(r).alias("repeat")) for c in columns for r in range(n_repeats)])
     home = global_rank(rows, hash_number(seeded_md5(seed, keys)), "place", n, ties=keys)
     home = home.withColumn("tag", F.explode(tags)).select("*", "tag.*").drop("tag")
@@ -69,11 +69,14 @@ def importance_table(
     """RMSE increase when one RAW column is shuffled: mean and spread over the repeats, largest first."""
     columns = list(columns or [*config.NUMERIC_COLUMNS, *config.CATEGORICAL_COLUMNS])
     squared = F.pow(F.col(label) - F.col("prediction"), 2)
-    base = model.transform(df).agg(F.sqrt(F.avg(squared)).alias("rmse")).first()["rmse"]
-    shuffled = permuted(df, columns, keys, n_repeats=n_repeats, seed=seed)
-    scored = model.transform(shuffled).groupBy("column", "repeat").agg(
-        (F.sqrt(F.avg(squared)) - F.lit(base)).alias("increase")
-    )
+    with held(df, list(dict.fromkeys([*keys, *columns, label, *_contract_columns(df)]))) as rows:
+        base = model.transform(rows).agg(F.sqrt(F.avg(squared)).alias("rmse")).first()["rmse"]
+        shuffled = permuted(rows, columns, keys, n_repeats=n_repeats, seed=seed)
+        scored = model.transform(shuffled).groupBy("column", "repeat").agg(
+            (F.sqrt(F.avg(squared)) - F.lit(base)).alias("increase")
+        )
+        # One number per column and repeat: the answer is small by construction.
+        scored = df.sparkSession.createDataFrame(scored.collect(), scored.schema)
     return (
         scored.groupBy("column")
         .agg(F.avg("increase").alias("rmse_increase"), F.stddev_pop("increase").alias("std"))
@@ -81,6 +84,11 @@ def importance_table(
     )
 
 
+def _contract_columns(df: DataFrame) -> list[str]:
+    """Columns of the contract the frame holds: a chain reads no others."""
+    return [c for c in config.SCHEMA.fieldNames() if c in df.columns]
+
+
 def importance_flag(table: DataFrame) -> DataFrame:
     """Mark columns whose spread reaches zero."""
     return table.withColumn("unsupported", F.col("rmse_increase") - F.col("std") <= 0)

@@ -94,8 +94,8 @@ def test_sample_is_exact(house, n):
 
 
 def test_hot_stratum_and_many_buckets(spark, monkeypatch):
-    """Two thirds of the rows in one group; buckets forced small so that the prefix search works."""
-    monkeypatch.setattr(rank, "prefix_bits", lambda n, per_bucket: 10)
+    """Two thirds of the rows in one group; the search is forced through every pass."""
+    monkeypatch.setattr(rank, "RANKED_ROWS", 0)
     df = spark.range(30000).select("id", F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 5)).alias("lv"))
     found = split.strata(df, F.lit(1), F.col("lv"))
     sided = split.with_side(df, found, ["id"])
@@ -115,6 +115,14 @@ def sided_ids(house):
     return split.with_side(house, found, ["id"]).select("id", "side").collect()
 
 
+@pytest.mark.parametrize("bits, left", [(3, 50), (10, 300), (52, 0)])
+def test_cuts_do_not_depend_on_the_passes(house, monkeypatch, bits, left):
+    want = {tuple(r) for r in split.with_fold(house, ["id"], 7).select("id", "fold").collect()}
+    monkeypatch.setattr(rank, "RANKED_ROWS", left)
+    monkeypatch.setattr(rank, "PASS_BITS", min(bits, 30))
+    assert {tuple(r) for r in split.with_fold(house, ["id"], 7).select("id", "fold").collect()} == want
+
+
 def test_keys_that_do_not_tell_rows_apart_are_refused(frame):
     df = frame([(1,)] * 20, "id int")
     with pytest.raises(ValueError, match="key columns"):
