@@ -2,8 +2,8 @@
 
 A fit is a generator. It yields the statistics it needs next, receives their values, and returns a
 small JSON-able state. ``fit_together`` advances any number of fits in step and answers everything
-they ask for at the same depth with ONE aggregation over the data, so six feature branches times
-five folds cost as many scans as the deepest single branch.
+they ask for at the same depth together, in a few jobs side by side, so six feature branches times
+five folds need only as many rounds as the deepest single branch.
 
 Exact quantiles never put a column into one task: up to ``IN_MEMORY_ROWS`` rows Spark's own
 ``percentile`` is used (its buffer is then bounded by that count); beyond it the wanted order
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 IN_MEMORY_ROWS = 2_000_000
 BRACKET_BUCKETS = 256
-#: Aggregate functions per job. The loop of a wider aggregate outgrows what the JIT compiles (45
-#: correlations in one job took six times as long as in four), so wide requests are dealt out.
+#: Aggregate functions per job. 45 correlations in one job took six times as long as in four (150,000
+#: cached rows), probably because the loop outgrows what the JIT compiles: wide requests are dealt out.
 PER_JOB = 12
 SPREADS_PER_JOB = 4
 #: One output column per level: beyond this many levels a wide encoding is refused.
