@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import quality, shards
+from holdfast.llm import decontaminate, quality, shards, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: four-word shingles, at most four of 64 bits apart."""
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), simhash.Ring())
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, base verdict and the whole rule table's verdict on every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -27,9 +32,42 @@ def op4_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_records(_table(spark, sf_dir, "documents"), [1.0] * 24, grown=1.0)
 
 
+def op10_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a window of a benchmark item, and the items."""
+    docs, items = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark")
+    c = "contamination"
+    hit = F.aggregate(f"{c}.spans", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
+    return decontaminate.contamination(docs, items).select(
+        "doc_id", f"{c}.n_words", hit.alias("n_hit"), F.size(f"{c}.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(f"{c}.items", ","), 256).alias("items_sha256"), (F.size(f"{c}.spans") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
+    "op1_simhash_components": op1_simhash_components,
     "op2_quality_rules": op2_quality_rules,
     "op4_rendezvous_shards": op4_rendezvous_shards,
+    "op10_benchmark_windows": op10_benchmark_windows,
 }
 
-ORACLE: dict[str, str] = {}
+#: SQL's words: as the operators cut them.
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+
+ORACLE: dict[str, str] = {
+    "op10_benchmark_windows": r"""
+with d as (select doc_id, list_filter(string_split_regex(lower_ascii, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as ws
+           from (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as lower_ascii from documents)),
+b as (select item_id, list_filter(string_split_regex(lower_ascii, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as ws
+      from (select item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as lower_ascii from benchmark)),
+wins as (select distinct item_id, least(len(ws), 10) as n, list_slice(ws, i, i + least(len(ws), 10) - 1) as win
+         from (select item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) as i from b where len(ws) > 0)),
+sizes as (select distinct n from wins),
+spots as (select doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) as i from d, sizes where len(ws) >= n),
+hits as (select s.doc_id, s.i, s.n, w.item_id from (select doc_id, n, i, list_slice(ws, i, i + n - 1) as win from spots) s join wins w on s.n = w.n and s.win = w.win),
+words as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hits) group by doc_id),
+items as (select doc_id, count(*) as n_items, string_agg(name, ',' order by name) as names
+          from (select distinct doc_id, cast(item_id as varchar) as name from hits) group by doc_id)
+select d.doc_id, len(d.ws) as n_words, coalesce(w.n_hit, 0) as n_hit, coalesce(i.n_items, 0) as n_items,
+       sha256(coalesce(i.names, '')) as items_sha256, coalesce(w.n_hit, 0) > 0 as contaminated
+from d left join words w on d.doc_id = w.doc_id left join items i on d.doc_id = i.doc_id""",
+}
