@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import decontaminate, quality, shards, simhash
+from holdfast.llm import decontaminate, pieces, quality, shards, simhash, token_counts
+from holdfast.llm.common import text_of
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,24 @@ def op4_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_records(_table(spark, sf_dir, "documents"), [1.0] * 24, grown=1.0)
 
 
+def op7_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, and whether they decode to its text (U+2581 read as the space that the model takes it for)."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", text_of("text").alias("text"))
+    both = pieces.decode(pieces.encode(docs))
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
+        (F.col("decoded") == F.translate("text", pieces.SPACE, " ")).alias("round_trip"),
+    )
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs).select(
+        "doc_id", F.octet_length(text_of("text")).cast("long").alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit")
+    )
+
+
 def op10_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that stand in a window of a benchmark item, and the items."""
     docs, items = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark")
@@ -47,6 +66,8 @@ QUERIES = {
     "op1_simhash_components": op1_simhash_components,
     "op2_quality_rules": op2_quality_rules,
     "op4_rendezvous_shards": op4_rendezvous_shards,
+    "op7_piece_ids": op7_piece_ids,
+    "op9_token_counts": op9_token_counts,
     "op10_benchmark_windows": op10_benchmark_windows,
 }
 
