@@ -25,22 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.common import text_of
+from holdfast.llm.common import folded_words, text_of
 
 WINDOW = 10
 #: Distinct windows that are broadcast at a time.
 BLOCK_WINDOWS = 100_000
 
-#: Words are runs of digits, letters and anything beyond ASCII; A-Z are lower-cased.
-_FOLD = bytes(
-    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
-)
-
-
-def folded_words(text: bytes) -> list[bytes]:
-    return text.translate(_FOLD).split()
-
-
 class Probe(NamedTuple):
     """A window as found from its rarest word: the word's place in it, all its words, the items that have it."""
 

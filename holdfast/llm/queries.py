@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import chat, decontaminate, pieces, quality, shards, simhash, token_counts
+from holdfast.llm import chat, decontaminate, licenses, pieces, quality, shards, simhash, token_counts
 from holdfast.llm.common import text_of
 
 
@@ -44,6 +44,19 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(turns.select("conv_id", "turn", "role", "text").unionByName(own)))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licenses that every document names: the best-covered one, and all of them with the words they stand in."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan_licenses(docs)
+    best = F.array_sort("licenses", lambda a, b: F.when(a["coverage"] != b["coverage"], F.when(a["coverage"] > b["coverage"], -1).otherwise(1)).otherwise(
+        (a["start"] - b["start"]).cast("int")))
+    spans = F.transform("licenses", lambda m: F.concat_ws(":", m["license"], m["start"], m["end"]))
+    return found.select(
+        "doc_id", F.size("licenses").cast("long").alias("n_licenses"), F.get(best, F.lit(0))["license"].alias("license"),
+        F.get(best, F.lit(0))["coverage"].alias("coverage"), F.array_join(spans, ",").alias("places"),
+    )
+
+
 def op7_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, and whether they decode to its text (U+2581 read as the space that the model takes it for)."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", text_of("text").alias("text"))
@@ -78,6 +91,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op4_rendezvous_shards": op4_rendezvous_shards,
     "op5_chat_format": op5_chat_format,
+    "op6_license_scan": op6_license_scan,
     "op7_piece_ids": op7_piece_ids,
     "op9_token_counts": op9_token_counts,
     "op10_benchmark_windows": op10_benchmark_windows,
