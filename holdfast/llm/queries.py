@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import chat, decontaminate, licenses, pieces, quality, shards, simhash, token_counts
+from holdfast.llm import chat, decontaminate, licenses, lm, pieces, quality, shards, simhash, token_counts
 from holdfast.llm.common import text_of
 
 
@@ -28,6 +28,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_mixed_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability under the unigram base and under the mixed model, learned from the rest of the table."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
+    return lm.score(docs).select(columns)
+
+
 def op4_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of 24 and its slot there, and its shard of 25."""
     return shards.shard_records(_table(spark, sf_dir, "documents"), [1.0] * 24, grown=1.0)
@@ -89,6 +96,7 @@ def op10_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_components": op1_simhash_components,
     "op2_quality_rules": op2_quality_rules,
+    "op3_mixed_lm": op3_mixed_lm,
     "op4_rendezvous_shards": op4_rendezvous_shards,
     "op5_chat_format": op5_chat_format,
     "op6_license_scan": op6_license_scan,
