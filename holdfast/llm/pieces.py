@@ -20,6 +20,7 @@ itself takes for a space. Rows alike get rows alike; nothing is shuffled; an emp
 
 from __future__ import annotations
 
+import gc
 import os
 from array import array
 from collections import Counter
@@ -38,7 +39,7 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Words of at most so many characters are remembered, the last so many and at most as many before them.
 KEPT_CHARS = 64
-KEPT_WORDS = 300_000
+KEPT_WORDS = 400_000
 
 
 def model_path(model: str) -> str:
@@ -80,6 +81,10 @@ def _spaced_keys(text: str) -> list[str]:
         if run:
             keys.append(SPACE * (run - 1))
     return keys
+#: Pairs of pieces remembered.
+PAIRS = 500_000
+#: The best path to a boundary: its weight, the boundary before, the piece between, what may follow that piece.
+Path = tuple[float, int, str, dict[str, bool]]
 
 
 class Lattice:
@@ -104,8 +109,14 @@ class Lattice:
         self.tied = {p for p, (_, score) in pieces.items() if len(p) > 1 and count[score] > 1}
         self.halves: dict[str, tuple[str, str]] = {}
         self.edge = lru_cache(1 << 17)(self._edge)
-        self.open = lru_cache(1 << 19)(self._left_alone) if merges else (lambda before, piece: True)
+        self.merges = merges
+        self.single = {p for p in pieces if len(p) == 1}
+        #: for each piece the pieces asked about after it, and the answers
+        self.after: dict[str, dict[str, bool]] = {}
+        self.asked = 0
         inner = [p for p in pieces if len(p) > 1]
+        #: characters that stand side by side within a piece; all paths meet between any other two
+        self.beside = {p[i : i + 2] for p in inner for i in range(len(p) - 1)}
         self.words_apart = not any(SPACE in p.lstrip(SPACE) or "\n" in p for p in inner)
 
     def _merged(self, text: str) -> list[str]:
@@ -158,54 +169,76 @@ class Lattice:
             else:
                 bound, j = b + 1, j + 1
 
+    def _edge_open(self, after: dict[str, bool], before: str, piece: str) -> bool:
+        """Whether ``piece`` may follow ``before``; remembered in ``after``."""
+        if self.asked >= PAIRS:
+            self.asked = 0
+            self.after.clear()
+        self.asked += 1
+        found = after[piece] = not self.merges or not before or self._left_alone(before, piece)
+        return found
+
+    def _path(self, weight: float, back: int, piece: str) -> Path:
+        after = self.after.get(piece)
+        if after is None:
+            after = self.after[piece] = {}
+        return (weight, back, piece, after)
+
     def ids(self, chars: str) -> Iterator[list[int]]:
         """The ids of ``chars`` in runs, each given out as soon as it is final."""
-        root, is_open = self.trie, self.open
-        #: boundary: (weight, the boundary before, the piece between; of an unknown character too)
-        paths: dict[int, tuple[float, int, str]] = {0: (0.0, -1, "")}
+        root, single, merges = self.trie, self.single, self.merges
+        here: Path | None = self._path(0.0, -1, "")
+        paths: dict[int, Path] = {0: here}
         done = 0
         #: the living part of the lattice: where a piece began, the path that leads there, the node of what has been read of it
-        live: list[tuple[int, tuple[float, int, str], dict]] = []
+        live: list[tuple[int, Path, dict]] = []
         for at, char in enumerate(chars):
-            if at in paths:
-                live.append((at, paths[at], root))
+            if here is not None:
+                live.append((at, here, root))
             best, still = None, []
-            for start, path, node in live:
-                node = node.get(char)
+            for item in live:
+                node = item[2].get(char)
                 if node is None:
-                    if start == at and (best is None or path[0] > best[0]):
-                        best = (path[0], start, char)
                     continue
                 found = node.get("")
-                if found is not None:
-                    weight = path[0] + found[1]
-                    if (best is None or weight > best[0]) and (not path[2] or is_open(path[2], found[0])):
-                        best = (weight, start, found[0])
-                    if len(node) > 1:
-                        still.append((start, path, node))
-                else:
-                    if start == at and (best is None or path[0] > best[0]):
-                        best = (path[0], start, char)
-                    still.append((start, path, node))
+                if found is None:
+                    still.append((item[0], item[1], node))
+                    continue
+                if len(node) > 1:
+                    still.append((item[0], item[1], node))
+                path = item[1]
+                #: merges leave one open edge to a boundary, so the first is the best
+                if best is None or (not merges and path[0] + found[1] > best[0]):
+                    is_open = path[3].get(found[0])
+                    if is_open or (is_open is None and self._edge_open(path[3], path[2], found[0])):
+                        best = (path[0] + found[1], item[0], found[0])
+            if char not in single and here is not None and (best is None or here[0] > best[0]):
+                best = (here[0], at, char)
             live = still
             end = at + 1
+            here = None
             if best is not None:
-                paths[end] = best
+                paths[end] = here = self._path(*best)
             if not live:
                 yield self._final(paths, done, end)
-                done, paths = end, {end: (0.0, -1, best[2])}
+                done, paths = end, {end: here}
             elif end - done >= 4 * self.longest:
-                meet = self._meeting(paths, [start for start, _, _ in live] + ([end] if best is not None else []), done)
+                meet = self._meeting(paths, [start for start, _, _ in live] + ([end] if here is not None else []), done)
                 if meet > done:
                     yield self._final(paths, done, meet)
                     paths = {b: p for b, p in paths.items() if b >= meet}
-                    paths[meet] = (paths[meet][0], -1, paths[meet][2])
                     done = meet
         if done < len(chars):
             yield self._final(paths, done, len(chars))
 
+    def parts(self, chars: str) -> list[str]:
+        """``chars`` cut wherever no piece can hold both neighbours."""
+        beside = self.beside
+        cuts = [i for i in range(1, len(chars)) if chars[i - 1 : i + 1] not in beside]
+        return [chars[a:b] for a, b in zip([0, *cuts], [*cuts, len(chars)], strict=True)]
+
     @staticmethod
-    def _meeting(paths: dict[int, tuple[float, int, str]], ends: list[int], done: int) -> int:
+    def _meeting(paths: dict[int, Path], ends: list[int], done: int) -> int:
         """The last boundary that the paths to all ``ends`` pass through."""
         ends = sorted(set(ends))
         while len(ends) > 1:
@@ -215,10 +248,10 @@ class Lattice:
                 ends = sorted([*ends, before])
         return ends[0]
 
-    def _final(self, paths: dict[int, tuple[float, int, str]], done: int, end: int) -> list[int]:
+    def _final(self, paths: dict[int, Path], done: int, end: int) -> list[int]:
         back: list[str] = []
         while end > done:
-            _, before, piece = paths[end]
+            _, before, piece, _ = paths[end]
             back.append(piece)
             end = before
         ids: list[int] = []
@@ -228,8 +261,8 @@ class Lattice:
         return ids
 
 
-class Encoder:
-    """Encodes and decodes whole texts with one model; holds the worker's cache of words."""
+class Vocabulary:
+    """A model file's pieces."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -237,19 +270,32 @@ class Encoder:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
         plain = [i for i in range(len(names)) if not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i) or model.is_unused(i))]
-        byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        pieces = {names[i]: (i, model.get_score(i)) for i in plain}
-        scores = sorted({s for _, s in pieces.values()})
-        #: merge ranks are whole numbers from 0 down, log probabilities are not
-        merges = all(float(s).is_integer() for s in scores)
-        self.lattice = Lattice(pieces, byte_ids, merges)
+        self.byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        self.pieces = {names[i]: (i, model.get_score(i)) for i in plain}
         self.text_of_id = [b""] * len(names)
         for i in plain:
             self.text_of_id[i] = names[i].replace(SPACE, " ").encode()
-        for b, i in enumerate(byte_ids):
+        for b, i in enumerate(self.byte_ids):
             self.text_of_id[i] = bytes([b])
+
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of ``ids``, without the space that the model puts first; byte pieces that are no UTF-8 give U+FFFD."""
+        of = self.text_of_id
+        return b"".join([of[i] for i in ids.tolist()]).decode("utf-8", "replace")[1:]
+
+
+class Encoder:
+    """Encodes whole texts with one model; holds the worker's cache of words."""
+
+    def __init__(self, path: str):
+        own = Vocabulary(path)
+        #: merge ranks are whole numbers from 0 down, log probabilities are not
+        merges = all(float(score).is_integer() for _, score in own.pieces.values())
+        self.lattice = Lattice(own.pieces, own.byte_ids, merges)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        #: parts of words that no space goes before
+        self.inner: dict[str, bytes] = {}
 
     def _search(self, chars: str) -> bytes:
         return b"".join([array("i", run).tobytes() for run in self.lattice.ids(chars)])
@@ -258,7 +304,13 @@ class Encoder:
         """The ids of a word that is not among the words met lately."""
         found = self.older.get(key)
         if found is None:
-            found = self._search(key if key[:1] == "\n" else SPACE + key)
+            parts = self.lattice.parts(key if key[:1] == "\n" else SPACE + key)
+            if len(parts) == 1:
+                found = self._search(parts[0])
+            else:
+                stem = parts[0][1:] if parts[0][0] == SPACE else None
+                first = self._search(parts[0]) if stem is None else self.known.get(stem) or self._word(stem)
+                found = first + b"".join([self.inner.get(part) or self._inner(part) for part in parts[1:]])
         if len(key) <= KEPT_CHARS:
             if len(self.known) >= KEPT_WORDS:
                 self.older = dict(self.known)
@@ -266,6 +318,14 @@ class Encoder:
             self.known[key] = found
         return found
 
+    def _inner(self, part: str) -> bytes:
+        found = self._search(part)
+        if len(part) <= KEPT_CHARS:
+            if len(self.inner) >= KEPT_WORDS // 8:
+                self.inner.clear()
+            self.inner[part] = found
+        return found
+
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.empty(0, np.int32)
@@ -275,29 +335,32 @@ class Encoder:
         parts = [known.get(key) or word(key) for key in word_keys(text)]
         return np.frombuffer(b"".join(parts), np.int32)
 
-    def decode(self, ids: np.ndarray) -> str:
-        """The text of ``ids``, without the space that the model puts first; byte pieces that are no UTF-8 give U+FFFD."""
-        of = self.text_of_id
-        return b"".join([of[i] for i in ids.tolist()]).decode("utf-8", "replace")[1:]
-
 
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a model file."""
-    return Encoder(path)
+    """The worker's encoder for a model file; the collector needn't visit it again."""
+    own = Encoder(path)
+    gc.collect()
+    gc.freeze()
+    return own
 
 
-def _mapped(df: DataFrame, column: str, into: str, kind: T.DataType, make: Callable[[Encoder, pa.Array], pa.Array], model: str, source: Column) -> DataFrame:
+@lru_cache(2)
+def vocabulary(path: str) -> Vocabulary:
+    return Vocabulary(path)
+
+
+def _mapped(df: DataFrame, into: str, kind: T.DataType, make: Callable[[pa.Array], pa.Array], source: Column) -> DataFrame:
+    """``df`` with a column made from ``source``, some rows at a time."""
     if into in df.columns:
         raise ValueError(f"there is a column {into} already")
     schema = T.StructType([*df.schema.fields, T.StructField(into, kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(model_path(model))
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                made = make(own, part.column(part.num_columns - 1))
+                made = make(part.column(part.num_columns - 1))
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(part.num_columns - 1)], made], schema.fieldNames())
 
     return df.select(*[F.col(f"`{c}`") for c in df.columns], source.alias(into)).mapInArrow(run, schema)
@@ -306,18 +369,20 @@ def _mapped(df: DataFrame, column: str, into: str, kind: T.DataType, make: Calla
 def encode(df: DataFrame, *, text: str = "text", ids: str = "ids", model: str = MODEL) -> DataFrame:
     """``df`` with the ids (array of int) of its texts."""
 
-    def make(own: Encoder, texts: pa.Array) -> pa.Array:
+    def make(texts: pa.Array) -> pa.Array:
+        own = encoder(model_path(model))
         found = [own.encode(t) for t in texts.to_pylist()]
         ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *found])))
 
-    return _mapped(df, text, ids, T.ArrayType(T.IntegerType()), make, model, text_of(text))
+    return _mapped(df, ids, T.ArrayType(T.IntegerType()), make, text_of(text))
 
 
 def decode(df: DataFrame, *, ids: str = "ids", text: str = "decoded", model: str = MODEL) -> DataFrame:
     """``df`` with the texts of its ids; a null array gives the empty text."""
 
-    def make(own: Encoder, lists: pa.Array) -> pa.Array:
+    def make(lists: pa.Array) -> pa.Array:
+        own = vocabulary(model_path(model))
         return pa.array([own.decode(one.values.to_numpy(zero_copy_only=False)) if one.is_valid else "" for one in lists], pa.string())
 
-    return _mapped(df, ids, text, T.StringType(), make, model, F.coalesce(F.col(ids), F.array().cast("array<int>")))
+    return _mapped(df, text, T.StringType(), make, F.coalesce(F.col(ids), F.array().cast("array<int>")))
