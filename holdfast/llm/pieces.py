@@ -40,6 +40,8 @@ SPACE = "▁"
 #: Words of at most so many characters are remembered, the last so many and at most as many before them.
 KEPT_CHARS = 64
 KEPT_WORDS = 400_000
+#: Beginnings of words, of so many characters, whose search is remembered.
+BEGIN, BEGINNINGS = 5, 20_000
 
 
 def model_path(model: str) -> str:
@@ -169,7 +171,7 @@ class Lattice:
             else:
                 bound, j = b + 1, j + 1
 
-    def _edge_open(self, after: dict[str, bool], before: str, piece: str) -> bool:
+    def edge_open(self, after: dict[str, bool], before: str, piece: str) -> bool:
         """Whether ``piece`` may follow ``before``; remembered in ``after``."""
         if self.asked >= PAIRS:
             self.asked = 0
@@ -178,7 +180,7 @@ class Lattice:
         found = after[piece] = not self.merges or not before or self._left_alone(before, piece)
         return found
 
-    def _path(self, weight: float, back: int, piece: str) -> Path:
+    def path(self, weight: float, back: int, piece: str) -> Path:
         after = self.after.get(piece)
         if after is None:
             after = self.after[piece] = {}
@@ -186,16 +188,45 @@ class Lattice:
 
     def ids(self, chars: str) -> Iterator[list[int]]:
         """The ids of ``chars`` in runs, each given out as soon as it is final."""
-        root, single, merges = self.trie, self.single, self.merges
-        here: Path | None = self._path(0.0, -1, "")
-        paths: dict[int, Path] = {0: here}
-        done = 0
-        #: the living part of the lattice: where a piece began, the path that leads there, the node of what has been read of it
-        live: list[tuple[int, Path, dict]] = []
-        for at, char in enumerate(chars):
-            if here is not None:
-                live.append((at, here, root))
+        search = Search(self)
+        yield from search.read(chars)
+        yield search.rest()
+
+    def parts(self, chars: str) -> list[str]:
+        """``chars`` cut wherever no piece can hold both neighbours."""
+        beside = self.beside
+        cuts = [i for i in range(1, len(chars)) if chars[i - 1 : i + 1] not in beside]
+        return [chars[a:b] for a, b in zip([0, *cuts], [*cuts, len(chars)], strict=True)]
+
+
+class Search:
+    """A search under way: the living part of the lattice and the paths that lead into it."""
+
+    __slots__ = ("at", "done", "here", "lattice", "live", "paths")
+
+    def __init__(self, lattice: Lattice):
+        self.lattice = lattice
+        self.at = self.done = 0
+        self.here: Path | None = lattice.path(0.0, -1, "")
+        self.paths: dict[int, Path] = {0: self.here}
+        #: where a piece began, the path that leads there, the node of what has been read of it
+        self.live: list[tuple[int, Path, dict]] = []
+
+    def copy(self) -> Search:
+        other = Search.__new__(Search)
+        other.lattice, other.at, other.done, other.here = self.lattice, self.at, self.done, self.here
+        other.paths, other.live = self.paths.copy(), self.live
+        return other
+
+    def read(self, chars: str) -> Iterator[list[int]]:
+        """Goes on with ``chars``; gives out ids in runs, each as soon as it is final."""
+        lattice, paths, live, here, done = self.lattice, self.paths, self.live, self.here, self.done
+        root, single, merges = lattice.trie, lattice.single, lattice.merges
+        at = self.at
+        for char in chars:
             best, still = None, []
+            if here is not None:
+                live = [*live, (at, here, root)]
             for item in live:
                 node = item[2].get(char)
                 if node is None:
@@ -204,38 +235,35 @@ class Lattice:
                 if found is None:
                     still.append((item[0], item[1], node))
                     continue
-                if len(node) > 1:
-                    still.append((item[0], item[1], node))
                 path = item[1]
+                if len(node) > 1:
+                    still.append((item[0], path, node))
                 #: merges leave one open edge to a boundary, so the first is the best
                 if best is None or (not merges and path[0] + found[1] > best[0]):
                     is_open = path[3].get(found[0])
-                    if is_open or (is_open is None and self._edge_open(path[3], path[2], found[0])):
+                    if is_open or (is_open is None and lattice.edge_open(path[3], path[2], found[0])):
                         best = (path[0] + found[1], item[0], found[0])
             if char not in single and here is not None and (best is None or here[0] > best[0]):
                 best = (here[0], at, char)
             live = still
-            end = at + 1
+            at += 1
             here = None
             if best is not None:
-                paths[end] = here = self._path(*best)
+                paths[at] = here = lattice.path(*best)
             if not live:
-                yield self._final(paths, done, end)
-                done, paths = end, {end: here}
-            elif end - done >= 4 * self.longest:
-                meet = self._meeting(paths, [start for start, _, _ in live] + ([end] if here is not None else []), done)
+                yield self._final(paths, done, at)
+                done, paths = at, {at: here}
+            elif at - done >= 4 * lattice.longest:
+                meet = self._meeting(paths, [start for start, _, _ in live] + ([at] if here is not None else []), done)
                 if meet > done:
                     yield self._final(paths, done, meet)
                     paths = {b: p for b, p in paths.items() if b >= meet}
                     done = meet
-        if done < len(chars):
-            yield self._final(paths, done, len(chars))
+        self.paths, self.live, self.here, self.done, self.at = paths, live, here, done, at
 
-    def parts(self, chars: str) -> list[str]:
-        """``chars`` cut wherever no piece can hold both neighbours."""
-        beside = self.beside
-        cuts = [i for i in range(1, len(chars)) if chars[i - 1 : i + 1] not in beside]
-        return [chars[a:b] for a, b in zip([0, *cuts], [*cuts, len(chars)], strict=True)]
+    def rest(self) -> list[int]:
+        """The ids that the end of the text makes final."""
+        return self._final(self.paths, self.done, self.at)
 
     @staticmethod
     def _meeting(paths: dict[int, Path], ends: list[int], done: int) -> int:
@@ -251,13 +279,12 @@ class Lattice:
     def _final(self, paths: dict[int, Path], done: int, end: int) -> list[int]:
         back: list[str] = []
         while end > done:
-            _, before, piece, _ = paths[end]
+            _, end, piece, _ = paths[end]
             back.append(piece)
-            end = before
-        ids: list[int] = []
+        pieces, byte_ids, ids = self.lattice.pieces, self.lattice.byte_ids, []
         for piece in reversed(back):
-            known = self.pieces.get(piece)
-            ids += [known[0]] if known is not None else [self.byte_ids[b] for b in piece.encode()]
+            known = pieces.get(piece)
+            ids += [known[0]] if known is not None else [byte_ids[b] for b in piece.encode()]
         return ids
 
 
@@ -292,13 +319,27 @@ class Encoder:
         #: merge ranks are whole numbers from 0 down, log probabilities are not
         merges = all(float(score).is_integer() for _, score in own.pieces.values())
         self.lattice = Lattice(own.pieces, own.byte_ids, merges)
+        self.begun: dict[str, tuple[list[int], Search]] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         #: parts of words that no space goes before
         self.inner: dict[str, bytes] = {}
 
     def _search(self, chars: str) -> bytes:
-        return b"".join([array("i", run).tobytes() for run in self.lattice.ids(chars)])
+        """The ids of a part of a word; the search goes on from where it stood after the part's first characters."""
+        if len(chars) <= BEGIN:
+            return array("i", [i for run in self.lattice.ids(chars) for i in run]).tobytes()
+        begin = chars[:BEGIN]
+        known = self.begun.get(begin)
+        if known is None:
+            search = Search(self.lattice)
+            known = ([i for run in search.read(begin) for i in run], search)
+            if len(self.begun) >= BEGINNINGS:
+                self.begun.clear()
+            self.begun[begin] = known
+        search = known[1].copy()
+        ids = known[0] + [i for run in search.read(chars[BEGIN:]) for i in run] + search.rest()
+        return array("i", ids).tobytes()
 
     def _word(self, key: str) -> bytes:
         """The ids of a word that is not among the words met lately."""
@@ -378,11 +419,11 @@ def encode(df: DataFrame, *, text: str = "text", ids: str = "ids", model: str =
     return _mapped(df, ids, T.ArrayType(T.IntegerType()), make, text_of(text))
 
 
-def decode(df: DataFrame, *, ids: str = "ids", text: str = "decoded", model: str = MODEL) -> DataFrame:
+def decode(df: DataFrame, *, ids: str = "ids", decoded: str = "decoded", model: str = MODEL) -> DataFrame:
     """``df`` with the texts of its ids; a null array gives the empty text."""
 
     def make(lists: pa.Array) -> pa.Array:
         own = vocabulary(model_path(model))
         return pa.array([own.decode(one.values.to_numpy(zero_copy_only=False)) if one.is_valid else "" for one in lists], pa.string())
 
-    return _mapped(df, text, T.StringType(), make, F.coalesce(F.col(ids), F.array().cast("array<int>")))
+    return _mapped(df, decoded, T.StringType(), make, F.coalesce(F.col(ids), F.array().cast("array<int>")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import chat, decontaminate, licenses, lm, pieces, quality, shards, simhash, token_counts
+from holdfast.llm import chat, decontaminate, licenses, lm, pieces, quality, shards, simhash, token_counts, toxicity
 from holdfast.llm.common import text_of
 
 
@@ -74,6 +74,14 @@ def op7_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability of each category of the chain, and whether it is toxic."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    models = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    told = toxicity.classify(docs, models)
+    return told.select("doc_id", *[F.col(f"toxicity.{c.name}").alias(f"p_{c.name}") for c in toxicity.CATEGORIES], toxicity.is_toxic().alias("toxic"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -93,7 +101,15 @@ def op10_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stage of ``corpus_pipeline`` over the documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_simhash_components": op1_simhash_components,
     "op2_quality_rules": op2_quality_rules,
     "op3_mixed_lm": op3_mixed_lm,
@@ -101,6 +117,7 @@ QUERIES = {
     "op5_chat_format": op5_chat_format,
     "op6_license_scan": op6_license_scan,
     "op7_piece_ids": op7_piece_ids,
+    "op8_toxicity_chain": op8_toxicity_chain,
     "op9_token_counts": op9_token_counts,
     "op10_benchmark_windows": op10_benchmark_windows,
 }
