@@ -335,7 +335,7 @@ def _similar(members: DataFrame, similarity: float, shingle_words: int, at_once:
                 common = np.bincount(holder[at], minlength=len(sizes))[rest]
                 return rest[common >= similarity * (sizes[rest] + sizes[i] - common) - 1e-9]
 
-            edges = forest(len(names), near) if len(ids) else []
+            edges = forest(len(names), near)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([names[i] for i, _ in edges], pa.binary()), pa.array([names[j] for _, j in edges], pa.binary())], ["a", "b"]
             )
@@ -352,7 +352,7 @@ def drop_near_duplicates(
     """``docs`` with one document left of each group of texts linked by a Jaccard similarity of ``similarity`` or more.
 
     Fingerprints within ``ring.max_distance`` gather texts into clusters; within a cluster the shingle sets decide, in
-    blocks of about ``at_once`` shingles. The smallest key of a group stays (null: last). Rows alike in key and text
+    blocks of about ``at_once`` shingles; texts without a word are alike. The smallest key of a group stays (null: last). Rows alike in key and text
     are one document and stay or go together. All columns pass through.
     """
     marked = written(fingerprints(docs, ring, key=key, text=text), "fingerprints")
