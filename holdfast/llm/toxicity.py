@@ -18,8 +18,9 @@ gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -50,13 +51,13 @@ CATEGORIES = (Category("junk", "quality = 0"), Category("toxic", "toxic = 1"), C
 
 
 class Model(NamedTuple):
-    """A linear model: bias, weights of words, weights of the earlier categories' log odds."""
+    """A linear model: bias, weights of words (by hash), weights of the earlier categories' log odds."""
 
     bias: float
-    words: dict[bytes, float]
+    words: dict[int, float]
     before: tuple[float, ...]
 
-    def odds(self, present: list[bytes], before: Sequence[float]) -> float:
+    def odds(self, present: Iterable[int], before: Sequence[float]) -> float:
         return self.bias + sum(self.words.get(w, 0.0) for w in present) + sum(a * b for a, b in zip(self.before, before, strict=True))
 
 
@@ -65,6 +66,11 @@ def tokens(text: bytes) -> list[bytes]:
     return folded_words(text) + [mark for mark in PUNCTUATION if mark in text]
 
 
+def hashes(text: bytes) -> set[int]:
+    """The tokens' 32-bit hashes: words that share one are one feature."""
+    return set(map(crc32, tokens(text)))
+
+
 def statistic(with_word: np.ndarray, positive_with: np.ndarray, rows: int, positive: int) -> np.ndarray:
     """The likelihood-ratio statistic of the two-by-two tables of words against a category."""
     out = np.zeros(len(with_word))
@@ -75,20 +81,19 @@ def statistic(with_word: np.ndarray, positive_with: np.ndarray, rows: int, posit
     return out
 
 
-def fit(texts: list[list[bytes]], before: np.ndarray, y: np.ndarray) -> Model:
-    """One category's model from the distinct words of texts, earlier log odds (rows x categories) and labels."""
+def fit(texts: pa.ListArray, before: np.ndarray, y: np.ndarray) -> Model:
+    """One category's model from the distinct word hashes of texts, earlier log odds (rows x categories) and labels."""
     rows, positive = len(y), int(y.sum())
     if not 0 < positive < rows:
         return Model(float(np.log((positive + 0.5) / (rows - positive + 0.5))), {}, (0.0,) * before.shape[1])
-    flat = pa.array([w for t in texts for w in t], pa.binary()).dictionary_encode()
-    code, names = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), flat.dictionary
-    owner = np.repeat(np.arange(rows), [len(t) for t in texts])
+    names, code = np.unique(texts.flatten().to_numpy(), return_inverse=True)
+    owner = np.repeat(np.arange(rows), np.diff(texts.offsets.to_numpy()))
     seen = np.bincount(code, minlength=len(names))
     hits = np.bincount(code, y[owner], len(names))
     common = (hits >= LEAST_SHARE * positive) | (seen - hits >= LEAST_SHARE * (rows - positive))
     worth = np.where(common, statistic(seen, hits, rows, positive), 0.0)
     ranked = [i for i in np.argsort(-worth, kind="stable")[: 4 * WORDS].tolist() if worth[i] >= LEAST_STATISTIC]
-    chosen = sorted(ranked, key=lambda i: (-worth[i], names[i].as_py()))[:WORDS]
+    chosen = sorted(ranked, key=lambda i: (-worth[i], names[i]))[:WORDS]
     place = np.full(len(names), -1)
     place[chosen] = np.arange(len(chosen))
     x = np.zeros((rows, len(chosen) + before.shape[1] + 1), np.float32)
@@ -108,12 +113,12 @@ def fit(texts: list[list[bytes]], before: np.ndarray, y: np.ndarray) -> Model:
         beta += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-4:
             break
-    words = {names[i].as_py(): float(b) for i, b in zip(chosen, beta, strict=False)}
+    words = {int(names[i]): float(b) for i, b in zip(chosen, beta, strict=False)}
     return Model(float(beta[-1]), words, tuple(beta[len(chosen) : -1].tolist()))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, categories: Sequence[Category], *, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """row, fold, words (distinct, sorted) and y (one label per category, null where unknown) of at most ``sample`` documents."""
+    """row, fold, words (distinct hashes) and y (one label per category, null where unknown) of at most ``sample`` documents."""
     asked = [F.max(F.expr(c.label).cast("int")).alias(f"y{i}") for i, c in enumerate(categories)]
     order = F.xxhash64("key")
     chosen = (
@@ -123,14 +128,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, categories: Sequence[Cat
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [sorted(set(tokens(v.as_buffer().to_pybytes()))) for v in batch.column(3)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(words, pa.list_(pa.binary()))], ["row", "fold", "y", "words"])
+            words = [np.sort(np.fromiter(hashes(v.as_buffer().to_pybytes()), np.uint32).view(np.int32)) for v in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(words, pa.list_(pa.int32()))], ["row", "fold", "y", "words"])
 
     texts = docs.select(F.col(key).alias("key"), text_of(text).alias("text"))
     #: at most ``sample`` small rows are broadcast
     met = texts.join(F.broadcast(chosen), "key").select(F.xxhash64("key").alias("row"), "fold", "y", "text")
     once = met.groupBy(F.sha2("text", 256).alias("same")).agg(F.min(F.struct("row", "fold", "y", "text")).alias("first")).select("first.*")
-    return once.dropDuplicates(["row"]).mapInArrow(split, "row long, fold int, y array<int>, words array<binary>")
+    return once.dropDuplicates(["row"]).mapInArrow(split, "row long, fold int, y array<int>, words array<int>")
 
 
 def _trainer(at: int) -> Callable[[pa.Table], pa.Table]:
@@ -141,20 +146,20 @@ def _trainer(at: int) -> Callable[[pa.Table], pa.Table]:
         fold = table.column("fold").to_numpy()
         y = np.array([labels[at] if labels[at] is not None else -1 for labels in table.column("y").to_pylist()])
         before = np.array(table.column("before").to_pylist(), np.float64).reshape(len(y), at)
-        texts = table.column("words").to_pylist()
+        texts = pa.concat_arrays(table.column("words").chunks)
         taught = np.flatnonzero((fold != model) & (y >= 0))
         order = taught[np.argsort(table.column("row").to_numpy()[taught], kind="stable")]
-        got = fit([texts[i] for i in order], before[order], y[order].astype(np.float64))
+        got = fit(texts.take(pa.array(order)), before[order], y[order].astype(np.float64))
         if model == FOLDS:
             names = list(got.words)
             values = [got.bias, *got.before, *got.words.values()]
             return pa.table({"row": pa.array([None], pa.int64()), "odds": pa.array([None], pa.float64()),
-                             "names": pa.array([names], pa.list_(pa.binary())), "values": pa.array([values], pa.list_(pa.float64()))})
+                             "names": pa.array([names], pa.list_(pa.int32())), "values": pa.array([values], pa.list_(pa.float64()))})
         told = np.flatnonzero(fold == model)
-        odds = [got.odds(texts[i], before[i]) for i in told]
+        odds = [got.odds(texts[i].values.to_pylist(), before[i]) for i in told.tolist()]
         kept = np.clip(odds, -9.2, 9.2).astype(np.float64)
         nothing = [None] * len(told)
-        return pa.table({"row": table.column("row").take(pa.array(told)), "odds": pa.array(kept), "names": pa.array(nothing, pa.list_(pa.binary())),
+        return pa.table({"row": table.column("row").take(pa.array(told)), "odds": pa.array(kept), "names": pa.array(nothing, pa.list_(pa.int32())),
                          "values": pa.array(nothing, pa.list_(pa.float64()))})
 
     return one
@@ -166,13 +171,13 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[Category] = C
     models: list[Model] = []
     for at in range(len(categories)):
         dealt = rows.withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(FOLDS))))
-        got = cut(dealt.groupBy("model").applyInArrow(_trainer(at), "row long, odds double, names array<binary>, values array<double>"))
+        got = cut(dealt.groupBy("model").applyInArrow(_trainer(at), "row long, odds double, names array<int>, values array<double>"))
         final = got.filter(F.col("values").isNotNull()).first()
         if final is None:
             models.append(Model(float(np.log(0.5 / 0.5)), {}, (0.0,) * at))
             continue
         values = list(final["values"])
-        models.append(Model(values[0], {bytes(n): v for n, v in zip(final["names"], values[1 + at :], strict=True)}, tuple(values[1 : 1 + at])))
+        models.append(Model(values[0], {n: v for n, v in zip(final["names"], values[1 + at :], strict=True)}, tuple(values[1 : 1 + at])))
         if at + 1 < len(categories):
             odds = got.filter(F.col("values").isNull()).select("row", "odds")
             rows = cut(rows.join(odds, "row").withColumn("before", F.concat("before", F.array("odds"))).drop("odds"))
@@ -188,14 +193,15 @@ def classify(
     kind = T.StructType([T.StructField(c.name, T.DoubleType()) for c in categories])
     schema = T.StructType([*docs.schema.fields, T.StructField(into, kind)])
     arrow = pa.struct([(c.name, pa.float64()) for c in categories])
-    shared = docs.sparkSession.sparkContext.broadcast((list(models), frozenset(w for m in models for w in m.words)))
+    shared = docs.sparkSession.sparkContext.broadcast((list(models), frozenset(w & 0xFFFFFFFF for m in models for w in m.words)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain, known = shared.value
         for batch in batches:
             last, told = batch.num_columns - 1, []
             for value in batch.column(last):
-                present = sorted(known.intersection(tokens(value.as_buffer().to_pybytes())))
+                found = np.fromiter(known.intersection(map(crc32, tokens(value.as_buffer().to_pybytes()))), np.uint32)
+                present = np.sort(found.view(np.int32)).tolist()
                 odds: list[float] = []
                 for model in chain:
                     odds.append(min(9.2, max(-9.2, model.odds(present, odds))))

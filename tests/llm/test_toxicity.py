@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from holdfast.llm import toxicity
@@ -52,7 +53,7 @@ def test_held_out_accuracy(spark, tables):
 def test_earlier_odds_reach_later_models():
     rng = np.random.default_rng(0)
     y = rng.integers(0, 2, 400).astype(float)
-    model = toxicity.fit([[] for _ in y], (4 * y - 2 + rng.normal(size=400))[:, None], y)
+    model = toxicity.fit(pa.array([[] for _ in y], pa.list_(pa.int32())), (4 * y - 2 + rng.normal(size=400))[:, None], y)
     assert model.before[0] > 0.5 and model.words == {}
 
 
