@@ -90,6 +90,8 @@ def measure(docs: DataFrame, *, text: str = "text", stop_words: Sequence[str] =
     covered = F.size(F.array_distinct(F.flatten(F.transform(again, lambda i: F.array(i, i + 1, i + 2)))))
     counts = step.select(
         *docs.columns,
+        # Nothing that depends on a row number is pushed down: a filter on the verdict must not measure texts a second time.
+        F.monotonically_increasing_id().alias("_mark"),
         F.size(words).cast("long").alias("_n_words"),
         F.char_length(F.array_join(words, "")).cast("long").alias("_word_chars"),
         F.regexp_count("_text", F.lit(r"[#*$%&|<>]")).cast("long").alias("_n_symbols"),
@@ -121,6 +123,7 @@ def measure(docs: DataFrame, *, text: str = "text", stop_words: Sequence[str] =
             per_line("_n_ellipsis").alias("ellipsis_line_ratio"),
             per_line("_n_bullet").alias("bullet_line_ratio"),
             (per_word("_n_repeat_words") * 100).alias("repeat_percent"),
+            F.col("_mark").alias("mark"),
         ).alias("quality_measures"),
     )
 
@@ -138,7 +141,7 @@ def judge(docs: DataFrame, *, text: str = "text", rules: Sequence[Rule] = RULES,
         failed = failed | test
     names = F.array_compact(F.array(*[F.when(b, F.lit(r.measure)) for b, r in zip(broken, table, strict=True)]))
     judged = measure(docs, text=text).withColumn("broken_rules", names).withColumn("base_failed", failed)
-    return judged.withColumn("kept", F.size("broken_rules") == 0)
+    return judged.withColumn("kept", (F.size("broken_rules") == 0) & (F.col("quality_measures.mark") >= 0))
 
 
 def kept_only(docs: DataFrame, *, text: str = "text", rules: Sequence[Rule] = RULES, base: Sequence[Rule] = BASE_RULES) -> DataFrame:

@@ -4,7 +4,7 @@ Categories are predicted one after the other; each category's model sees which w
 that the models before it gave. In training those are out-of-fold: a text's earlier probabilities come from models
 that were trained on the other folds, so a later model meets them as it will meet them on new texts. A fold's model
 chooses its own words (by the likelihood-ratio statistic against the category, on its training rows) and fits a ridge
-logistic regression by Newton steps. All models of one category are trained side by side, a Spark task each.
+logistic regression by Newton steps. The rows that train are a bounded sample, so a category's models are trained one after the other in one task.
 
 At most ``SAMPLE`` labelled documents are used for training, the first in the order of a hash of their key: the bound
 is what keeps a training task's memory fixed. Every document is scored, in one narrow pass; the broadcast model has at
@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from holdfast.llm.common import cut, folded_words, text_of
 
 #: Labelled documents that train the chain, folds, words of a category's model.
-SAMPLE, FOLDS, WORDS = 20_000, 4, 512
+SAMPLE, FOLDS, WORDS = 20_000, 4, 256
 #: For a word to be a feature: the least share of either class that has it, and the least statistic (a chance of one in 10 ** 5).
 LEAST_SHARE, LEAST_STATISTIC = 0.01, 20.0
 RIDGE, NEWTON_STEPS = 1.0, 25
@@ -111,7 +111,7 @@ def fit(texts: pa.ListArray, before: np.ndarray, y: np.ndarray) -> Model:
         slope = (x * (p * (1 - p) + 1e-6)[:, None].astype(np.float32)).T @ x
         step = np.linalg.solve(slope.astype(np.float64) + np.diag(ridge), gradient)
         beta += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-4:
+        if np.abs(step).max() < 1e-3:
             break
     words = {int(names[i]): float(b) for i, b in zip(chosen, beta, strict=False)}
     return Model(float(beta[-1]), words, tuple(beta[len(chosen) : -1].tolist()))
@@ -139,39 +139,49 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, categories: Sequence[Cat
 
 
 def _trainer(at: int) -> Callable[[pa.Table], pa.Table]:
-    """Trains category ``at`` on all folds but a group's own and tells that fold's odds; the last group gives the model itself."""
+    """Trains category ``at`` on all folds but one and tells that fold's odds, for each fold; then on all, which gives the model.
+
+    The rows are a sample of bounded size, so they are sent once, to one task, and not once for each fold.
+    """
 
     def one(table: pa.Table) -> pa.Table:
-        model = table.column("model")[0].as_py()
         fold = table.column("fold").to_numpy()
         y = np.array([labels[at] if labels[at] is not None else -1 for labels in table.column("y").to_pylist()])
         before = np.array(table.column("before").to_pylist(), np.float64).reshape(len(y), at)
         texts = pa.concat_arrays(table.column("words").chunks)
-        taught = np.flatnonzero((fold != model) & (y >= 0))
-        order = taught[np.argsort(table.column("row").to_numpy()[taught], kind="stable")]
-        got = fit(texts.take(pa.array(order)), before[order], y[order].astype(np.float64))
-        if model == FOLDS:
-            names = list(got.words)
-            values = [got.bias, *got.before, *got.words.values()]
-            return pa.table({"row": pa.array([None], pa.int64()), "odds": pa.array([None], pa.float64()),
-                             "names": pa.array([names], pa.list_(pa.int32())), "values": pa.array([values], pa.list_(pa.float64()))})
-        told = np.flatnonzero(fold == model)
-        odds = [got.odds(texts[i].values.to_pylist(), before[i]) for i in told.tolist()]
-        kept = np.clip(odds, -9.2, 9.2).astype(np.float64)
-        nothing = [None] * len(told)
-        return pa.table({"row": table.column("row").take(pa.array(told)), "odds": pa.array(kept), "names": pa.array(nothing, pa.list_(pa.int32())),
-                         "values": pa.array(nothing, pa.list_(pa.float64()))})
+        rows = table.column("row").to_numpy()
+        in_order = np.argsort(rows, kind="stable")
+
+        def without(left_out: int) -> Model:
+            order = in_order[(fold[in_order] != left_out) & (y[in_order] >= 0)]
+            return fit(texts.take(pa.array(order)), before[order], y[order].astype(np.float64))
+
+        odds = np.zeros(len(rows))
+        for left_out in range(FOLDS):
+            got = without(left_out)
+            for i in np.flatnonzero(fold == left_out).tolist():
+                odds[i] = min(9.2, max(-9.2, got.odds(texts[i].values.to_pylist(), before[i])))
+        whole = without(FOLDS)
+        nothing = [None] * len(rows)
+        return pa.table({
+            "row": pa.array([*rows.tolist(), None], pa.int64()),
+            "odds": pa.array([*odds.tolist(), None], pa.float64()),
+            "names": pa.array([*nothing, list(whole.words)], pa.list_(pa.int32())),
+            "values": pa.array([*nothing, [whole.bias, *whole.before, *whole.words.values()]], pa.list_(pa.float64())),
+        })
 
     return one
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: Sequence[Category] = CATEGORIES, *, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> list[Model]:
     """The chain's models, one per category, each trained on all labelled rows with out-of-fold odds of the ones before."""
-    rows = cut(labelled_sample(docs, labels, categories, key=key, text=text, sample=sample).withColumn("before", F.array().cast("array<double>")))
+    rows = cut(labelled_sample(docs, labels, categories, key=key, text=text, sample=sample))
+    earlier = rows.select("row", F.array().cast("array<double>").alias("before"))
     models: list[Model] = []
     for at in range(len(categories)):
-        dealt = rows.withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(FOLDS))))
-        got = cut(dealt.groupBy("model").applyInArrow(_trainer(at), "row long, odds double, names array<int>, values array<double>"))
+        #: one small row for each of at most ``sample`` documents
+        ready = rows.join(F.broadcast(earlier), "row").withColumn("all", F.lit(True)).groupBy("all")
+        got = cut(ready.applyInArrow(_trainer(at), "row long, odds double, names array<int>, values array<double>"))
         final = got.filter(F.col("values").isNotNull()).first()
         if final is None:
             models.append(Model(float(np.log(0.5 / 0.5)), {}, (0.0,) * at))
@@ -180,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[Category] = C
         models.append(Model(values[0], {n: v for n, v in zip(final["names"], values[1 + at :], strict=True)}, tuple(values[1 : 1 + at])))
         if at + 1 < len(categories):
             odds = got.filter(F.col("values").isNull()).select("row", "odds")
-            rows = cut(rows.join(odds, "row").withColumn("before", F.concat("before", F.array("odds"))).drop("odds"))
+            earlier = cut(earlier.join(odds, "row").select("row", F.concat("before", F.array("odds")).alias("before")))
     return models
 
 
