@@ -314,7 +314,8 @@ class Vocabulary:
 class Encoder:
     """Encodes whole texts with one model; holds the worker's cache of words."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept_words: int = 0):
+        self.kept_words = kept_words or KEPT_WORDS
         own = Vocabulary(path)
         #: merge ranks are whole numbers from 0 down, log probabilities are not
         merges = all(float(score).is_integer() for _, score in own.pieces.values())
@@ -353,7 +354,7 @@ class Encoder:
                 first = self._search(parts[0]) if stem is None else self.known.get(stem) or self._word(stem)
                 found = first + b"".join([self.inner.get(part) or self._inner(part) for part in parts[1:]])
         if len(key) <= KEPT_CHARS:
-            if len(self.known) >= KEPT_WORDS:
+            if len(self.known) >= self.kept_words:
                 self.older = dict(self.known)
                 self.known.clear()
             self.known[key] = found
@@ -362,7 +363,7 @@ class Encoder:
     def _inner(self, part: str) -> bytes:
         found = self._search(part)
         if len(part) <= KEPT_CHARS:
-            if len(self.inner) >= KEPT_WORDS // 8:
+            if len(self.inner) >= self.kept_words // 8:
                 self.inner.clear()
             self.inner[part] = found
         return found
@@ -378,9 +379,9 @@ class Encoder:
 
 
 @lru_cache(2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, kept_words: int = 0) -> Encoder:
     """The worker's encoder for a model file; the collector needn't visit it again."""
-    own = Encoder(path)
+    own = Encoder(path, kept_words)
     gc.collect()
     gc.freeze()
     return own
@@ -407,11 +408,11 @@ def _mapped(df: DataFrame, into: str, kind: T.DataType, make: Callable[[pa.Array
     return df.select(*[F.col(f"`{c}`") for c in df.columns], source.alias(into)).mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, *, text: str = "text", ids: str = "ids", model: str = MODEL) -> DataFrame:
-    """``df`` with the ids (array of int) of its texts."""
+def encode(df: DataFrame, *, text: str = "text", ids: str = "ids", model: str = MODEL, kept_words: int = KEPT_WORDS) -> DataFrame:
+    """``df`` with the ids (array of int) of its texts; a worker remembers up to twice ``kept_words`` words (some 200 bytes each)."""
 
     def make(texts: pa.Array) -> pa.Array:
-        own = encoder(model_path(model))
+        own = encoder(model_path(model), kept_words)
         found = [own.encode(t) for t in texts.to_pylist()]
         ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *found])))
