@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from holdfast.llm import decontaminate, pieces, quality, simhash, toxicity
 from holdfast.llm.common import text_of, written
 
+#: Words that the last stage's workers remember: they also run the other stages, so it is little.
+WORDS = 80_000
+
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that break a quality rule."""
@@ -35,7 +38,7 @@ def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds the piece ids of every document, their number, and whether they decode to its text."""
-    both = pieces.decode(pieces.encode(docs, ids="ids"), decoded="_decoded")
+    both = pieces.decode(pieces.encode(docs, ids="ids", kept_words=WORDS), decoded="_decoded")
     same = F.col("_decoded") == F.translate(text_of("text"), pieces.SPACE, " ")
     return both.withColumn("n_ids", F.size("ids").cast("long")).withColumn("round_trip", same).drop("_decoded")
 
