@@ -57,8 +57,8 @@ def main() -> None:
     train.count(), test.count()
 
     def fit_score(name, **overrides):
-        branches = FeatureBranches(**models.tuned_preprocess(name)).fit(train)
-        estimator = models.tuned_estimator(name, **overrides)
+        branches = FeatureBranches(**models.chosen_features(name)).fit(train)
+        estimator = models.chosen(name, **overrides)
         ready = branches.transform(train).select(config.TARGET, "features")
         if models.is_iterative(estimator):
             ready = ready.persist()

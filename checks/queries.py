@@ -353,6 +353,25 @@ def impute_iterative(spark, d):
     return rounded(fitted(housing(spark, d), ["total_rooms", "total_bedrooms"], made), 4)
 
 
+@query("impute_median_infinite")
+def impute_median_infinite(spark, d):
+    """A column with nulls and infinities: the median and the imputed values are those of the ordered whole."""
+    e = table(spark, d, "events").select("event_id", F.when(F.col("event_id") % 50 == 0, float("inf")).when(F.col("event_id") % 7 != 0, F.col("value")).alias("value"))
+    return fitted(e, ["value"], [steps.Impute(kind="median")], keep=["event_id"]).select("event_id", F.round(F.when(F.col("value") < float("inf"), F.col("value")), 6).alias("value"))
+
+
+@query("preprocessor_given")
+def preprocessor_given(spark, d):
+    """The branches over the columns of a given table: account balances, nations and market segments of customers."""
+    c = table(spark, d, "customer").select(
+        "c_custkey", F.when(F.col("c_custkey") % 9 != 0, F.col("c_acctbal").cast("double")).alias("c_acctbal"),
+        F.col("c_nationkey").cast("double").alias("c_nationkey"), "c_mktsegment")
+    made = FeatureBranches(
+        deskew="none", geoCols=[], ratioSpecs=[], heavyCols=["c_acctbal"], plainCols=["c_nationkey"], categoryCols=["c_mktsegment"],
+        binnedCols=["c_acctbal"], nBins=4).fit(c)
+    return rounded(made.feature_frame(c, ["c_custkey"]))
+
+
 @query("impute_iterative_chained")
 def impute_iterative_chained(spark, d):
     return rounded(fitted(housing(spark, d), config.HEAVY_TAILED_COLUMNS, [steps.Impute(kind="iterative")]), 4)
@@ -541,7 +560,7 @@ def preprocessor_exact_branches(spark, d):
 @query("model_chain")
 def model_chain(spark, d):
     train, test = split.split_train_test(housing(spark, d), KEY)
-    return models.tuned_chain("ridge").fit(train).transform(test).select("id", Y, "prediction")
+    return models.chosen_chain("ridge").fit(train).transform(test).select("id", Y, "prediction")
 
 
 # --- profile ---------------------------------------------------------------------------------------------
@@ -823,7 +842,7 @@ def _income_vector(df):
 @query("model_linear")
 def model_linear(spark, d):
     h = _income_vector(housing(spark, d))
-    model = models.get_model("linear").factory().fit(h)
+    model = models.build("linear").fit(h)
     return rounded(model.transform(h).select("id", "prediction"), 3)
 
 
@@ -837,8 +856,8 @@ def model_ridge(spark, d):
 def _tree(name):
     def run(spark, d):
         train, test = split.split_train_test(housing(spark, d), KEY)
-        estimator = models.tuned_estimator(name, **SHORT[name])
-        fitted_chain = models.model_chain(estimator, **{**models.tuned_preprocess(name), "deskew": "log"}).fit(train)
+        estimator = models.chosen(name, **SHORT[name])
+        fitted_chain = models.model_chain(estimator, **{**models.chosen_features(name), "deskew": "log"}).fit(train)
         return fitted_chain.transform(test).select("id", Y, "prediction")
 
     return run

@@ -34,11 +34,11 @@ def numeric_steps(imputer="median", deskew="none", scaler="standard", exact=True
     return [st.Impute(kind=imputer, exact=exact), st.Deskew(kind=deskew), st.Scale(kind=scaler, exact=exact)]
 
 
-def ratio_steps(imputer="median", scaler="standard", clip=0.001, exact=True) -> list[st.Step]:
+def ratio_steps(imputer="median", scaler="standard", clip=0.001, exact=True, specs=None) -> list[st.Step]:
     """Impute before dividing, clip before scaling: a ratio of a null stays null, and ratios have no bound."""
     return [
         st.Impute(kind=imputer, exact=exact),
-        st.Ratios(keep_original=False),
+        st.Ratios(keep_original=False, specs=specs),
         st.Clip(lower=clip, upper=1.0 - clip, exact=exact),
         st.Scale(kind=scaler, exact=exact),
     ]
@@ -100,16 +100,25 @@ class FeatureBranches(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     keyCols = Param(Params._dummy(), "keyCols", "row key, for knn ties", TypeConverters.toListString)
     outputCol = Param(Params._dummy(), "outputCol", "assembled vector", TypeConverters.toString)
     extraCols = Param(Params._dummy(), "extraCols", "columns forced past the whitelist", TypeConverters.toListString)
+    geoCols = Param(Params._dummy(), "geoCols", "two coordinates and a weight; empty: no such branch", TypeConverters.toListString)
+    ratioSpecs = Param(Params._dummy(), "ratioSpecs", "[[name, numerator, denominator], ...]; empty: no such branch")
+    heavyCols = Param(Params._dummy(), "heavyCols", "heavy-tailed columns; empty: no such branch", TypeConverters.toListString)
+    plainCols = Param(Params._dummy(), "plainCols", "other numeric columns; empty: no such branch", TypeConverters.toListString)
+    categoryCols = Param(Params._dummy(), "categoryCols", "text columns; empty: no such branch", TypeConverters.toListString)
+    binnedCols = Param(Params._dummy(), "binnedCols", "numeric columns to bin; empty: no such branch", TypeConverters.toListString)
 
     @keyword_only
     def __init__(self, *, imputer="median", heavyImputer="", scaler="standard", deskew="log", encoder="onehot",
                  nClusters=10, gamma=1.0, nBins=5, clip=0.001, seed=config.RANDOM_SEED, exact=True, keyCols=None,
-                 outputCol="features", extraCols=None):
+                 outputCol="features", extraCols=None, geoCols=None, ratioSpecs=None, heavyCols=None, plainCols=None,
+                 categoryCols=None, binnedCols=None):
         super().__init__()
         kwargs = dict(self._input_kwargs)
         self._setDefault(imputer="median", heavyImputer="", scaler="standard", deskew="log", encoder="onehot",
                          nClusters=10, gamma=1.0, nBins=5, clip=0.001, seed=config.RANDOM_SEED, exact=True,
-                         keyCols=[], outputCol="features", extraCols=[])
+                         keyCols=[], outputCol="features", extraCols=[], geoCols=config.GEO_COLUMNS,
+                         ratioSpecs=[list(r) for r in config.RATIOS], heavyCols=config.HEAVY_TAILED_COLUMNS,
+                         plainCols=config.PLAIN_COLUMNS, categoryCols=config.CATEGORICAL_COLUMNS, binnedCols=config.BINNED_COLUMNS)
         self._set(**{k: v for k, v in kwargs.items() if v is not None})
 
     def branches(self) -> list[Branch]:
@@ -126,18 +135,29 @@ class FeatureBranches(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         def first(kind):
             return "median" if kind == "knn" else kind
 
-        counts = config.HEAVY_TAILED_COLUMNS
+        specs = [tuple(r) for r in p["ratioSpecs"]]
+        divided = self._ratio_sources()
         out = [
-            ("geo", same(config.GEO_COLUMNS), [st.Geo(n_clusters=p["nClusters"], gamma=p["gamma"], seed=p["seed"])]),
-            ("ratios", imputed(counts, p["imputer"]), ratio_steps(first(p["imputer"]), p["scaler"], p["clip"], exact)),
-            ("heavy", imputed(counts, heavy), numeric_steps(first(heavy), p["deskew"], p["scaler"], exact)),
-            ("plain", same(config.PLAIN_COLUMNS), numeric_steps(first(p["imputer"]), "none", p["scaler"], exact)),
-            ("categorical", same(config.CATEGORICAL_COLUMNS), categorical_steps(p["encoder"])),
-            ("binned", same(config.BINNED_COLUMNS), binned_steps(p["nBins"], "quantile", p["encoder"], exact)),
+            ("geo", same(p["geoCols"]), [st.Geo(n_clusters=p["nClusters"], gamma=p["gamma"], seed=p["seed"])]),
+            ("ratios", imputed(divided, p["imputer"]), ratio_steps(first(p["imputer"]), p["scaler"], p["clip"], exact, specs)),
+            ("heavy", imputed(p["heavyCols"], heavy), numeric_steps(first(heavy), p["deskew"], p["scaler"], exact)),
+            ("plain", same(p["plainCols"]), numeric_steps(first(p["imputer"]), "none", p["scaler"], exact)),
+            ("categorical", same(p["categoryCols"]), categorical_steps(p["encoder"], **self._known_order())),
+            ("binned", same(p["binnedCols"]), binned_steps(p["nBins"], "quantile", p["encoder"], exact)),
+            ("extra", same(p["extraCols"]), []),
         ]
-        if p["extraCols"]:
-            out.append(("extra", same(p["extraCols"]), []))
-        return out
+        return [branch for branch in out if branch[1]]
+
+    def _ratio_sources(self) -> list[str]:
+        """The columns that ratios divide, in the order of the heavy-tailed ones where they are among them."""
+        used = {c for _, *pair in self.getOrDefault(self.ratioSpecs) for c in pair}
+        heavy = self.getOrDefault(self.heavyCols)
+        return [c for c in heavy if c in used] + sorted(used - set(heavy))
+
+    def _known_order(self) -> dict:
+        """The declared order of levels holds for the contract's own column only; other columns learn theirs."""
+        own = list(self.getOrDefault(self.categoryCols)) == config.CATEGORICAL_COLUMNS
+        return {} if own or self.getOrDefault(self.encoder) == "onehot" else {"declared": False}
 
     @property
     def uses_knn(self) -> bool:
@@ -153,7 +173,7 @@ class FeatureBranches(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         knn = None
         if self.uses_knn:
             knn = KnnImputer(
-                inputCols=config.HEAVY_TAILED_COLUMNS, keyCols=self.getOrDefault(self.keyCols), prefix=_KNN
+                inputCols=list(dict.fromkeys([*self.getOrDefault(self.heavyCols), *self._ratio_sources()])), keyCols=self.getOrDefault(self.keyCols), prefix=_KNN
             ).fit(dataset)
             dataset = knn.transform(dataset)
         return self._model(branches, fit_one(dataset, _fit_all(branches, keep_all)), knn)

@@ -5,9 +5,9 @@ small JSON-able state. ``fit_together`` advances any number of fits in step and
 they ask for at the same depth together, in a few jobs side by side, so six feature branches times
 five folds need only as many rounds as the deepest single branch.
 
-Exact quantiles never put a column into one task: up to ``IN_MEMORY_ROWS`` rows Spark's own
-``percentile`` is used (its buffer is then bounded by that count); beyond it the wanted order
-statistics are found by counting rows in ever narrower brackets, each pass one small shuffle.
+Exact quantiles never put a column into one task, at any size: the wanted order statistics are found
+by counting rows in ever narrower brackets, each pass one small shuffle. NaN counts as null; the
+infinities are counted apart, so that every bracket is finite and every pass narrows it.
 """
 
 from __future__ import annotations
@@ -22,8 +22,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-IN_MEMORY_ROWS = 2_000_000
-BRACKET_BUCKETS = 256
+BRACKET_BUCKETS = 1024
 #: Aggregate functions per job. 45 correlations in one job took six times as long as in four (150,000
 #: cached rows), probably because the loop outgrows what the JIT compiles: wide requests are dealt out.
 PER_JOB = 12
@@ -61,6 +60,7 @@ class Levels:
 
     column: Column
     top: int | None = None
+    least: float = 0
 
 
 @dataclass(frozen=True)
@@ -97,11 +97,11 @@ def keep_where(condition: Column):
     return lambda x: F.when(condition, x)
 
 
-def fit_together(df: DataFrame, fits: Sequence[FitSteps], *, in_memory_rows: int | None = None) -> list[Any]:
+def fit_together(df: DataFrame, fits: Sequence[FitSteps]) -> list[Any]:
     """Run several fits over one DataFrame, sharing every pass."""
     results: list[Any] = [None] * len(fits)
     answers: dict[int, Any] = dict.fromkeys(range(len(fits)))
-    reader = _Reader(df, IN_MEMORY_ROWS if in_memory_rows is None else in_memory_rows)
+    reader = _Reader(df)
     while answers:
         asked: dict[int, dict[str, Any]] = {}
         for i, answer in answers.items():
@@ -113,8 +113,8 @@ def fit_together(df: DataFrame, fits: Sequence[FitSteps], *, in_memory_rows: int
     return results
 
 
-def fit_one(df: DataFrame, fit: FitSteps, **options) -> Any:
-    return fit_together(df, [fit], **options)[0]
+def fit_one(df: DataFrame, fit: FitSteps) -> Any:
+    return fit_together(df, [fit])[0]
 
 
 def in_step(fits: dict[str, FitSteps]) -> FitSteps:
@@ -146,16 +146,8 @@ def side_by_side(jobs: Sequence[Callable[[], Any]], at_once: int = 8) -> list[An
 
 
 class _Reader:
-    def __init__(self, df: DataFrame, in_memory_rows: int):
+    def __init__(self, df: DataFrame):
         self.df = df
-        self.in_memory_rows = in_memory_rows
-        self._rows: int | None = None
-
-    @property
-    def rows(self) -> int:
-        if self._rows is None:
-            self._rows = self.df.count()
-        return self._rows
 
     def answer(self, asked: dict[int, dict[str, Any]]) -> dict[int, dict[str, Any]]:
         """The jobs of one depth, side by side: scalars and spreads dealt out, one per grouping."""
@@ -165,16 +157,14 @@ class _Reader:
         same = {w: first.setdefault(repr(r), w) for w, r in every.items() if isinstance(r, (Quantiles, Levels))}
         requests = {w: r for w, r in every.items() if same.get(w, w) == w}
         found: dict[tuple[int, str], Any] = {}
-        scalars = {w: r for w, r in requests.items() if isinstance(r, (Agg, Quantiles))}
-        if any(isinstance(r, Quantiles) and r.exact for r in scalars.values()):
-            _ = self.rows  # counted once, before the jobs that ask for it
+        ranked = {w: r for w, r in requests.items() if isinstance(r, Quantiles) and r.exact}
+        scalars = {w: r for w, r in requests.items() if isinstance(r, (Agg, Quantiles)) and w not in ranked}
         jobs = [lambda part=part: self._scalars(part, found) for part in _by_width(scalars)]
         jobs += [
             lambda part=part: self._spreads(part, found)
             for part in _parts({w: r for w, r in requests.items() if isinstance(r, Spread)}, SPREADS_PER_JOB)
         ]
-        ranked = {w: r for w, r in scalars.items() if isinstance(r, Quantiles) and r.exact}
-        if ranked and self.rows > self.in_memory_rows:
+        if ranked:
             jobs.append(lambda: found.update(_quantiles_by_rank(self.df, ranked)))
         for where, request in requests.items():
             if isinstance(request, (Levels, Grouped)):
@@ -184,7 +174,7 @@ class _Reader:
 
     def _grouped(self, request: Levels | Grouped) -> list:
         if isinstance(request, Levels):
-            return levels(self.df, request.column, request.top)
+            return levels(self.df, request.column, request.top, request.least)
         rows = self.df.select(*_named(request.inputs))
         grouped = rows.groupBy(*[F.expr(text).alias(k) for k, text in request.keys.items()])
         return [r.asDict() for r in grouped.agg(*[F.expr(t).alias(k) for k, t in request.columns.items()]).collect()]
@@ -204,7 +194,7 @@ class _Reader:
             found[where] = [by_point[i][f"v{n}"] if i in by_point else None for i in range(len(r.points))]
 
     def _scalars(self, requests, found) -> None:
-        """Every plain aggregate and every quantile of this depth, in one pass where it fits."""
+        """Every plain aggregate and every approximate quantile of this depth, in one pass where it fits."""
         inputs: dict[str, Column] = {}
         outputs: list[Column] = []
         readers: list[tuple[tuple[int, str], Any]] = []
@@ -213,11 +203,10 @@ class _Reader:
                 outputs += [c.alias(f"a{n}_{k}") for k, c in request.columns.items()]
                 readers.append((where, lambda row, n=n, r=request: {k: row[f"a{n}_{k}"] for k in r.columns}))
             elif isinstance(request, Quantiles):
-                if request.exact and self.rows > self.in_memory_rows:
-                    continue
                 inputs[f"q{n}"] = request.column.cast("double")
-                outputs += _quantile_columns(f"q{n}", request)
-                readers.append((where, lambda row, n=n, r=request: _quantile_values(row, f"q{n}", r)))
+                probs = request.probs or tuple(i / request.parts for i in range(request.parts + 1))
+                outputs.append(F.percentile_approx(f"q{n}", F.array(*[F.lit(float(p)) for p in probs]), 10_000).alias(f"q{n}"))
+                readers.append((where, lambda row, n=n: row[f"q{n}"] and [float(v) for v in row[f"q{n}"]]))
         if outputs:
             row = self.df.withColumns(inputs).agg(*outputs).first()
             for where, read in readers:
@@ -234,7 +223,7 @@ def _by_width(requests: dict) -> list[dict]:
     parts: list[dict] = []
     room = 0
     for where, request in requests.items():
-        width = len(request.columns) if isinstance(request, Agg) else 1 + bool(request.parts)
+        width = len(request.columns) if isinstance(request, Agg) else 1
         if width > room or not parts:
             parts.append({})
             room = PER_JOB
@@ -264,13 +253,13 @@ def _named(columns: dict[str, Column]) -> list[Column]:
     return [c.alias(k) for k, c in columns.items()]
 
 
-def levels(df: DataFrame, column: Column, top: int | None = None) -> list[tuple[Any, int]]:
-    """(value, count) pairs; with ``top`` only the most frequent, ties to the smallest value."""
+def levels(df: DataFrame, column: Column, top: int | None = None, least: float = 0) -> list[tuple[Any, int]]:
+    """(value, count) pairs; with ``top`` only the most frequent, ties to the smallest value; with ``least`` only those as frequent."""
     counts = df.select(column.alias("value")).where("value is not null").groupBy("value").count()
     if top is not None:
         rows = counts.orderBy(F.desc("count"), "value").limit(top).collect()
         return [(r["value"], r["count"]) for r in rows]
-    rows = counts.limit(MAX_LEVELS + 1).collect()
+    rows = counts.where(F.col("count") >= least).limit(MAX_LEVELS + 1).collect()
     if len(rows) > MAX_LEVELS:
         raise ValueError(f"more than {MAX_LEVELS} levels: one column per level is not a table")
     return sorted((r["value"], r["count"]) for r in rows)
@@ -279,32 +268,8 @@ def levels(df: DataFrame, column: Column, top: int | None = None) -> list[tuple[
 # --- quantiles ---------------------------------------------------------------
 
 
-def _quantile_columns(name: str, request: Quantiles) -> list[Column]:
-    if request.parts:
-        # The averaging partner is counted from the top, as (n-i)/n: 1 - i/n can miss the rank.
-        up = ", ".join(f"{i}D/{request.parts}D" for i in range(request.parts + 1))
-        down = ", ".join(f"{request.parts - i}D/{request.parts}D" for i in range(request.parts + 1))
-        return [
-            F.expr(f"percentile_disc(array({up})) within group (order by {name})").alias(f"{name}_0"),
-            F.expr(f"percentile_disc(array({down})) within group (order by {name} desc)").alias(f"{name}_1"),
-        ]
-    probs = F.array(*[F.lit(float(p)) for p in request.probs])
-    if request.exact:
-        return [F.percentile(name, probs).alias(f"{name}_0")]
-    return [F.percentile_approx(name, probs, 10_000).alias(f"{name}_0")]
-
-
-def _quantile_values(row, name: str, request: Quantiles) -> list[float] | None:
-    values = row[f"{name}_0"]
-    if values is None:
-        return None
-    if request.parts:
-        return [(a + b) / 2.0 for a, b in zip(values, row[f"{name}_1"])]
-    return [float(v) for v in values]
-
-
 def _quantiles_by_rank(df: DataFrame, requests: dict[Any, Quantiles]) -> dict[Any, list[float] | None]:
-    columns = {f"v{n}": r.column.cast("double") for n, r in enumerate(requests.values())}
+    columns = {f"v{n}": F.nanvl(r.column.cast("double"), F.lit(None)) for n, r in enumerate(requests.values())}
     frame = df.select(*_named(columns))
     counts = frame.agg(*[F.count(v).alias(v) for v in columns]).first()
     plans, wanted = {}, {}
@@ -316,7 +281,7 @@ def _quantiles_by_rank(df: DataFrame, requests: dict[Any, Quantiles]) -> dict[An
     out = {}
     for where, (name, ranks) in plans.items():
         at = values.get(name, {})
-        out[where] = [at[a] * (1.0 - w) + at[b] * w if a != b else at[a] for a, b, w in ranks] or None
+        out[where] = [at[a] * (1.0 - w) + at[b] * w if w and at[a] != at[b] else at[a] for a, b, w in ranks] or None
     return out
 
 
@@ -346,13 +311,21 @@ def order_statistics(df: DataFrame, wanted: dict[str, Sequence[int]]) -> dict[st
     """
     if not wanted:
         return {}
-    edges = df.agg(*[f(c).alias(f"{c}_{n}") for c in wanted for n, f in (("min", F.min), ("max", F.max))]).first()
+    finite = {c: F.when(F.abs(c) < math.inf, F.col(c)) for c in wanted}
+    edges = df.agg(
+        *[f(x).alias(f"{c}_{n}") for c, x in finite.items() for n, f in (("min", F.min), ("max", F.max), ("n", F.count))],
+        *[F.count_if(F.col(c) == -math.inf).alias(f"{c}_under") for c in wanted],
+    ).first()
     found: dict[str, dict[int, float]] = {c: {} for c in wanted}
     # (column, low, high) -> [(rank, rows below low)]
-    open_brackets: dict[tuple[str, float, float], list[tuple[int, int]]] = {
-        (c, float(edges[f"{c}_min"]), float(edges[f"{c}_max"])): [(r, 0) for r in ranks]
-        for c, ranks in wanted.items()
-    }
+    open_brackets: dict[tuple[str, float, float], list[tuple[int, int]]] = {}
+    for c, ranks in wanted.items():
+        under, within = edges[f"{c}_under"], edges[f"{c}_n"]
+        for rank in ranks:
+            if under < rank <= under + within:
+                open_brackets.setdefault((c, float(edges[f"{c}_min"]), float(edges[f"{c}_max"])), []).append((rank, under))
+            else:
+                found[c][rank] = -math.inf if rank <= under else math.inf
     while open_brackets:
         for (c, low, high), ranks in list(open_brackets.items()):
             if low == high:
@@ -371,6 +344,9 @@ def order_statistics(df: DataFrame, wanted: dict[str, Sequence[int]]) -> dict[st
                         following.setdefault((key[0], bucket["lo"], bucket["hi"]), []).append((rank, seen))
                         break
                     seen += bucket["n"]
+        stuck = following.keys() & open_brackets.keys()
+        if stuck:
+            raise RuntimeError(f"no progress within {sorted(stuck)}")
         open_brackets = following
     return found
 

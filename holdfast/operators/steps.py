@@ -390,16 +390,20 @@ class OneHot(Step):
                 )
 
     def fit(self, columns, keep):
-        found = yield {c: Levels(keep(x)) for c, x in columns.items()}
         limit = self.options["min_frequency"] or 0
-        state = {}
-        for c, counts in found.items():
-            least = limit * sum(n for _, n in counts) if isinstance(limit, float) else limit
-            state[c] = {
-                "frequent": [v for v, n in counts if n >= least],
-                "rare": [v for v, n in counts if n < least],
+        totals = yield {c: Agg({"n": F.count(keep(x))}) for c, x in columns.items()}
+        least = {c: limit * totals[c]["n"] if isinstance(limit, float) else limit for c in columns}
+        if self.options["handle_unknown"] == "infrequent_if_exist":
+            # Whatever isn't frequent goes to the last column, so rare levels need not be known by name.
+            found = yield {c: Levels(keep(x), least=least[c]) for c, x in columns.items()}
+            return {
+                c: {"frequent": [v for v, _ in counts], "rare": sum(n for _, n in counts) < totals[c]["n"]} for c, counts in found.items()
             }
-        return state
+        found = yield {c: Levels(keep(x)) for c, x in columns.items()}
+        return {
+            c: {"frequent": [v for v, n in counts if n >= least[c]], "rare": [v for v, n in counts if n < least[c]]}
+            for c, counts in found.items()
+        }
 
     def apply(self, state, columns):
         out = {}
@@ -454,11 +458,14 @@ class Bins(Step):
             found = yield {c: Quantiles(keep(x), parts=n) for c, x in columns.items()}
             return {"edges": {c: _distinct_edges(v) for c, v in found.items()}}
         found = yield {c: Agg({"a": F.min(keep(x)), "b": F.max(keep(x))}) for c, x in columns.items()}
-        edges = {c: [float(e) for e in np.linspace(v["a"], v["b"], n + 1)] for c, v in found.items()}
-        if strategy == "kmeans":
-            fits = {c: _fit_line_kmeans(x, keep, edges[c], self.options["max_iter"]) for c, x in columns.items()}
-            edges = yield from in_step(fits)
-        return {"edges": edges}
+        # A column of one value (or none) is one bin.
+        edges = {c: [v["a"], v["b"]] for c, v in found.items() if v["a"] == v["b"]}
+        wide = {c: [float(e) for e in np.linspace(v["a"], v["b"], n + 1)] for c, v in found.items() if c not in edges}
+        if strategy == "kmeans" and wide:
+            fits = {c: _fit_line_kmeans(columns[c], keep, wide[c], self.options["max_iter"]) for c in wide}
+            wide = yield from in_step(fits)
+            wide = {c: _distinct_edges(e) for c, e in wide.items()}
+        return {"edges": {**edges, **wide}}
 
     def apply(self, state, columns):
         out = {}

@@ -8,12 +8,13 @@ from functools import reduce
 from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from holdfast import config
 from holdfast.functions.keys import hash_number, key_text, seeded_md5
 from holdfast.operators.branches import held
 from holdfast.operators.rank import global_rank
-from holdfast.operators.stats import Quantiles, fit_one
+from holdfast.operators.stats import Quantiles, fit_one, levels
 
 GRID_POINTS = 100
 
@@ -95,11 +96,14 @@ def importance_flag(table: DataFrame) -> DataFrame:
 
 
 def dependence_grid(df: DataFrame, column: str, *, points: int = GRID_POINTS, low=0.05, high=0.95) -> list:
-    """All distinct values when there are few, else an even grid between two empirical quantiles.
+    """All distinct values when there are few, else an even grid between two empirical quantiles; of a text
+    column the most frequent values.
 
     The quantiles are those with plotting position (i - 0.4) / (n + 0.2).
     """
     x = F.col(column)
+    if not isinstance(df.schema[column].dataType, T.NumericType):
+        return [value for value, _ in levels(df, x, top=points)]
     few = df.select(x.alias("v")).where("v is not null").distinct().limit(points).collect()
     if len(few) < points:
         return sorted(r["v"] for r in few)
@@ -120,10 +124,11 @@ def partial_dependence(model: Model, df: DataFrame, columns: Sequence[str], *, p
     The grid is a literal of at most ``points`` values per column; rows fan out over it narrowly.
     """
     grids = {c: dependence_grid(df, c, points=points) for c in columns}
-    types = dict(df.dtypes)
     parts = []
     for c, grid in grids.items():
-        values = F.array(*[F.lit(v).cast(types[c]) for v in grid])
+        # Values between whole numbers stay as they are: the column is a double wherever it is a number.
+        kind = "double" if isinstance(df.schema[c].dataType, T.NumericType) else df.schema[c].dataType
+        values = F.array(*[F.lit(v).cast(kind) for v in grid])
         rows = df.withColumn("grid", F.explode(values))
         rows = rows.withColumn("feature", F.lit(c)).withColumn(c, F.col("grid")).withColumn("grid", F.col("grid").cast("string"))
         parts.append(rows)

@@ -6,13 +6,13 @@ import os
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast import config
 from holdfast.errors import DataNotFoundError
 from holdfast.functions.expressions import nan_to_null
 from holdfast.operators.contract import HOUSING, Contract
-from holdfast.sources.spread import spread
 
 
 def _files(spark: SparkSession, path: str, name: str | None = None) -> list[str]:
@@ -63,20 +63,32 @@ def resolve_csv(
     )
 
 
+#: The spellings of a missing value.
+NULL_SPELLINGS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
+    "n/a", "nan", "null",
+)
+
+
 def read_csv(spark: SparkSession, path: str, contract: Contract = HOUSING, *, checked: bool = True) -> DataFrame:
     """Read a headered CSV by column name.
 
-    The header decides which columns are there, so a missing one is reported as missing. Checked
-    reading takes the values as text first, so that a column of the wrong kind can be named.
+    The header decides which columns are there, so a missing one is reported as missing. A file of
+    the same read whose header differs, and a row with more or fewer fields than the header, is refused
+    when it is read. Values are taken as text first: checked reading then names a column of the wrong
+    kind, unchecked reading fails on the first such value.
     """
     header = spark.read.csv(path, header=True, inferSchema=False).schema.fieldNames()
     known = {f.name: f.dataType for f in contract.schema}
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    # Without column pruning every row is cut into all its fields, so a wrong number of them shows.
+    reader = spark.read.schema(text).option("columnPruning", False)
+    raw = reader.csv(path, header=True, mode="FAILFAST", enforceSchema=False)
+    raw = raw.select([F.when(~F.trim(F.col(f"`{c}`")).isin(*NULL_SPELLINGS), F.col(f"`{c}`")).alias(c) for c in header])
     if checked:
-        raw = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).csv(path, header=True)
         contract.check_missing(raw, require_target=False)
-        return nan_to_null(contract.cast_text(spread(raw)))
-    typed = T.StructType([T.StructField(c, known.get(c, T.StringType())) for c in header])
-    return nan_to_null(spread(spark.read.schema(typed).csv(path, header=True, mode="FAILFAST")))
+        return nan_to_null(contract.cast_text(raw))
+    return nan_to_null(raw.select([F.col(f"`{c}`").cast(known.get(c, T.StringType())).alias(c) for c in header]))
 
 
 def load_raw(

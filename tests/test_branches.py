@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from holdfast import config
 from holdfast.operators.branches import BranchesModel, FeatureBranches, feature_names
 from holdfast.operators.split import with_fold
-from holdfast.plans.models import model_chain, tuned_chain
+from holdfast.plans.models import chosen_chain, model_chain
 
 
 @pytest.fixture(scope="module")
@@ -107,7 +107,7 @@ def test_save_and_load(spark, sides, tmp_path, options):
 
 
 def test_chain_saves_and_loads(sides, tmp_path):
-    chain = tuned_chain("ridge").fit(sides[0])
+    chain = chosen_chain("ridge").fit(sides[0])
     chain.write().overwrite().save(str(tmp_path / "chain"))
     loaded = PipelineModel.load(str(tmp_path / "chain"))
     assert rows(loaded.transform(sides[1]).select("id", "prediction")) == rows(chain.transform(sides[1]).select("id", "prediction"))

@@ -87,23 +87,23 @@ def test_ridge_equals_the_closed_form(house, alpha):
 def test_ridge_beats_the_floor_and_learns_the_signal(sides):
     scores = {}
     for name in ("dummy", "linear", "ridge"):
-        model = models.model_chain(models.get_model(name).factory()).fit(sides[0])
+        model = models.model_chain(models.build(name)).fit(sides[0])
         scores[name] = regression_metrics(model.transform(sides[1]), Y).first()["rmse"]
     assert scores["ridge"] < 0.7 * scores["dummy"] and scores["linear"] < 0.7 * scores["dummy"]
 
 
 def test_registry_refuses_unknown_names():
     with pytest.raises(KeyError, match="ridge"):
-        models.get_model("svm")
+        models.arm("svm")
     with pytest.raises(KeyError, match="depth"):
-        models.configure("ridge", RidgeRegressor(), {"depth": 3})
+        models.build("ridge", depth=3)
 
 
 @pytest.mark.parametrize("name", ["ridge", "rf", "hgb", "xgb", "lgbm"])
 def test_tuned_settings_reach_their_params(name):
-    estimator = models.tuned_estimator(name)
-    for key, value in models.TUNED[name]["model"].items():
-        param, convert = models.MODEL_PARAMS[name][key]
+    estimator = models.chosen(name)
+    for key, value in models.CHOSEN[name].items():
+        param, convert = models.arm(name).settings[key]
         assert estimator.getOrDefault(param) == convert(value)
 
 
@@ -292,4 +292,4 @@ def test_a_record_is_replaced_only_on_request(spark, house, tmp_path):
 
 
 def test_chains_are_one_estimator():
-    assert isinstance(models.tuned_chain("ridge"), Pipeline)
+    assert isinstance(models.chosen_chain("ridge"), Pipeline)

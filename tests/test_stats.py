@@ -1,7 +1,6 @@
-"""The fitting engine: exact statistics on both size paths, few passes, masks."""
+"""The fitting engine: exact statistics, few passes, masks."""
 
 import numpy as np
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st_
 from pyspark.sql import functions as F
@@ -38,20 +37,18 @@ def averaged(values, parts):
     return out
 
 
-@pytest.mark.parametrize("in_memory_rows", [None, 0])
-def test_quantiles_are_exact_on_both_paths(house, in_memory_rows):
+def test_quantiles_are_exact(house):
     x = [r[0] for r in house.select("total_bedrooms").collect() if r[0] is not None]
     found = fit_one(
         house,
         ask(a=Quantiles(F.col("total_bedrooms"), (0.0, 0.001, 0.25, 0.5, 0.999, 1.0)), b=Quantiles(F.col("total_bedrooms"), parts=12)),
-        in_memory_rows=in_memory_rows,
     )
     assert np.allclose(found["a"], np.quantile(x, [0.0, 0.001, 0.25, 0.5, 0.999, 1.0]), rtol=1e-12)
     assert found["b"] == averaged(x, 12)
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st_.lists(st_.one_of(st_.floats(-1e300, 1e300), st_.sampled_from([0.0, 1.0, 5e-324])), min_size=1, max_size=40))
+@given(st_.lists(st_.one_of(st_.floats(-1e300, 1e300), st_.sampled_from([0.0, 1.0, 5e-324, float("inf"), -float("inf")])), min_size=1, max_size=40))
 def test_order_statistics_hold_for_any_doubles(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     ranks = sorted({1, len(values), (len(values) + 1) // 2})
@@ -73,8 +70,15 @@ def test_ranks_are_integer_arithmetic():
 
 def test_all_null_column_has_no_quantile(frame):
     df = frame([(None,), (None,)], "v double")
-    for rows in (None, 0):
-        assert fit_one(df, ask(q=Quantiles(F.col("v"), (0.5,))), in_memory_rows=rows)["q"] is None
+    assert fit_one(df, ask(q=Quantiles(F.col("v"), (0.5,))))["q"] is None
+
+
+def test_nan_counts_as_null_and_infinities_as_ends(frame):
+    x = [float("nan"), float("inf"), -float("inf"), 3.0, 1.0, None, float("inf")]
+    found = fit_one(frame([(v,) for v in x], "v double"), ask(q=Quantiles(F.col("v"), (0.0, 0.25, 0.5, 1.0))))["q"]
+    assert found == [-float("inf"), 1.0, 3.0, float("inf")]
+    only = fit_one(frame([(float("nan"),), (float("inf"),)], "v double"), ask(q=Quantiles(F.col("v"), (0.5,))))["q"]
+    assert only == [float("inf")]
 
 
 def test_masks_equal_filters(house):
