@@ -568,3 +568,19 @@ ORACLE["select_k_best"] = h(
         f"""select '{c}' as "column", corr({c}, median_house_value) as c, count(*) as n from nn""" for c in config.NUMERIC_COLUMNS
     ) + ")",
 )
+
+ORACLE["impute_median_infinite"] = f"""with e as (select event_id, case when event_id % 50 = 0 then 'inf'::double when event_id % 7 <> 0 then cast(value as double) end as v from events),
+ m as (select quantile_cont(v, 0.5) as q from e where v is not null)
+select event_id, case when coalesce(v, q) < 'inf'::double then {r('coalesce(v, q)')} end as value from e, m"""
+
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+ORACLE["preprocessor_given"] = f"""with c as (select c_custkey, case when c_custkey % 9 <> 0 then cast(c_acctbal as double) end as raw, cast(c_nationkey as double) as k, c_mktsegment as s
+ from customer),
+ m as (select median(raw) as q from c),
+ f as (select c_custkey, coalesce(raw, q) as b, k, s from c, m),
+ z as (select avg(b) as mb, stddev_pop(b) as sb, avg(k) as mk, stddev_pop(k) as sk, list_sort(list(b)) as a, count(*) as n from f),
+ e as (select *, {", ".join(f"{bin_edge(i, 4)} as e{i}" for i in range(1, 4))} from z),
+ g as (select *, (b >= e1)::int + (b >= e2)::int + (b >= e3)::int as bin from f, e)
+select c_custkey, {r('(b - mb) / sb')} as heavy__c_acctbal, {r('(k - mk) / sk')} as plain__c_nationkey,
+ {", ".join(f"cast(s = '{level}' as double) as categorical__c_mktsegment_{level}" for level in SEGMENTS)},
+ {", ".join(f"cast(bin = {i} as double) as binned__c_acctbal_{i}_0" for i in range(4))} from g"""
