@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from holdfast import config
 from holdfast.errors import ColumnTypeError, DataNotFoundError, MissingColumnsError, SchemaError, ValueRangeError
 from holdfast.operators.contract import HOUSING, check_log_domain
-from holdfast.sources.csv import load_raw, resolve_csv
+from holdfast.sources.csv import load_raw, read_csv, resolve_csv
 
 
 def test_good_table_passes_unchanged(house):
@@ -106,3 +106,41 @@ def test_resolution_order(spark, house, tmp_path, monkeypatch):
     assert resolve_csv(spark) == str(deep / "housing.csv")
     with pytest.raises(DataNotFoundError, match="nowhere"):
         resolve_csv(spark, str(tmp_path / "nowhere.csv"))
+
+
+def _housing_csv(folder, name="a.csv", header=None, rows=None):
+    from holdfast import config
+
+    columns = header or [f.name for f in config.SCHEMA]
+    good = ["-120", "35", "20", "100", "20", "50", "10", "3", "100000", "INLAND"]
+    (folder / name).write_text("\n".join(",".join(r) for r in [columns, *(rows or [good])]) + "\n")
+    return good
+
+
+@pytest.mark.parametrize("checked", [True, False])
+@pytest.mark.parametrize("change", [lambda row: [*row, "1", "2"], lambda row: row[:-3]])
+def test_rows_with_another_number_of_fields_are_refused(spark, tmp_path, checked, change):
+    good = _housing_csv(tmp_path)
+    _housing_csv(tmp_path, rows=[good, change(good)])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv(spark, str(tmp_path / "a.csv"), checked=checked).collect()
+
+
+def test_a_file_with_another_header_is_refused(spark, tmp_path):
+    from holdfast import config
+
+    names = [f.name for f in config.SCHEMA]
+    _housing_csv(tmp_path)
+    names[3], names[4] = names[4], names[3]
+    _housing_csv(tmp_path, "b.csv", header=names)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("checked", [True, False])
+def test_spellings_of_a_missing_value(spark, tmp_path, checked):
+    good = _housing_csv(tmp_path)
+    rows = [[*good[:4], spelling, *good[5:]] for spelling in ("NA", "N/A", "null", "nan", "")]
+    _housing_csv(tmp_path, rows=rows)
+    found = read_csv(spark, str(tmp_path / "a.csv"), checked=checked).select("total_bedrooms", "total_rooms").collect()
+    assert [tuple(r) for r in found] == [(None, 100.0)] * 5

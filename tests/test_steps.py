@@ -317,3 +317,29 @@ def test_log_and_its_inverse(frame):
     step = steps.Deskew(kind="log")
     x = step.invert(step.apply({}, {"x": F.col("x")}))["x"]
     assert math.isclose(frame([(41.5,)], "x double").select(x).first()[0], 41.5)
+
+
+@pytest.mark.parametrize("strategy", ["quantile", "uniform", "kmeans"])
+def test_a_constant_column_is_one_bin(frame, strategy):
+    df = frame([(3.0,), (3.0,), (3.0,)], "x double")
+    state = fit_one(df, steps.Bins(n_bins=5, strategy=strategy).fit({"x": F.col("x")}, keep_all))
+    made = steps.Bins(n_bins=5, strategy=strategy).apply(state, {"x": F.col("x")})
+    assert list(made) == ["x_0.0"] and [r[0] for r in df.select(*made.values()).collect()] == [1.0] * 3
+
+
+def test_any_number_of_rare_levels_is_one_column(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") < 100, "often").otherwise(F.col("id").cast("string")).alias("x"))
+    one = steps.OneHot(min_frequency=10)
+    state = fit_one(df, one.fit({"x": F.col("x")}, keep_all))
+    made = one.apply(state, {"x": F.col("x")})
+    assert list(made) == ["x_often", "x_infrequent_sklearn"]
+    assert df.agg(*[F.sum(c) for c in made.values()]).first()[:] == (100.0, 29_900.0)
+
+
+def test_branches_over_other_columns(frame):
+    from holdfast.operators.branches import FeatureBranches
+
+    df = frame([(1, 2.0, "a"), (2, None, "b"), (3, 8.0, "a")], "id int, v double, s string")
+    model = FeatureBranches(geoCols=[], ratioSpecs=[], heavyCols=["v"], plainCols=[], categoryCols=["s"], binnedCols=[], deskew="none", encoder="ordinal").fit(df)
+    assert model.feature_names() == ["heavy__v", "categorical__s"]
+    assert [r["categorical__s"] for r in model.feature_frame(df, ["id"]).orderBy("id").collect()] == [0.0, 1.0, 0.0]
