@@ -92,7 +92,7 @@ Path = tuple[float, int, str, dict[str, bool]]
 class Lattice:
     """Streaming Viterbi search over the pieces of one model."""
 
-    def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], merges: bool):
+    def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], merges: bool, pairs: int = PAIRS):
         self.pieces = pieces
         self.byte_ids = byte_ids
         self.longest = max(map(len, pieces))
@@ -110,8 +110,8 @@ class Lattice:
         count = Counter(score for p, (_, score) in pieces.items() if len(p) > 1)
         self.tied = {p for p, (_, score) in pieces.items() if len(p) > 1 and count[score] > 1}
         self.halves: dict[str, tuple[str, str]] = {}
-        self.edge = lru_cache(1 << 17)(self._edge)
-        self.merges = merges
+        self.edge = lru_cache(1 << 14)(self._edge)
+        self.merges, self.pairs = merges, pairs
         self.single = {p for p in pieces if len(p) == 1}
         #: for each piece the pieces asked about after it, and the answers
         self.after: dict[str, dict[str, bool]] = {}
@@ -173,7 +173,7 @@ class Lattice:
 
     def edge_open(self, after: dict[str, bool], before: str, piece: str) -> bool:
         """Whether ``piece`` may follow ``before``; remembered in ``after``."""
-        if self.asked >= PAIRS:
+        if self.asked >= self.pairs:
             self.asked = 0
             self.after.clear()
         self.asked += 1
@@ -319,7 +319,10 @@ class Encoder:
         own = Vocabulary(path)
         #: merge ranks are whole numbers from 0 down, log probabilities are not
         merges = all(float(score).is_integer() for _, score in own.pieces.values())
-        self.lattice = Lattice(own.pieces, own.byte_ids, merges)
+        #: all that is remembered grows and shrinks with the words
+        share = self.kept_words / KEPT_WORDS
+        self.beginnings = max(1, round(BEGINNINGS * share))
+        self.lattice = Lattice(own.pieces, own.byte_ids, merges, max(1, round(PAIRS * share)))
         self.begun: dict[str, tuple[list[int], Search]] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -335,7 +338,7 @@ class Encoder:
         if known is None:
             search = Search(self.lattice)
             known = ([i for run in search.read(begin) for i in run], search)
-            if len(self.begun) >= BEGINNINGS:
+            if len(self.begun) >= self.beginnings:
                 self.begun.clear()
             self.begun[begin] = known
         search = known[1].copy()
@@ -409,7 +412,8 @@ def _mapped(df: DataFrame, into: str, kind: T.DataType, make: Callable[[pa.Array
 
 
 def encode(df: DataFrame, *, text: str = "text", ids: str = "ids", model: str = MODEL, kept_words: int = KEPT_WORDS) -> DataFrame:
-    """``df`` with the ids (array of int) of its texts; a worker remembers up to twice ``kept_words`` words (some 200 bytes each)."""
+    """``df`` with the ids (array of int) of its texts; a worker remembers up to twice ``kept_words`` words (some 200 bytes
+    each), and pairs and beginnings of words in proportion."""
 
     def make(texts: pa.Array) -> pa.Array:
         own = encoder(model_path(model), kept_words)
