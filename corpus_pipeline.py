@@ -13,7 +13,7 @@ from holdfast.llm import decontaminate, pieces, quality, simhash, toxicity
 from holdfast.llm.common import text_of, written
 
 #: Words that the last stage's workers remember: they also run the other stages, so it is little.
-WORDS = 80_000
+WORDS = 60_000
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
