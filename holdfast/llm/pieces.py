@@ -407,6 +407,7 @@ def _mapped(df: DataFrame, into: str, kind: T.DataType, make: Callable[[pa.Array
                 part = batch.slice(start, 256)
                 made = make(part.column(part.num_columns - 1))
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(part.num_columns - 1)], made], schema.fieldNames())
+        pa.default_memory_pool().release_unused()
 
     return df.select(*[F.col(f"`{c}`") for c in df.columns], source.alias(into)).mapInArrow(run, schema)
 

@@ -162,6 +162,7 @@ def _trainer(at: int) -> Callable[[pa.Table], pa.Table]:
             for i in np.flatnonzero(fold == left_out).tolist():
                 odds[i] = min(9.2, max(-9.2, got.odds(texts[i].values.to_pylist(), before[i])))
         whole = without(FOLDS)
+        pa.default_memory_pool().release_unused()
         nothing = [None] * len(rows)
         return pa.table({
             "row": pa.array([*rows.tolist(), None], pa.int64()),
