@@ -1,6 +1,7 @@
 """Near-duplicates by SimHash, with pigeonring filtering of candidates.
 
-A fingerprint has one bit per hash bit: set if it is set in over half of a text's shingle hashes. Two texts link if
+A fingerprint has one bit per hash bit: set if it is set in over half of a text's shingle hashes, repeats included
+unless the ring says ``distinct``, as it does where shingle sets verify. Two texts link if
 their fingerprints differ in at most ``max_distance`` bits. The bits are laid out as a ring of segments. If two rings
 differ in at most t bits over m segments, then at some segment a chain starts whose first l segments differ in at most
 l*t/m bits, for every l (the pigeonring principle). With m = t + 1 the first segment of that chain is equal and the
@@ -51,10 +52,12 @@ class Ring(NamedTuple):
     segments: int = 5
     #: 0: complete search; otherwise so many random orders of the ring, each chain starting with two equal segments.
     orders: int = 0
+    #: a shingle counts once however often a text repeats it
+    distinct: bool = False
 
 
 #: Five-word shingles and a Jaccard similarity of 0.8: 256 bits, of which 56 may differ, verified on the shingles.
-WIDE = Ring(shingle_words=5, words64=4, max_distance=56, segments=21, orders=10)
+WIDE = Ring(shingle_words=5, words64=4, max_distance=56, segments=21, orders=30, distinct=True)
 SIMILARITY = 0.8
 
 
@@ -108,7 +111,8 @@ def fingerprints(docs: DataFrame, ring: Ring, *, key: str = "doc_id", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = (value.as_buffer().to_pybytes() for value in batch.column(1))
-            fps = [fingerprint(shingle_hashes(data, ring.shingle_words), ring.words64) for data in texts]
+            hashes = (shingle_hashes(data, ring.shingle_words) for data in texts)
+            fps = [fingerprint(np.unique(h) if ring.distinct else h, ring.words64) for h in hashes]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary()), batch.column(2)], ["key", "fp", "same"])
 
     narrow = docs.select(F.col(key).alias("key"), text_of(text).alias("text"), _same(text).alias("same"))

@@ -111,6 +111,30 @@ def test_one_of_each_group_stays(spark):
     assert ids == {g * 100 for g in range(8)} | {i for i, _ in clean}
 
 
+def test_a_passage_repeated_in_one_copy_only_hides_no_near_copy(spark):
+    rng = random.Random(7)
+    rows = []
+    for pair in range(20):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        passage = [f"p{rng.randrange(10**6)}" for _ in range(30)]
+        rows += [(2 * pair, " ".join(words + passage)), (2 * pair + 1, " ".join(words + passage * 6))]
+        assert jaccard(rows[-2][1], rows[-1][1]) > 0.95
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in kept.collect()} == {2 * pair for pair in range(20)}
+
+
+def test_near_copies_at_the_least_similarity_meet():
+    rng, bounds = np.random.default_rng(8), simhash._bounds(simhash.WIDE)
+    chains = [np.concatenate([o[bounds[s] : bounds[s + 1]], o[bounds[(s + 1) % 21] : bounds[(s + 1) % 21 + 1]]]) for o in simhash._orders(simhash.WIDE) for s in range(21)]
+    met = 0
+    for _ in range(200):
+        # 360 shingles in both, 44 in either one: a similarity of 0.804
+        hashes = rng.integers(0, 1 << 63, 448, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, 448, dtype=np.uint64)
+        a, b = (np.unpackbits(np.frombuffer(simhash.fingerprint(h, 4), np.uint8)) for h in (hashes[:404], hashes[44:]))
+        met += (a != b).sum() <= simhash.WIDE.max_distance and any((a[c] == b[c]).all() for c in chains)
+    assert met >= 194
+
+
 def test_texts_under_the_similarity_stay(spark):
     rng = random.Random(6)
     words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
