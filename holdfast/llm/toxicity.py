@@ -6,13 +6,13 @@ that were trained on the other folds, so a later model meets them as it will mee
 chooses its own words (by the likelihood-ratio statistic against the category, on its training rows) and fits a ridge
 logistic regression by Newton steps. The rows that train are a bounded sample, so a category's models are trained one after the other in one task.
 
-At most ``SAMPLE`` labelled documents are used for training, the first in the order of a hash of their key: the bound
+At most ``SAMPLE`` labelled documents that are in the table are used for training, the first in the order of a hash of their key: the bound
 is what keeps a training task's memory fixed. Every document is scored, in one narrow pass; the broadcast model has at
 most ``WORDS`` words a category.
 
 Null and empty texts hold no word. A label that is null does not train its category; documents with several label rows
-take the largest label; copies of a text train once, with the labels of the first by key hash. Without labelled rows, or with one class only, a category's probability is its smoothed rate.
-Null keys never match a label but are scored. Rows alike get rows alike; other columns pass through; an empty table
+take the largest label; copies of a text train once, with the labels of the first by key hash. With one class only, a category's probability is its smoothed rate;
+without a row that trains it, the probability is null and the category rejects nothing. Null keys never match a label but are scored. Rows alike get rows alike; other columns pass through; an empty table
 gives an empty result.
 """
 
@@ -51,13 +51,15 @@ CATEGORIES = (Category("junk", "quality = 0"), Category("toxic", "toxic = 1"), C
 
 
 class Model(NamedTuple):
-    """A linear model: bias, weights of words (by hash), weights of the earlier categories' log odds."""
+    """A linear model: bias (None: no row trained it), weights of words (by hash), weights of the earlier categories' log odds."""
 
-    bias: float
+    bias: float | None
     words: dict[int, float]
     before: tuple[float, ...]
 
     def odds(self, present: Iterable[int], before: Sequence[float]) -> float:
+        if self.bias is None:
+            return 0.0
         return self.bias + sum(self.words.get(w, 0.0) for w in present) + sum(a * b for a, b in zip(self.before, before, strict=True))
 
 
@@ -84,6 +86,8 @@ def statistic(with_word: np.ndarray, positive_with: np.ndarray, rows: int, posit
 def fit(texts: pa.ListArray, before: np.ndarray, y: np.ndarray) -> Model:
     """One category's model from the distinct word hashes of texts, earlier log odds (rows x categories) and labels."""
     rows, positive = len(y), int(y.sum())
+    if not rows:
+        return Model(None, {}, (0.0,) * before.shape[1])
     if not 0 < positive < rows:
         return Model(float(np.log((positive + 0.5) / (rows - positive + 0.5))), {}, (0.0,) * before.shape[1])
     names, code = np.unique(texts.flatten().to_numpy(), return_inverse=True)
@@ -121,8 +125,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, categories: Sequence[Cat
     """row, fold, words (distinct hashes) and y (one label per category, null where unknown) of at most ``sample`` documents."""
     asked = [F.max(F.expr(c.label).cast("int")).alias(f"y{i}") for i, c in enumerate(categories)]
     order = F.xxhash64("key")
+    present = docs.filter(F.col(key).isNotNull()).select(key)
     chosen = (
-        labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(*asked).orderBy(order, "key").limit(sample)
+        labels.join(present, key, "left_semi").groupBy(F.col(key).alias("key")).agg(*asked).orderBy(order, "key").limit(sample)
         .select("key", F.array(*[f"y{i}" for i in range(len(categories))]).alias("y"), F.pmod(F.xxhash64("key", F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold"))
     )
 
@@ -185,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[Category] = C
         got = cut(ready.applyInArrow(_trainer(at), "row long, odds double, names array<int>, values array<double>"))
         final = got.filter(F.col("values").isNotNull()).first()
         if final is None:
-            models.append(Model(float(np.log(0.5 / 0.5)), {}, (0.0,) * at))
+            models.append(Model(None, {}, (0.0,) * at))
             continue
         values = list(final["values"])
         models.append(Model(values[0], {n: v for n, v in zip(final["names"], values[1 + at :], strict=True)}, tuple(values[1 : 1 + at])))
@@ -198,7 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[Category] = C
 def classify(
     docs: DataFrame, models: Sequence[Model], categories: Sequence[Category] = CATEGORIES, *, text: str = "text", into: str = "toxicity"
 ) -> DataFrame:
-    """``docs`` with a struct of each category's probability."""
+    """``docs`` with a struct of each category's probability (null: no row trained the category)."""
     if into in docs.columns:
         raise ValueError(f"there is a column {into} already")
     kind = T.StructType([T.StructField(c.name, T.DoubleType()) for c in categories])
@@ -216,14 +221,14 @@ def classify(
                 odds: list[float] = []
                 for model in chain:
                     odds.append(min(9.2, max(-9.2, model.odds(present, odds))))
-                told.append({c.name: float(1 / (1 + np.exp(-o))) for c, o in zip(categories, odds, strict=True)})
+                told.append({c.name: None if m.bias is None else float(1 / (1 + np.exp(-o))) for c, m, o in zip(categories, chain, odds, strict=True)})
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(last)], pa.array(told, arrow)], schema.fieldNames())
 
     return docs.select(*[F.col(f"`{c}`") for c in docs.columns], text_of(text).alias("_text")).mapInArrow(run, schema)
 
 
 def is_toxic(into: str = "toxicity", category: str = "toxic", threshold: float = THRESHOLD) -> Column:
-    return F.col(into)[category] >= threshold
+    return F.coalesce(F.col(into)[category] >= threshold, F.lit(False))
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:

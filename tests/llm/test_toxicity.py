@@ -75,6 +75,23 @@ def test_awkward_rows(spark, awkward, nothing, tables):
     assert toxicity.clean_documents(awkward, none).columns == awkward.columns
 
 
+def test_without_a_training_row_every_document_stays(spark, tables):
+    docs, labels = tables
+    others = labels.selectExpr("doc_id + 10000 as doc_id", "quality", "toxic")
+    unknown = labels.selectExpr("doc_id", "quality", "cast(null as int) as toxic")
+    for none in (labels.filter("false"), others, unknown):
+        assert toxicity.clean_documents(docs, none).count() == docs.count()
+    told = toxicity.classify(docs, toxicity.train(docs, unknown)).first().toxicity
+    assert told.toxic is None and told.junk is not None
+
+
+def test_labels_of_other_documents_take_no_place_in_the_sample(spark, tables):
+    docs, labels = tables
+    others = labels.selectExpr("doc_id + 10000 as doc_id", "quality", "toxic")
+    rows = toxicity.labelled_sample(docs.filter("doc_id < 50"), labels.unionByName(others), toxicity.CATEGORIES, sample=50)
+    assert rows.count() == 50
+
+
 def test_query_against_labels(spark, sf):
     toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     rows = op8_toxicity_chain(spark, sf).collect()
