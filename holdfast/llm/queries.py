@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import chat, decontaminate, licenses, lm, pieces, quality, shards, simhash, token_counts, toxicity
+from holdfast.llm import chat, collocations, decontaminate, licenses, lm, pieces, quality, shards, simhash, token_counts, toxicity
 from holdfast.llm.common import text_of
 
 
@@ -101,6 +101,11 @@ def op10_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2,000 phrases of two or three words by the score of their weakest cut."""
+    return collocations.collocations(_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage of ``corpus_pipeline`` over the documents."""
     import corpus_pipeline
@@ -120,6 +125,7 @@ QUERIES = {
     "op8_toxicity_chain": op8_toxicity_chain,
     "op9_token_counts": op9_token_counts,
     "op10_benchmark_windows": op10_benchmark_windows,
+    "op11_collocations": op11_collocations,
 }
 
 #: SQL's words: as the operators cut them.
@@ -151,4 +157,21 @@ items as (select doc_id, count(*) as n_items, string_agg(name, ',' order by name
 select d.doc_id, len(d.ws) as n_words, coalesce(w.n_hit, 0) as n_hit, coalesce(i.n_items, 0) as n_items,
        sha256(coalesce(i.names, '')) as items_sha256, coalesce(w.n_hit, 0) > 0 as contaminated
 from d left join words w on d.doc_id = w.doc_id left join items i on d.doc_id = i.doc_id""",
+    "op11_collocations": r"""
+with texts as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+pieces as (select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') as ws
+           from (select lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) as piece from texts)),
+spots as (select lang, ws, s, unnest(range(1, len(ws) - s + 2)) as i from pieces, range(1, 4) as sizes(s) where len(ws) >= s),
+f as (select lang, s, list_slice(ws, i, i + s - 1) as ws, count(*) as a from spots group by all),
+totals as (select lang, cast(sum(a) as bigint) as n from f where s = 1 group by lang),
+cand as (select * from f where s > 1 and a >= 10),
+cuts as (select c.lang, c.ws, c.a, k, x.a as l, y.a as r, cast(1000000 as hugeint) * c.a * c.a // (cast(x.a as hugeint) * y.a) as score
+         from (select *, unnest(range(1, s)) as k from cand) c
+         join f x on x.lang = c.lang and x.ws = list_slice(c.ws, 1, k) join f y on y.lang = c.lang and y.ws = list_slice(c.ws, k + 1, s)),
+weakest as (select * from cuts qualify row_number() over (partition by lang, ws order by score, k) = 1),
+inside as (select lang, unnest([list_slice(ws, 1, 2), list_slice(ws, 2, 3)]) as ws, a from cand where s = 3),
+gone as (select distinct w.lang, w.ws from weakest w join inside i on w.lang = i.lang and w.ws = i.ws where 100 * i.a >= 50 * w.a),
+named as (select w.*, array_to_string(w.ws, ' ') as phrase from weakest w anti join gone g on w.lang = g.lang and w.ws = g.ws),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from named)
+select r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, cast(r.score as bigint) as score from ranked r join totals t on r.lang = t.lang where r.rank <= 2000""",
 }
