@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import chat, collocations, decontaminate, licenses, lm, pieces, quality, shards, simhash, token_counts, toxicity
+from holdfast.llm import alignment, chat, collocations, decontaminate, licenses, lm, pieces, quality, shards, simhash, token_counts, toxicity
 from holdfast.llm.common import text_of
 
 
@@ -106,6 +106,16 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents").select("lang", "text"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the byte-level and the piece tokens of every document, links judged by the whole table."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    groups = F.col("alignment.groups")
+    digest = F.when(groups == "", "").otherwise(F.sha2(groups, 256))
+    aligned = alignment.align(docs).select("doc_id", F.col("alignment").withField("groups", digest).alias("alignment"))
+    counted = [f"alignment.{c}" for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")]
+    return alignment.score_alignments(aligned).select("doc_id", *counted, F.col("alignment.groups").alias("groups_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage of ``corpus_pipeline`` over the documents."""
     import corpus_pipeline
@@ -126,6 +136,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_benchmark_windows": op10_benchmark_windows,
     "op11_collocations": op11_collocations,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 #: SQL's words: as the operators cut them.
@@ -167,7 +178,7 @@ totals as (select lang, cast(sum(a) as bigint) as n from f where s = 1 group by
 cand as (select * from f where s > 1 and a >= 10),
 cuts as (select c.lang, c.ws, c.a, k, x.a as l, y.a as r, cast(1000000 as hugeint) * c.a * c.a // (cast(x.a as hugeint) * y.a) as score
          from (select *, unnest(range(1, s)) as k from cand) c
-         join f x on x.lang = c.lang and x.ws = list_slice(c.ws, 1, k) join f y on y.lang = c.lang and y.ws = list_slice(c.ws, k + 1, s)),
+         join f x on x.lang = c.lang and x.ws = list_slice(c.ws, 1, k) join f y on y.lang = c.lang and y.ws = list_slice(c.ws, k + 1, c.s)),
 weakest as (select * from cuts qualify row_number() over (partition by lang, ws order by score, k) = 1),
 inside as (select lang, unnest([list_slice(ws, 1, 2), list_slice(ws, 2, 3)]) as ws, a from cand where s = 3),
 gone as (select distinct w.lang, w.ws from weakest w join inside i on w.lang = i.lang and w.ws = i.ws where 100 * i.a >= 50 * w.a),
