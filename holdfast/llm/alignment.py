@@ -212,7 +212,9 @@ def align(
     in ascending order with their numbers of links."""
     if into in docs.columns:
         raise ValueError(f"there is a column {into} already")
-    schema = T.StructType([*docs.schema.fields, T.StructField(into, ALIGNMENT)])
+    #: numbered names on the way through Python, which takes no dots in them
+    given = [T.StructField(f"given_{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]
+    schema = T.StructType([*given, T.StructField("made", ALIGNMENT)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = worker_pair(first, second, kept_bytes)
@@ -238,7 +240,8 @@ def align(
                 made = pa.StructArray.from_arrays(columns, ALIGNMENT.fieldNames())
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(last)], made], schema.fieldNames())
 
-    return docs.select(*[F.col(f"`{c}`") for c in docs.columns], text_of(f"`{text}`").alias(into)).mapInArrow(run, schema)
+    named = [F.col(f"`{c}`").alias(f.name) for c, f in zip(docs.columns, given, strict=True)]
+    return docs.select(*named, text_of(f"`{text}`").alias("made")).mapInArrow(run, schema).toDF(*docs.columns, into)
 
 
 def pair_counts(aligned: DataFrame, size: int, *, pairs: str = "pairs", held: int = HELD_PAIRS) -> DataFrame:
