@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import alignment, chat, collocations, decontaminate, licenses, lm, pieces, quality, shards, simhash, token_counts, toxicity
+from holdfast.llm import alignment, archives, chat, collocations, decontaminate, licenses, lm, pieces, quality, shards, simhash, token_counts, toxicity
 from holdfast.llm.common import text_of
 
 
@@ -116,6 +116,13 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.score_alignments(aligned).select("doc_id", *counted, F.col("alignment.groups").alias("groups_sha256"))
 
 
+def op13_page_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written into an archive as a WARC record, and what reading the archives by ranges gives back."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    records = archives.read_records(archives.write_archives(pages))
+    return archives.page_records(records, pages.schema["page_id"].dataType.simpleString())
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage of ``corpus_pipeline`` over the documents."""
     import corpus_pipeline
@@ -137,6 +144,7 @@ QUERIES = {
     "op10_benchmark_windows": op10_benchmark_windows,
     "op11_collocations": op11_collocations,
     "op12_token_alignment": op12_token_alignment,
+    "op13_page_archives": op13_page_archives,
 }
 
 #: SQL's words: as the operators cut them.
@@ -185,4 +193,10 @@ gone as (select distinct w.lang, w.ws from weakest w join inside i on w.lang = i
 named as (select w.*, array_to_string(w.ws, ' ') as phrase from weakest w anti join gone g on w.lang = g.lang and w.ws = g.ws),
 ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from named)
 select r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, cast(r.score as bigint) as score from ranked r join totals t on r.lang = t.lang where r.rank <= 2000""",
+    "op13_page_archives": r"""
+with p as (select page_id, strlen(coalesce(html, '')) as n, sha256(coalesce(html, '')) as digest from pages),
+g as (select *, row_number() over (partition by digest order by page_id nulls last) as place, first_value(page_id) over (partition by digest order by page_id nulls last) as first from p)
+select page_id, n as payload_bytes, digest as payload_digest, case when n >= 100 and place > 1 then 'revisit' else 'response' end as record_type,
+       case when n >= 100 and place > 1 then first end as refers_to
+from g""",
 }
