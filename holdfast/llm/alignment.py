@@ -23,7 +23,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from typing import NamedTuple
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,9 @@ from holdfast.llm.pieces import MODEL, SPACE, model_path
 
 BYTE_MODEL = "byte_bpe_50k.json"
 #: Words of at most so many characters are remembered, the last so many bytes of them and at most as many before them.
-KEPT_CHARS, KEPT_BYTES = 48, 40 << 20
+KEPT_CHARS, KEPT_BYTES = 48, 100 << 20
+#: Words that are tokenized as one text.
+AT_ONCE = 1024
 #: Bytes that an entry of the cache takes beside its strings.
 ENTRY = 400
 #: Pairs that are broadcast at most; more of them are joined.
@@ -49,14 +51,9 @@ SALTS = 16
 _CUT = re.compile(r"(?<=\S)(?= [\s\S])")
 
 
-class Aligned(NamedTuple):
-    """The alignment of a text: its groups as ``a1,a2|b1;a3|b2``, numbers of tokens and groups, and the pair of every link."""
-
-    groups: str
-    n_a: int
-    n_b: int
-    n_groups: int
-    pairs: bytes
+#: The alignment of a text: its groups as ``a1,a2|b1;a3|b2``, the numbers of tokens and groups, the pair of every link as 64 bits.
+#: A plain tuple, which the garbage collector needn't visit.
+Aligned = tuple[str, int, int, int, bytes]
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -68,21 +65,18 @@ def byte_alphabet() -> dict[str, int]:
 
 
 def char_starts(raw: bytes) -> np.ndarray:
-    """The byte at which each character of ``raw`` begins, and the end."""
+    """The byte at which each character of a text begins, and the end."""
     units = np.frombuffer(raw, np.uint8)
     return np.append(np.flatnonzero((units & 0xC0) != 0x80), len(units))
 
 
-def refined(starts: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.ndarray | None:
-    """The byte ends of tokens: their coarse ends, and inside a run of tokens that share a span the lengths of what they
-    decode to. None where a run does not decode to as many bytes as it spans."""
+def refined(starts: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The byte ends of tokens: the coarse cuts between their spans, and inside a run of tokens that share bytes the lengths of
+    what they decode to. Where a run decodes to other bytes than it spans, the lengths alone decide."""
     own = np.cumsum(lengths)
-    fits = ends - starts == lengths
-    if fits.all() and (starts[1:] == ends[:-1]).all():
-        return ends
-    #: a cut is the end of a token that no other shares; tokens of an empty span belong to the next
+    #: a token that shares no byte with the next ends at a cut; tokens of an empty span belong to the next
     cut = (ends > starts) & np.append(starts[1:] >= ends[:-1], True)
-    return own if (own[cut] == ends[cut]).all() else None
+    return np.where(cut, ends, own) if (own[cut] == ends[cut]).all() else own
 
 
 class Pair:
@@ -103,8 +97,8 @@ class Pair:
         self.a_bytes = [bytes(table.get(c, 0) for c in n) for n in names]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(n[3:5], 16)]) if self.b.is_byte(i) else n.replace(SPACE, " ").encode() for i, n in enumerate(pieces)]
-        self.a_length = np.array([len(x) for x in self.a_bytes])
-        self.b_length = np.array([len(x) for x in self.b_bytes])
+        self.a_length, self.b_length = (np.array([len(x) for x in xs]) for xs in (self.a_bytes, self.b_bytes))
+        self.a_names, self.b_names = (np.array(list(map(str, range(len(x)))), object) for x in (names, pieces))
         self.b_size = len(pieces)
         split = json.loads(self.a.to_str())
         before = split.get("pre_tokenizer") or {}
@@ -120,39 +114,60 @@ class Pair:
         """``spaced`` cut where neither tokenizer reaches across."""
         return _CUT.split(spaced) if self.words_apart else [spaced]
 
-    def _align(self, spaced: str, encoding) -> Aligned | None:
-        """The alignment of a text that begins with a space."""
+    def _align(self, words: list[str]) -> list[Aligned] | None:
+        """The alignments of words that stand side by side, read as one text; None if its tokens decode to anything else."""
+        spaced = "".join(words)
         raw = spaced.encode()
-        proto = self.b.encode(spaced[1:], return_type="proto")
-        a_ids = np.array(encoding.ids, np.int64)
-        b_ids = np.array([p.id for p in proto.pieces], np.int64)
-        if b"".join([self.a_bytes[i] for i in encoding.ids]) != raw or b"".join([self.b_bytes[i] for i in b_ids]) != raw:
+        encoding, places = self.a.encode(spaced, add_special_tokens=False), self.b.encode(spaced[1:], return_type="proto").pieces
+        a, b = encoding.ids, [p.id for p in places]
+        if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
             return None
-        at_byte = char_starts(raw)
-        spans = at_byte[np.array(encoding.offsets).reshape(-1, 2)]
-        a_ends = refined(spans[:, 0], spans[:, 1], self.a_length[a_ids])
+        a_ids, b_ids = np.array(a, np.int64), np.array(b, np.int64)
+        spans = char_starts(raw)[np.fromiter(chain.from_iterable(encoding.offsets), np.int64, 2 * len(a))]
+        a_ends = refined(spans[::2], spans[1::2], self.a_length[a_ids])
         #: the proto counts from the given text, which lacks the first space
-        begins = np.array([p.begin for p in proto.pieces]) + 1
+        begins, b_ends = (np.fromiter(x, np.int64, len(b)) + 1 for x in ((p.begin for p in places), (p.end for p in places)))
         begins[0] = 0
-        b_ends = refined(begins, np.array([p.end for p in proto.pieces]) + 1, self.b_length[b_ids])
-        #: a tokenizer whose spans leave bytes out still tells them by what its tokens decode to
-        a_ends = np.cumsum(self.a_length[a_ids]) if a_ends is None else a_ends
-        b_ends = np.cumsum(self.b_length[b_ids]) if b_ends is None else b_ends
+        b_ends = refined(begins, b_ends, self.b_length[b_ids])
         ends = np.union1d(a_ends, b_ends)
-        a_of, b_of = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
-        pairs = a_ids[a_of] * self.b_size + b_ids[b_of]
+        pairs = a_ids[np.searchsorted(a_ends, ends)] * self.b_size + b_ids[np.searchsorted(b_ends, ends)]
         common = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        a_cut, b_cut = np.searchsorted(a_ends, common) + 1, np.searchsorted(b_ends, common) + 1
-        sides, i, j = [], 0, 0
-        a_list, b_list = a_ids.tolist(), b_ids.tolist()
-        for k, m in zip(a_cut.tolist(), b_cut.tolist(), strict=True):
-            sides.append(",".join(map(str, a_list[i:k])) + "|" + ",".join(map(str, b_list[j:m])))
-            i, j = k, m
-        return Aligned(";".join(sides), len(a_list), len(b_list), len(sides), pairs.tobytes())
+        #: tokens before each group, and the group of each token
+        a_first, b_first = (np.append(0, np.searchsorted(x, common) + 1) for x in (a_ends, b_ends))
+        a_of, b_of = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
+        #: names and what stands after them, the first tokenizer's tokens of a group before the second one's
+        texts = np.full(2 * (len(a) + len(b)), ",", object)
+        for names, ids, at in (
+            (self.a_names, a_ids, np.arange(len(a)) + b_first[a_of]), (self.b_names, b_ids, np.arange(len(b)) + a_first[b_of + 1]),
+        ):
+            texts[2 * at] = names[ids]
+        before = a_first + b_first
+        texts[2 * (before[:-1] + np.diff(a_first)) - 1] = "|"
+        texts[2 * before[1:] - 1] = ";"
+        stops = np.cumsum([len(w.encode()) for w in words])
+        groups = np.append(0, np.searchsorted(common, stops) + 1)
+        links = np.append(0, np.searchsorted(ends, stops) + 1).tolist()
+        a_at, b_at, tokens = a_first[groups].tolist(), b_first[groups].tolist(), (2 * before[groups]).tolist()
+        groups, texts, raw_pairs = groups.tolist(), texts.tolist(), pairs.tobytes()
+        return [
+            ("".join(texts[tokens[i] : tokens[i + 1] - 1]), a_at[i + 1] - a_at[i], b_at[i + 1] - b_at[i], groups[i + 1] - groups[i],
+             raw_pairs[8 * links[i] : 8 * links[i + 1]])
+            for i in range(len(words))
+        ]
+
+    def _align_each(self, words: list[str]) -> Iterator[tuple[str, Aligned | None]]:
+        """Words with their alignments; those that can stand side by side are aligned together."""
+        together = [w for w in words if self.words_apart and SPACE not in w and not w[-1].isspace()]
+        for start in range(0, len(together), AT_ONCE):
+            part = together[start : start + AT_ONCE]
+            found = self._align(part)
+            yield from zip(part, found or [(self._align([w]) or [None])[0] for w in part], strict=True)
+        for word in set(words).difference(together):
+            yield word, (self._align([word]) or [None])[0]
 
     def _keep(self, word: str, found: Aligned | None) -> None:
         if len(word) <= KEPT_CHARS:
-            self.held += ENTRY + 2 * len(word) + (len(found.groups) + len(found.pairs) if found else 0)
+            self.held += ENTRY + 2 * len(word) + (len(found[0]) + len(found[4]) if found else 0)
             if self.held >= self.kept_bytes:
                 self.known, self.older, self.held = {}, self.known, 0
             self.known[word] = found
@@ -160,28 +175,24 @@ class Pair:
     def align_all(self, texts: list[str]) -> list[Aligned | None]:
         """The alignments of whole texts; None for those without tokens."""
         cut = [self.words(" " + t) if t else [] for t in texts]
-        new: dict[str, Aligned | None] = {}
         known, older = self.known, self.older
-        unseen = []
-        for word in {w for words in cut for w in words if w not in known}:
-            if word in older:
-                new[word] = older[word]
-            else:
-                unseen.append(word)
-        for start in range(0, len(unseen), 1024):
-            part = unseen[start : start + 1024]
-            for word, encoding in zip(part, self.a.encode_batch(part, add_special_tokens=False), strict=True):
-                new[word] = self._align(word, encoding)
+        every = set().union(*cut)
+        here = {w: known[w] for w in every if w in known}
+        every.difference_update(here)
+        new = {w: older[w] for w in every if w in older}
+        every.difference_update(new)
+        new.update(self._align_each(list(every)))
+        here.update(new)
         out = []
         for words in cut:
-            parts = [new[w] if w in new else known[w] for w in words]
-            if not parts or None in parts:
-                out.append(None)
-            elif len(parts) == 1:
+            parts = [here[w] for w in words]
+            if len(parts) == 1:
                 out.append(parts[0])
+            elif not parts or None in parts:
+                out.append(None)
             else:
                 groups, n_a, n_b, n_groups, pairs = zip(*parts, strict=True)
-                out.append(Aligned(";".join(groups), sum(n_a), sum(n_b), sum(n_groups), b"".join(pairs)))
+                out.append((";".join(groups), sum(n_a), sum(n_b), sum(n_groups), b"".join(pairs)))
         for word, found in new.items():
             self._keep(word, found)
         return out
@@ -226,14 +237,14 @@ def align(
                 keys, times, ends = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [0]
                 for one in found:
                     if one is not None:
-                        key, n = np.unique(np.frombuffer(one.pairs, np.int64), return_counts=True)
+                        key, n = np.unique(np.frombuffer(one[4], np.int64), return_counts=True)
                         keys.append(key)
                         times.append(n)
                     ends.append(ends[-1] + (len(key) if one is not None else 0))
                 offsets = pa.array(ends, pa.int32())
-                counts = [[(o.n_a, o.n_b, o.n_groups, len(o.pairs) // 8)[i] if o else 0 for o in found] for i in range(4)]
+                counts = [[o[i] if o else 0 for o in found] for i in (1, 2, 3)] + [[len(o[4]) // 8 if o else 0 for o in found]]
                 columns = [
-                    *[pa.array(c, pa.int64()) for c in counts], pa.array([o.groups if o else "" for o in found], pa.string()),
+                    *[pa.array(c, pa.int64()) for c in counts], pa.array([o[0] if o else "" for o in found], pa.string()),
                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys))),
                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(times).astype(np.int32))),
                 ]

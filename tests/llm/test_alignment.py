@@ -78,19 +78,22 @@ def test_words_apart_give_the_libraries_own_alignment(texts):
         if found is None:
             assert groups == ""
             continue
-        pairs = np.frombuffer(found.pairs, np.int64)
-        assert (found.groups, found.n_a, found.n_b) == (groups, n_a, n_b)
+        pairs = np.frombuffer(found[4], np.int64)
+        assert found[:3] == (groups, n_a, n_b)
         assert sorted(zip((pairs // B.get_piece_size()).tolist(), (pairs % B.get_piece_size()).tolist(), strict=True)) == sorted(links)
-        assert len(links) == n_a + n_b - found.n_groups
+        assert len(links) == n_a + n_b - found[3]
 
 
 def test_coarse_cuts_and_their_refinement():
-    own = lambda *x: np.array(x)
-    assert alignment.refined(own(0, 2), own(2, 5), own(2, 3)).tolist() == [2, 5]
+    def ends(spans, lengths):
+        starts, stops = (np.array(x) for x in zip(*spans, strict=True))
+        return alignment.refined(starts, stops, np.array(lengths)).tolist()
+
+    assert ends([(0, 2), (2, 5)], [2, 3]) == [2, 5]
     #: three tokens of one character, by the same span or by empty ones
-    assert alignment.refined(own(0, 1, 1, 1), own(1, 4, 4, 4), own(1, 1, 1, 1)).tolist() == [1, 2, 3, 4]
-    assert alignment.refined(own(0, 1, 1, 1), own(1, 1, 1, 4), own(1, 1, 1, 1)).tolist() == [1, 2, 3, 4]
-    assert alignment.refined(own(0, 1), own(1, 3), own(2, 2)) is None
+    assert ends([(0, 1), (1, 4), (1, 4), (1, 4)], [1] * 4) == [1, 2, 3, 4]
+    assert ends([(0, 1), (1, 1), (1, 1), (1, 4)], [1] * 4) == [1, 2, 3, 4]
+    assert ends([(0, 1), (1, 3)], [2, 2]) == [2, 4]
 
 
 def rows_of(spark, sf):
