@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from holdfast import config
 from holdfast.errors import DomainError, UnsafeEncoderError
 from holdfast.functions import expressions as fx
-from holdfast.operators.stats import Agg, FitSteps, Grouped, Levels, Quantiles, Spread, in_step, sql_double
+from holdfast.operators.clusters import fit_kmeans
+from holdfast.operators.stats import Agg, FitSteps, Levels, Quantiles, Spread, in_step, sql_double
 
 Columns = dict[str, Column]
 Keep = Callable[[Column], Column]
@@ -520,17 +521,13 @@ def _fit_line_kmeans(x: Column, keep: Keep, edges: list[float], max_iter: int) -
 class Geo(Step):
     """Weighted k-means over coordinates, then an RBF similarity to every centre.
 
-    The starts run on a summary of the data: one aggregation folds the rows into at most
-    ``cells``^2 grid cells (weight and weighted coordinate sums), and ``n_init`` seeded starts
-    compete on it. The winner is then refined by Lloyd rounds over the rows themselves, one
-    aggregation each, until the centres rest. Sums do not depend on partitioning, so neither do the
-    centres. Centres are sorted, so column i means the same region after every fit.
+    ``n_init`` starts compete on the rows (see ``clusters``); with ``start`` one start goes from given centres. Centres are
+    sorted, so column i means the same region after every fit, and don't depend on partitioning but for the order of sums.
     """
 
     defaults = {
         "n_clusters": 10, "gamma": 1.0, "weight_by": "population", "seed": config.RANDOM_SEED,
-        "n_init": 10, "max_iter": 100, "tol": 1e-4, "cells": 64,
-        "coordinates": ["latitude", "longitude"], "start": None,
+        "n_init": 10, "max_iter": 300, "tol": 1e-4, "coordinates": ["latitude", "longitude"], "start": None,
     }
 
     def _point(self, columns: Columns) -> list[Column]:
@@ -547,41 +544,21 @@ class Geo(Step):
             weight = F.greatest(columns[o["weight_by"]].cast("double"), F.lit(1e-9))
         kept = [keep(p.cast("double")) for p in point]
         extent = yield {"e": Agg({
-            **{f"lo{i}": F.min(p) for i, p in enumerate(kept)},
-            **{f"hi{i}": F.max(p) for i, p in enumerate(kept)},
-            **{f"sd{i}": F.var_pop(p) for i, p in enumerate(kept)},
+            "n": F.count(kept[0]), **{f"sd{i}": F.var_pop(p) for i, p in enumerate(kept)},
             "nulls": F.count(keep(F.when(_any_null(point), 1))),
         })}
         e = extent["e"]
         if e["nulls"]:
             raise ValueError(f"{e['nulls']} row(s) hold a null in {o['coordinates']}: coordinates are not imputed")
-        if e["lo0"] is None:
+        if not e["n"]:
             raise ValueError("cluster similarity needs at least one training row")
         d = len(point)
         inputs = {**{f"x{i}": p for i, p in enumerate(kept)}, "w": weight}
-        sums = {"w": "sum(w)", **{f"s{i}": f"sum(w * x{i})" for i in range(d)}}
-        centers = o["start"]
-        if centers is None:
-            keys = {
-                f"k{i}": f"floor((x{i} - {sql_double(e[f'lo{i}'])}) / "
-                f"{sql_double(((e[f'hi{i}'] - e[f'lo{i}']) or 1.0) / o['cells'])})"
-                for i in range(d)
-            }
-            cells = yield {"g": Grouped(inputs, keys, sums)}
-            cells = sorted((c for c in cells["g"] if c["k0"] is not None), key=lambda c: tuple(c[k] for k in keys))
-            centers = _seed_centers(cells, d, o["n_clusters"], o["n_init"], o["seed"])
-        tolerance = o["tol"] * float(np.mean([e[f"sd{i}"] for i in range(d)]))
-        for _ in range(o["max_iter"]):
-            found = yield {"g": Grouped(inputs, {"k": nearest_center(centers)}, sums)}
-            moved = [list(c) for c in centers]
-            for row in found["g"]:
-                if row["k"] is not None:
-                    moved[row["k"]] = [row[f"s{i}"] / row["w"] for i in range(d)]
-            shift = sum((a - b) ** 2 for old, new in zip(centers, moved) for a, b in zip(old, new))
-            centers = moved
-            if shift <= tolerance:
-                break
-        return {"centers": sorted([float(v) for v in c] for c in centers)}
+        centers = yield from fit_kmeans(
+            inputs, d, o["n_clusters"], seed=o["seed"], n_init=o["n_init"], max_iter=o["max_iter"],
+            tolerance=o["tol"] * float(np.mean([e[f"sd{i}"] for i in range(d)])), start=o["start"],
+        )
+        return {"centers": centers}
 
     def apply(self, state, columns):
         similarity = fx.rbf_similarity(self._point(columns), state["centers"], self.options["gamma"])
@@ -603,41 +580,6 @@ def nearest_center(centers) -> str:
     return f"cast(array_position(array({gaps}), array_min(array({gaps}))) as int) - 1"
 
 
-def _seed_centers(cells: list[dict], d: int, k: int, n_init: int, seed: int) -> list[list[float]]:
-    """Best of several seeded starts (k-means++ and Lloyd) on the weighted grid summary."""
-    w = np.array([c["w"] for c in cells])
-    x = np.array([[c[f"s{i}"] / c["w"] for i in range(d)] for c in cells])
-    x_mean = np.average(x, axis=0, weights=w)
-    x = x - x_mean
-    rng = np.random.default_rng(seed)
-
-    def gaps(centers):
-        return np.maximum((x * x).sum(1)[:, None] - 2.0 * x @ centers.T + (centers * centers).sum(1), 0.0)
-
-    best, best_cost = None, math.inf
-    for _ in range(n_init):
-        centers = x[[rng.choice(len(x), p=w / w.sum())]]
-        near = gaps(centers)[:, 0]
-        while len(centers) < k:
-            mass = near * w
-            p = mass / mass.sum() if mass.sum() > 0 else w / w.sum()
-            centers = np.vstack([centers, x[[rng.choice(len(x), p=p)]]])
-            near = np.minimum(near, gaps(centers[-1:])[:, 0])
-        for _ in range(20):
-            gap = gaps(centers)
-            home = gap.argmin(1)
-            mass = np.bincount(home, w, k)
-            moved = np.stack([np.bincount(home, w * x[:, i], k) for i in range(d)], 1)
-            moved = np.where(mass[:, None] > 0, moved / np.maximum(mass, 1e-300)[:, None], centers)
-            if np.allclose(moved, centers, rtol=0, atol=1e-3):
-                break
-            centers = moved
-        cost = float((gap.min(1) * w).sum())
-        if cost < best_cost:
-            best, best_cost = centers, cost
-    return (best + x_mean).tolist()
-
-
 STEPS = {c.__name__: c for c in (Impute, ImputeMode, Deskew, Scale, Clip, Ratios, OneHot, Ordinal, Bins, Geo)}
 
 
