@@ -335,7 +335,7 @@ ORACLE["geo_lloyd_round"] = h(
  pow(latitude - 40, 2) + pow(longitude + 120, 2) as d2 from h))""",
 )
 _LEVELS = {"<1H OCEAN": "lt1H OCEAN", "INLAND": "INLAND", "NEAR BAY": "NEAR BAY", "NEAR OCEAN": "NEAR OCEAN"}
-ORACLE["preprocessor_exact_branches"] = h(
+_BRANCHES = (
     f"select h.id, {ratio_out('ratios__')}, {numeric_out(HEAVY, 'heavy__', 'a')}, {numeric_out(config.PLAIN_COLUMNS, 'plain__', 'b')}, "
     + ", ".join(f"""cast(ocean_proximity = '{v}' as double) as "categorical__ocean_proximity_{n}" """ for v, n in _LEVELS.items())
     + ", cast(ocean_proximity = 'ISLAND' as double) as categorical__ocean_proximity_infrequent_sklearn, "
@@ -345,9 +345,41 @@ ORACLE["preprocessor_exact_branches"] = h(
     )
     + " from h join r3 using (id) join a0 using (id) join b0 using (id), r4, a1, "
     + "(select " + ", ".join(f"m_{c}, s_{c}" for c in config.PLAIN_COLUMNS) + " from b1) b1, "
-    + ", ".join(f"e_{c}" for c in config.BINNED_COLUMNS),
-    *RATIO_CTES, *numeric_ctes(HEAVY, True, "a"), *numeric_ctes(config.PLAIN_COLUMNS, False, "b"),
-    *[bin_ctes(c, 5) for c in config.BINNED_COLUMNS],
+    + ", ".join(f"e_{c}" for c in config.BINNED_COLUMNS)
+)
+_BRANCH_CTES = [
+    *RATIO_CTES, *numeric_ctes(HEAVY, True, "a"), *numeric_ctes(config.PLAIN_COLUMNS, False, "b"), *[bin_ctes(c, 5) for c in config.BINNED_COLUMNS],
+]
+ORACLE["preprocessor_exact_branches"] = h(_BRANCHES, *_BRANCH_CTES)
+
+
+def _geo_ctes(start: list[list[float]], rounds: int) -> list[str]:
+    """Centres after each round of weighted k-means; cc holds the last ones in order."""
+    out = ["c0 as (select * from (values " + ", ".join(f"({i}, {a}::double, {b}::double)" for i, (a, b) in enumerate(start)) + ") v(j, la, lo))"]
+    for i in range(rounds):
+        out.append(
+            f"g{i} as (select h.id, any_value(latitude) as y, any_value(longitude) as x, any_value(greatest(population, 1e-9)) as w, "
+            f"arg_min(j, (latitude - la) * (latitude - la) + (longitude - lo) * (longitude - lo)) as k from h, c{i} group by h.id)"
+        )
+        out.append(f"c{i + 1} as (select k as j, sum(w * y) / sum(w) as la, sum(w * x) / sum(w) as lo from g{i} group by k)")
+    return [*out, f"cc as (select cast(row_number() over (order by la, lo) - 1 as integer) as j, la, lo from c{rounds})"]
+
+
+#: As in the queries.
+GEO_START, GEO_ROUNDS = [[33.0 + 0.9 * i, -123.5 + (0.7 * i * i) % 8.0] for i in range(10)], 3
+ORACLE["preprocessor"] = h(
+    "select e.*, " + ", ".join(
+        f"round(exp(-((latitude - la_{i}) * (latitude - la_{i}) + (longitude - lo_{i}) * (longitude - lo_{i}))), 6) + 0.0 as geo__geo_cluster_{i}_similarity"
+        for i in range(10)
+    ) + f" from ({_BRANCHES}) e join h using (id), cp",
+    *_BRANCH_CTES, *_geo_ctes(GEO_START, GEO_ROUNDS),
+    "cp as (select " + ", ".join(f"max({v}) filter (where j = {i}) as {v}_{i}" for i in range(10) for v in ("la", "lo")) + " from cc)",
+)
+ORACLE["geo_centroids"] = h(f"select j as cluster, {r('la')} as latitude, {r('lo')} as longitude from cc", *_geo_ctes(GEO_START, GEO_ROUNDS))
+ORACLE["geo_kmeans_fit"] = h(
+    f"select k as cluster, count(*) as n, {r('sum(population)', 4)} as population from gg group by k", *_geo_ctes(GEO_START, GEO_ROUNDS),
+    """gg as (select h.id, any_value(population) as population, arg_min(j, (latitude - la) * (latitude - la) + (longitude - lo) * (longitude - lo)) as k
+ from h, cc group by h.id)""",
 )
 
 _NAMES = (

@@ -515,18 +515,35 @@ def binned_block(spark, d):
     return fitted(housing(spark, d), config.BINNED_COLUMNS, binned_steps(5, "quantile", "ordinal"))
 
 
-def _geo(spark, d):
+#: Centres to begin from, and rounds: what SQL can follow.
+GEO_START = [[33.0 + 0.9 * i, -123.5 + (0.7 * i * i) % 8.0] for i in range(10)]
+GEO_ROUNDS = 3
+
+
+def _geo(spark, d, **options):
     h = housing(spark, d)
-    step = steps.Geo()
-    return h, step, fit_one(h, step.fit({c: F.col(c) for c in config.GEO_COLUMNS}, keep_all))
+    state = fit_one(h, steps.Geo(**options).fit({c: F.col(c) for c in config.GEO_COLUMNS}, keep_all))
+    return h, spark.createDataFrame(list(enumerate(map(tuple, state["centers"]))), "cluster int, c struct<latitude:double,longitude:double>").select("cluster", "c.*")
 
 
 @query("geo_kmeans_fit")
 def geo_kmeans_fit(spark, d):
-    h, step, state = _geo(spark, d)
-    nearest = F.expr(steps.nearest_center(state["centers"]))
+    """Weighted rounds from given centres, and the rows that each centre ends up with."""
+    h, centers = _geo(spark, d, start=GEO_START, max_iter=GEO_ROUNDS, tol=0.0)
+    nearest = F.expr(steps.nearest_center([tuple(r)[1:] for r in centers.orderBy("cluster").collect()]))
     placed = h.select(F.col("latitude").alias("x0"), F.col("longitude").alias("x1"), "population")
-    return placed.groupBy(nearest.alias("cluster")).agg(F.count(F.lit(1)).alias("n"), F.sum("population").alias("population"))
+    return rounded(placed.groupBy(nearest.alias("cluster")).agg(F.count(F.lit(1)).alias("n"), F.sum("population").alias("population")), 4)
+
+
+@query("geo_centroids")
+def geo_centroids(spark, d):
+    return rounded(_geo(spark, d, start=GEO_START, max_iter=GEO_ROUNDS, tol=0.0)[1])
+
+
+@query("geo_kmeans_starts")
+def geo_kmeans_starts(spark, d):
+    """Ten starts of their own, to the end: the operator as shipped."""
+    return _geo(spark, d)[1]
 
 
 @query("geo_lloyd_round")
@@ -538,15 +555,11 @@ def geo_lloyd_round(spark, d):
     return rounded(spark.createDataFrame(state["centers"], "latitude double, longitude double"))
 
 
-@query("geo_centroids")
-def geo_centroids(spark, d):
-    return spark.createDataFrame(_geo(spark, d)[2]["centers"], "latitude double, longitude double")
-
-
 @query("preprocessor")
 def preprocessor(spark, d):
+    """All branches, the clusters' centres followed from given ones."""
     h = housing(spark, d)
-    return FeatureBranches().fit(h).feature_frame(h, KEY)
+    return rounded(FeatureBranches(geoStart=GEO_START, geoRounds=GEO_ROUNDS).fit(h).feature_frame(h, KEY))
 
 
 @query("preprocessor_exact_branches")

@@ -92,6 +92,8 @@ class FeatureBranches(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     deskew = Param(Params._dummy(), "deskew", "none, log or yeo-johnson", TypeConverters.toString)
     encoder = Param(Params._dummy(), "encoder", "onehot or ordinal", TypeConverters.toString)
     nClusters = Param(Params._dummy(), "nClusters", "geographic centres", TypeConverters.toInt)
+    geoStart = Param(Params._dummy(), "geoStart", "centres that k-means begins from; empty: starts of its own", TypeConverters.toList)
+    geoRounds = Param(Params._dummy(), "geoRounds", "k-means rounds at most", TypeConverters.toInt)
     gamma = Param(Params._dummy(), "gamma", "RBF width", TypeConverters.toFloat)
     nBins = Param(Params._dummy(), "nBins", "quantile bins", TypeConverters.toInt)
     clip = Param(Params._dummy(), "clip", "tail share clipped off the ratios", TypeConverters.toFloat)
@@ -110,13 +112,13 @@ class FeatureBranches(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     @keyword_only
     def __init__(self, *, imputer="median", heavyImputer="", scaler="standard", deskew="log", encoder="onehot",
                  nClusters=10, gamma=1.0, nBins=5, clip=0.001, seed=config.RANDOM_SEED, exact=True, keyCols=None,
-                 outputCol="features", extraCols=None, geoCols=None, ratioSpecs=None, heavyCols=None, plainCols=None,
+                 outputCol="features", extraCols=None, geoStart=None, geoRounds=300, geoCols=None, ratioSpecs=None, heavyCols=None, plainCols=None,
                  categoryCols=None, binnedCols=None):
         super().__init__()
         kwargs = dict(self._input_kwargs)
         self._setDefault(imputer="median", heavyImputer="", scaler="standard", deskew="log", encoder="onehot",
                          nClusters=10, gamma=1.0, nBins=5, clip=0.001, seed=config.RANDOM_SEED, exact=True,
-                         keyCols=[], outputCol="features", extraCols=[], geoCols=config.GEO_COLUMNS,
+                         keyCols=[], outputCol="features", extraCols=[], geoStart=[], geoRounds=300, geoCols=config.GEO_COLUMNS,
                          ratioSpecs=[list(r) for r in config.RATIOS], heavyCols=config.HEAVY_TAILED_COLUMNS,
                          plainCols=config.PLAIN_COLUMNS, categoryCols=config.CATEGORICAL_COLUMNS, binnedCols=config.BINNED_COLUMNS)
         self._set(**{k: v for k, v in kwargs.items() if v is not None})
@@ -136,9 +138,10 @@ class FeatureBranches(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             return "median" if kind == "knn" else kind
 
         specs = [tuple(r) for r in p["ratioSpecs"]]
+        geo = st.Geo(n_clusters=p["nClusters"], gamma=p["gamma"], seed=p["seed"], max_iter=p["geoRounds"], start=[list(c) for c in p["geoStart"]] or None)
         divided = self._ratio_sources()
         out = [
-            ("geo", same(p["geoCols"]), [st.Geo(n_clusters=p["nClusters"], gamma=p["gamma"], seed=p["seed"])]),
+            ("geo", same(p["geoCols"]), [geo]),
             ("ratios", imputed(divided, p["imputer"]), ratio_steps(first(p["imputer"]), p["scaler"], p["clip"], exact, specs)),
             ("heavy", imputed(p["heavyCols"], heavy), numeric_steps(first(heavy), p["deskew"], p["scaler"], exact)),
             ("plain", same(p["plainCols"]), numeric_steps(first(p["imputer"]), "none", p["scaler"], exact)),

@@ -3,8 +3,10 @@
 A start's candidates come from the rows themselves. Its first is drawn by weight; then in each of a few rounds
 ``oversample`` x k rows are drawn by weight times squared distance to the candidates so far, as the least of exponential
 races whose random numbers are hashes of the row's values, so a draw depends on neither partitioning nor task. Candidates
-are weighted by the rows nearest to them, reduced to k centres on the driver, and moved by Lloyd rounds over the rows. A
-centre that gets no row moves to the row farthest from its own. The start with the least inertia wins.
+are weighted by the rows nearest to them and reduced to k centres on the driver. Lloyd rounds on a sample of some
+``SAMPLE`` rows bring these near to where they will rest, which only saves passes; then Lloyd rounds over the rows
+themselves move those of the ``FINALISTS`` starts of least inertia until they rest. A centre that gets no row moves to the
+row farthest from its own. The start with the least inertia wins.
 """
 
 from __future__ import annotations
@@ -18,9 +20,11 @@ from pyspark.sql import Column
 from holdfast.operators.partials import Arrays, Least, Sums
 
 #: Rounds of drawing, and candidates drawn in each for each centre wanted.
-ROUNDS, OVERSAMPLE = 5, 2
-#: Lloyd rounds on the weighted candidates.
-LOCAL_ROUNDS = 100
+ROUNDS, OVERSAMPLE = 3, 3
+#: Starts that go on to Lloyd rounds over the rows.
+FINALISTS = 2
+#: Lloyd rounds on the driver, rows of the sample, and different points that it must hold for each centre.
+LOCAL_ROUNDS, SAMPLE, PER_CENTER = 100, 8192, 20
 
 
 def _rows(columns: Arrays, d: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,26 +116,44 @@ def _reduced(x: np.ndarray, w: np.ndarray, k: int, rng: np.random.Generator) ->
         near = squared_gaps(x, centers).min(1)
         mass = np.where(near > 0, near * np.maximum(w, w[w > 0].min()), 0.0)
         centers = np.vstack([centers, x[[rng.choice(len(x), p=mass / mass.sum())]]])
+    return _settled(x, w, centers)
+
+
+def _settled(x: np.ndarray, w: np.ndarray, centers: np.ndarray, tolerance: float = 0.0) -> np.ndarray:
+    """Centres after Lloyd rounds on points held here."""
     for _ in range(LOCAL_ROUNDS):
         home = squared_gaps(x, centers).argmin(1)
         mass = np.bincount(home, w, len(centers))
         moved = np.stack([np.bincount(home, w * x[:, i], len(centers)) for i in range(x.shape[1])], 1)
         moved = np.where(mass[:, None] > 0, moved / np.where(mass > 0, mass, 1.0)[:, None], centers)
-        if np.array_equal(moved, centers):
+        shift, centers = ((moved - centers) ** 2).sum(), moved
+        if shift <= tolerance:
             break
-        centers = moved
     return centers
 
 
-def fit_kmeans(inputs: dict[str, Column], d: int, k: int, *, seed: int, n_init: int, max_iter: int, tolerance: float, start=None):
-    """Centres of the points x0, x1, ... weighted by w; with ``start`` one start from these centres.
+def _draw(columns: Arrays, d: int, tag: int, share: float) -> np.ndarray:
+    """The random numbers of a share of the rows, whatever their weight."""
+
+    def key(x, w):
+        u = hashed_uniform(np.column_stack([x, w]), tag)
+        return np.where(u < share, u, np.inf)[None]
+
+    return _whole_keys(columns, d, key)
+
+
+def fit_kmeans(inputs: dict[str, Column], d: int, k: int, *, n: int, seed: int, n_init: int, max_iter: int, tolerance: float, start=None):
+    """Centres of n points x0, x1, ... weighted by w; with ``start`` one start from these centres.
 
     A generator for ``operators.stats``. A table of fewer than k different points gives some centres twice.
     """
     if start is not None:
         starts = [np.array(start, float)]
     else:
-        starts = yield from _oversampled(inputs, d, k, seed, n_init)
+        starts = yield from _oversampled(inputs, d, k, n, seed, n_init, tolerance)
+    if len(starts) > FINALISTS:
+        costs = yield from _inertia(inputs, d, k, starts)
+        starts = [starts[s] for s in sorted(np.argsort(costs, kind="stable")[:FINALISTS])]
     active = list(range(len(starts)))
     for _ in range(max_iter):
         if not active:
@@ -155,15 +177,24 @@ def fit_kmeans(inputs: dict[str, Column], d: int, k: int, *, seed: int, n_init:
         active = still
     best = 0
     if len(starts) > 1:
-        found = (yield {"m": Sums(inputs, partial(_moments, d=d, centers=starts))})["m"]
-        best = int(found[:, -1].reshape(len(starts), k).sum(1).argmin())
+        best = int(np.argmin((yield from _inertia(inputs, d, k, starts))))
     return sorted([float(v) for v in c] for c in starts[best])
 
 
-def _oversampled(inputs: dict[str, Column], d: int, k: int, seed: int, n_init: int):
+def _inertia(inputs: dict[str, Column], d: int, k: int, starts: list[np.ndarray]):
+    found = (yield {"m": Sums(inputs, partial(_moments, d=d, centers=starts))})["m"]
+    return found[:, -1].reshape(len(starts), k).sum(1)
+
+
+def _oversampled(inputs: dict[str, Column], d: int, k: int, n: int, seed: int, n_init: int, tolerance: float):
     tags = [[(seed * 1_000_003 + s) * 64 + r for s in range(n_init)] for r in range(ROUNDS + 1)]
-    found = (yield {"first": Least(inputs, partial(_race, d=d, tags=tags[0], centers=None), 1)})["first"]
-    candidates = [np.array([values[:d] for _, values in found[s]]) for s in range(n_init)]
+    drawn = yield {
+        "first": Least(inputs, partial(_race, d=d, tags=tags[0], centers=None), 1),
+        "sample": Least(inputs, partial(_draw, d=d, tag=tags[0][0] + 63, share=SAMPLE / n), 2 * SAMPLE),
+    }
+    candidates = [np.array([values[:d] for _, values in drawn["first"][s]]) for s in range(n_init)]
+    sample = np.array([values for _, values in drawn["sample"].get(0, [])]).reshape(-1, d + 1)
+    sample_helps = len(np.unique(sample[:, :d], axis=0)) >= PER_CENTER * k
     for r in range(1, ROUNDS + 1):
         asked = Least(inputs, partial(_race, d=d, tags=tags[r], centers=candidates), OVERSAMPLE * k)
         drawn = (yield {"drawn": asked})["drawn"]
@@ -172,5 +203,7 @@ def _oversampled(inputs: dict[str, Column], d: int, k: int, seed: int, n_init: i
     starts = []
     for s, c in enumerate(candidates):
         centers = _reduced(c, masses[s, : len(c)], k, np.random.default_rng([seed, s]))
+        if sample_helps:
+            centers = _settled(sample[:, :d], sample[:, d], centers, tolerance / 10)
         starts.append(np.concatenate([centers, np.repeat(centers[:1], k - len(centers), 0)]))
     return starts

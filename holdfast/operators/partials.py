@@ -38,8 +38,11 @@ class Least:
 _PARTIAL = "request int, line int, key double, value array<double>"
 
 
-def run_partials(df: DataFrame, requests: Sequence[Sums | Least]) -> list:
-    """Each request's answer, from one pass: a matrix, or None where there is no row; a list of (key, values) for each group."""
+def run_partials(df: DataFrame, requests: Sequence[Sums | Least], raw: Sequence[str] = ()) -> list:
+    """Each request's answer, from one pass: a matrix, or None where there is no row; a list of (key, values) for each group.
+
+    Columns named in ``raw`` reach every ``work`` as Arrow arrays.
+    """
     named: dict[str, tuple[str, Column]] = {}
     wanted: list[dict[str, int]] = []
     for request in requests:
@@ -51,14 +54,16 @@ def run_partials(df: DataFrame, requests: Sequence[Sums | Least]) -> list:
         wanted.append(places)
     works = [(r.work, places, getattr(r, "size", 0)) for r, places in zip(requests, wanted)]
     sizes = [r.size if isinstance(r, Least) else 0 for r in requests]
+    width = len(named)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Held(sizes)
         for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            given = {name: batch.column(width + n) for n, name in enumerate(raw)}
+            columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in range(width)]
             for i, (work, places, size) in enumerate(works):
                 own = {name: columns[at] for name, at in places.items()}
-                made = work(own)
+                made = work({**own, **given})
                 if not size:
                     held.add_matrix(i, made)
                     continue
@@ -76,15 +81,19 @@ def run_partials(df: DataFrame, requests: Sequence[Sums | Least]) -> list:
         for batch in batches:
             lists = batch.column(3)
             flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *lists.value_lengths().to_pylist()])
-            for n, (i, line, key) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)))):
-                value = flat[ends[n] : ends[n + 1]]
+            of_line: dict[tuple[int, int], list[int]] = {}
+            for n, where in enumerate(zip(*(batch.column(c).to_pylist() for c in range(2)))):
+                of_line.setdefault(where, []).append(n)
+            keys = batch.column(2).to_numpy()
+            for (i, line), places in of_line.items():
+                values = [flat[ends[n] : ends[n + 1]] for n in places]
                 if sizes[i]:
-                    held.add_rows(i, line, np.array([key]), value[None])
+                    held.add_rows(i, line, keys[places], np.array(values))
                 else:
-                    held.add_line(i, line, value)
+                    held.add_line(i, line, np.sum(values, 0))
         yield from held.batches()
 
-    rows = df.select(*[c.cast("double").alias(name) for name, c in named.values()]).mapInArrow(partial, _PARTIAL)
+    rows = df.select(*[c.cast("double").alias(name) for name, c in named.values()], *raw).mapInArrow(partial, _PARTIAL)
     merged = rows.repartition("request", "line").mapInArrow(merge, _PARTIAL).toArrow()
     found: list[dict[int, list]] = [{} for _ in requests]
     for row in merged.to_pylist():

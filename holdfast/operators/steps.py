@@ -530,6 +530,11 @@ class Geo(Step):
         "n_init": 10, "max_iter": 300, "tol": 1e-4, "coordinates": ["latitude", "longitude"], "start": None,
     }
 
+    def check(self):
+        start = self.options["start"]
+        if start is not None and len(start) != self.options["n_clusters"]:
+            raise ValueError(f"{self.options['n_clusters']} clusters can't start from {len(start)} centres")
+
     def _point(self, columns: Columns) -> list[Column]:
         missing = [c for c in self.options["coordinates"] if c not in columns]
         if missing:
@@ -555,7 +560,7 @@ class Geo(Step):
         d = len(point)
         inputs = {**{f"x{i}": p for i, p in enumerate(kept)}, "w": weight}
         centers = yield from fit_kmeans(
-            inputs, d, o["n_clusters"], seed=o["seed"], n_init=o["n_init"], max_iter=o["max_iter"],
+            inputs, d, o["n_clusters"], n=e["n"], seed=o["seed"], n_init=o["n_init"], max_iter=o["max_iter"],
             tolerance=o["tol"] * float(np.mean([e[f"sd{i}"] for i in range(d)])), start=o["start"],
         )
         return {"centers": centers}

@@ -11,6 +11,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from holdfast import config
 from holdfast.operators.branches import FeatureBranches
 from holdfast.plans.estimators import MedianRegressor, RidgeRegressor, StackRegressor
+from holdfast.plans.leafwise import LeafwiseRegressor
 
 LABEL = config.TARGET
 
@@ -30,10 +31,6 @@ class Arm(NamedTuple):
     settings: Mapping[str, Setting] = {}
 
 
-def _depth_of(leaves: int) -> int:
-    return max((int(leaves) - 1).bit_length(), 1)
-
-
 def _share(value: float) -> str:
     return "all" if float(value) == 1.0 else str(float(value))
 
@@ -44,9 +41,9 @@ def _boosted(**settings) -> Callable[[str], Estimator]:
 
 _ROUNDS, _STEP = Setting("maxIter", int), Setting("stepSize", float)
 _LEAST_ROWS, _ROWS, _COLUMNS = Setting("minInstancesPerNode", int), Setting("subsamplingRate", float), Setting("featureSubsetStrategy", _share)
+_LEAVES, _L2 = Setting("numLeaves", int), Setting("lambdaL2", float)
 
-# Spark's boosted trees are histogram trees grown level by level. A leaf limit of the other learners
-# is a depth here (2^depth leaves); L2 on leaf values has no counterpart and is not searched.
+# Spark's boosted trees grow level by level; those with a limit of leaves are grown by leaves here.
 ARMS: dict[str, Arm] = {
     "dummy": Arm("the train median: what no skill costs", lambda label: MedianRegressor(labelCol=label)),
     "linear": Arm("what the engineered columns give a model without interactions",
@@ -62,8 +59,8 @@ ARMS: dict[str, Arm] = {
          "min_samples_leaf": _LEAST_ROWS, "max_features": _COLUMNS},
     ),
     "hgb": Arm(
-        "boosting as a common library sets it", _boosted(maxIter=100, stepSize=0.1, maxDepth=5, minInstancesPerNode=20),
-        {"learning_rate": _STEP, "max_iter": _ROUNDS, "max_leaf_nodes": Setting("maxDepth", _depth_of), "min_samples_leaf": _LEAST_ROWS},
+        "boosting as a common library sets it", lambda label: LeafwiseRegressor(labelCol=label),
+        {"learning_rate": _STEP, "max_iter": _ROUNDS, "max_leaf_nodes": _LEAVES, "min_samples_leaf": _LEAST_ROWS, "l2_regularization": _L2},
     ),
     "xgb": Arm(
         "boosting by depth, on samples of rows and columns", _boosted(maxIter=100, stepSize=0.3, maxDepth=6),
@@ -71,9 +68,9 @@ ARMS: dict[str, Arm] = {
          "colsample_bytree": _COLUMNS, "min_child_weight": _LEAST_ROWS},
     ),
     "lgbm": Arm(
-        "boosting by leaves, in small steps", _boosted(maxIter=100, stepSize=0.1, maxDepth=5, minInstancesPerNode=20),
-        {"n_estimators": _ROUNDS, "learning_rate": _STEP, "num_leaves": Setting("maxDepth", _depth_of), "min_child_samples": _LEAST_ROWS,
-         "subsample": _ROWS, "colsample_bytree": _COLUMNS},
+        "boosting by leaves, in small steps", lambda label: LeafwiseRegressor(labelCol=label),
+        {"n_estimators": _ROUNDS, "learning_rate": _STEP, "num_leaves": _LEAVES, "min_child_samples": _LEAST_ROWS,
+         "subsample": _ROWS, "colsample_bytree": Setting("featureShare", float), "reg_lambda": _L2},
     ),
     "stack": Arm("unlike learners under one ridge", lambda label: stack(["id"], label=label)),
 }
@@ -130,6 +127,7 @@ CHOSEN: dict[str, dict[str, Any]] = {
     },
     "lgbm": {
         "n_estimators": 600, "learning_rate": 0.05, "num_leaves": 127, "min_child_samples": 20, "subsample": 0.85, "colsample_bytree": 0.8,
+        "reg_lambda": 1.0,
     },
 }
 CHOSEN_FEATURES: dict[str, dict[str, Any]] = {
@@ -188,4 +186,4 @@ def chosen_chain(name: str, *, keys: Sequence[str] = ("id",)) -> Pipeline:
 
 def is_iterative(estimator: Estimator) -> bool:
     """Does fitting read its input many times, so that keeping it in memory pays?"""
-    return isinstance(estimator, (GBTRegressor, RandomForestRegressor, StackRegressor))
+    return isinstance(estimator, (GBTRegressor, LeafwiseRegressor, RandomForestRegressor, StackRegressor))
