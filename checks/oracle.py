@@ -595,9 +595,8 @@ ORACLE["partial_dependence"] = h(
 )
 ORACLE["select_k_best"] = h(
     f"""select "column", {r('c * c / (1 - c * c) * (n - 2)', 4)} as f from k order by c * c desc limit 4""",
-    "nn as (select * from h where total_bedrooms is not null)",
     "k as (" + " union all ".join(
-        f"""select '{c}' as "column", corr({c}, median_house_value) as c, count(*) as n from nn""" for c in config.NUMERIC_COLUMNS
+        f"""select '{c}' as "column", corr({c}, median_house_value) as c, regr_count({c}, median_house_value) as n from h""" for c in config.NUMERIC_COLUMNS
     ) + ")",
 )
 

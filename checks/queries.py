@@ -983,8 +983,7 @@ def partial_dependence(spark, d):
 
 @query("select_k_best")
 def select_k_best(spark, d):
-    h = housing(spark, d).na.drop()
-    return rounded(leak.select_k_best(h, config.NUMERIC_COLUMNS, 4), 4)
+    return rounded(leak.select_k_best(housing(spark, d), config.NUMERIC_COLUMNS, 4), 4)
 
 
 @query("leak_fold")

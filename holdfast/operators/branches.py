@@ -7,6 +7,7 @@ projection of the declared columns; every other column is left out of the vector
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from contextlib import contextmanager
 
@@ -191,6 +192,30 @@ class FeatureBranches(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         with held(dataset, [*_sources(branches), fold]) as dataset:
             return [self._model(branches, found, None) for found in fit_together(dataset, fits)]
 
+    @staticmethod
+    def fit_folds_together(many: Sequence["FeatureBranches"], dataset: DataFrame, fold: str, n_splits: int) -> list[list["BranchesModel"]]:
+        """``fit_folds`` of several settings in the same passes; a branch that is the same in some of them is fitted once."""
+        fits, wanted = {}, []
+        for one in many:
+            if one.uses_knn:
+                wanted.append(None)
+                continue
+            branches = one.branches()
+            _check_columns(dataset, branches)
+            keys = {name: json.dumps([sources, [[n, {k: v for k, v in o.items() if k != "gamma"}] for n, o in st.describe(steps)]]) for name, sources, steps in branches}
+            for name, sources, steps in branches:
+                for i in range(n_splits):
+                    made = (steps, {c: F.col(s) for c, s in sources.items()}, keep_where(F.col(fold) != i))
+                    fits.setdefault((keys[name], i), made)
+            wanted.append((branches, keys))
+        sources = [s for w in wanted if w for s in _sources(w[0])]
+        with held(dataset, [*sources, fold]) as narrow:
+            found = dict(zip(fits, fit_together(narrow, [st.fit_chain(*made) for made in fits.values()]))) if fits else {}
+        return [
+            [one._model(w[0], {name: found[key, i] for name, key in w[1].items()}, None) for i in range(n_splits)] if w else one.fit_folds(dataset, fold, n_splits)
+            for one, w in zip(many, wanted)
+        ]
+
     def _model(self, branches, found, knn) -> "BranchesModel":
         model = BranchesModel(knn)._set(
             branches=[[name, sources, st.describe(steps), found[name]] for name, sources, steps in branches],

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast import config
 from holdfast.functions import expressions as fx
-from holdfast.operators.stats import wide_agg
+from holdfast.operators.moments import pair_moments
 
 
 def censoring(df: DataFrame, target: str = config.TARGET, cap=config.TARGET_CAP, floor=config.TARGET_FLOOR):
@@ -64,10 +65,9 @@ def geo_grid(df: DataFrame, cell: float = 0.5, target: str = config.TARGET) -> D
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair, over the rows that hold both; long form."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    found = wide_agg(df, {f"c{i}": F.corr(a, b) for i, (a, b) in enumerate(pairs)})
-    rows = [(x, y, found[f"c{i}"]) for i, (a, b) in enumerate(pairs) for x, y in dict.fromkeys([(a, b), (b, a)])]
+    """Pearson correlation of every pair, over the rows that hold both; long form, from one scan. Null where a column does not vary."""
+    found = pair_moments(df, columns).correlations()
+    rows = [(a, b, None if np.isnan(found[i, j]) else float(found[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
     return df.sparkSession.createDataFrame(rows, "column string, other string, corr double")
 
 

@@ -237,14 +237,6 @@ def _by_width(requests: dict) -> list[dict]:
     return parts
 
 
-def wide_agg(df: DataFrame, columns: dict[str, Column], per_job: int = PER_JOB) -> dict[str, Any]:
-    """Many aggregates of one table, dealt into jobs the JIT can compile, as one dict."""
-    rows = side_by_side([
-        lambda part=part: df.agg(*_named(part)).first().asDict() for part in _parts(columns, per_job)
-    ])
-    return {k: v for row in rows for k, v in row.items()}
-
-
 def number_array(values: Sequence[float]) -> Column:
     """A literal array of doubles, as one expression."""
     return F.expr(f"array({', '.join(sql_double(v) for v in values)})")

@@ -1,4 +1,4 @@
-"""Regressors Spark ML lacks: train median, ridge with a plain alpha, and a stack with a ridge on top."""
+"""Regressors Spark ML lacks: train median and a stack with a ridge on top."""
 
 from __future__ import annotations
 
@@ -12,7 +12,6 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
-from pyspark.ml.regression import LinearRegression
 from pyspark.ml.util import (
     DefaultParamsReadable,
     DefaultParamsReader,
@@ -25,6 +24,10 @@ from pyspark.sql import functions as F
 from holdfast import config
 from holdfast.operators.split import with_fold
 from holdfast.operators.stats import Quantiles, fit_one, side_by_side
+from holdfast.plans.ridge import RidgeRegressor
+
+
+__all__ = ["ConstantModel", "MedianRegressor", "RidgeRegressor", "StackModel", "StackRegressor", "as_vector", "fit_ridge_cv"]
 
 
 class _Columns(HasFeaturesCol, HasLabelCol, HasPredictionCol):
@@ -57,34 +60,6 @@ class ConstantModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWritabl
         return dataset.withColumn(self.getPredictionCol(), F.lit(self.getOrDefault(self.value)))
 
 
-class RidgeRegressor(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
-    """L2 least squares, ``|y - Xb|^2 + alpha |b|^2`` with a free intercept.
-
-    Spark's objective divides the squares by n and works on a label scaled to unit deviation, hence
-    the factor between ``alpha`` and ``regParam``. One pass for n and deviation, one for the moments.
-    """
-
-    alpha = Param(Params._dummy(), "alpha", "penalty", TypeConverters.toFloat)
-
-    @keyword_only
-    def __init__(self, *, alpha=1.0, featuresCol="features", labelCol="label", predictionCol="prediction"):
-        super().__init__()
-        self._setDefault(alpha=1.0)
-        self._set(**self._input_kwargs)
-
-    def _fit(self, dataset: DataFrame):
-        y = F.col(self.getLabelCol())
-        row = dataset.agg(F.count(y).alias("n"), F.stddev_pop(y).alias("sd")).first()
-        if not row["n"]:
-            raise ValueError("no training row holds a label")
-        linear = LinearRegression(
-            featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), predictionCol=self.getPredictionCol(),
-            regParam=self.getOrDefault(self.alpha) * (row["sd"] or 0.0) / row["n"],
-            elasticNetParam=0.0, standardization=False, solver="normal",
-        )
-        return linear.fit(dataset)
-
-
 class StackRegressor(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
     """Base learners judged by out-of-fold predictions, arbitrated by a ridge.
 
