@@ -547,6 +547,34 @@ ORACLE["stack_out_of_fold"] = h(
     _FOLDS, _RIDGE_FOLDS,
 )
 
+_PENALTIES = "(values (1.0::double), (100.0), (10000.0), (30000.0), (100000.0), (1000000.0)) al(alpha)"
+ORACLE["leaderboard"] = h(
+    f"""select {r('avg(rmse)', 4)} as cv_rmse, {r('stddev_pop(rmse)', 4)} as cv_rmse_std, {r('avg(rmse_t)', 4)} as train_rmse
+ from ts group by alpha order by avg(rmse) limit 3""",
+    _FOLDS,
+    f"""t0 as (select i, avg(median_income) as m1, avg(housing_median_age) as m2, avg(median_house_value) as my,
+ var_pop(median_income) * count(*) as s11, var_pop(housing_median_age) * count(*) as s22, covar_pop(median_income, housing_median_age) * count(*) as s12,
+ covar_pop(median_income, median_house_value) * count(*) as s1y, covar_pop(housing_median_age, median_house_value) * count(*) as s2y
+ from fo, {_FIVE} where fold <> i group by i)""",
+    f"""t1 as (select t0.*, alpha, ((s22 + alpha) * s1y - s12 * s2y) / ((s11 + alpha) * (s22 + alpha) - s12 * s12) as w1,
+ ((s11 + alpha) * s2y - s12 * s1y) / ((s11 + alpha) * (s22 + alpha) - s12 * s12) as w2 from t0, {_PENALTIES})""",
+    "t2 as (select alpha, i, fold, median_house_value - my - w1 * (median_income - m1) - w2 * (housing_median_age - m2) as e from fo, t1)",
+    "ts as (select alpha, i, sqrt(avg(e * e) filter (where fold = i)) as rmse, sqrt(avg(e * e) filter (where fold <> i)) as rmse_t from t2 group by alpha, i)",
+)
+ORACLE["model_leafwise_splits"] = h(
+    f"""select h.id, {r('my + leaf', 3)} as prediction from h, s0, s1, s2, lv
+ where lv.hi = (housing_median_age > s1.t) and lv.upper = (lv.hi = s2.hi and housing_median_age > s2.t)""",
+    "s0 as (select avg(median_house_value) as my from h)",
+    "v0 as (select housing_median_age as a, count(*) as n, sum(median_house_value - my) as s from h, s0 group by 1)",
+    "v1 as (select a, sum(n) over (order by a) as n, sum(s) over (order by a) as s, sum(n) over () as nn, sum(s) over () as ss from v0)",
+    """s1 as (select arg_max(a, s * s / (n + 5) + (ss - s) * (ss - s) / (nn - n + 5)) as t from v1 where n >= 20 and nn - n >= 20)""",
+    """v2 as (select a, a > t as hi, sum(n) over (partition by a > t order by a) as n, sum(s) over (partition by a > t order by a) as s,
+ sum(n) over (partition by a > t) as nn, sum(s) over (partition by a > t) as ss from v0, s1)""",
+    """s2 as (select a as t, hi from v2 where n >= 20 and nn - n >= 20
+ order by s * s / (n + 5) + (ss - s) * (ss - s) / (nn - n + 5) - ss * ss / (nn + 5) desc limit 1)""",
+    """lv as (select a > s1.t as hi, (a > s1.t) = s2.hi and a > s2.t as upper, sum(s) / (sum(n) + 5) as leaf from v0, s1, s2 group by 1, 2)""",
+)
+
 # --- interpretation ------------------------------------------------------------------------------------------------------------
 
 

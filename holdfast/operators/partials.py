@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 
 Arrays = dict[str, np.ndarray]
@@ -35,14 +37,53 @@ class Least:
     size: int
 
 
+#: Tasks whose partials the driver may merge.
+FEW_TASKS = 16
 _PARTIAL = "request int, line int, key double, value array<double>"
+_SCHEMA = pa.schema([("request", pa.int32()), ("line", pa.int32()), ("key", pa.float64()), ("value", pa.list_(pa.float64()))])
 
 
 def run_partials(df: DataFrame, requests: Sequence[Sums | Least], raw: Sequence[str] = ()) -> list:
-    """Each request's answer, from one pass: a matrix, or None where there is no row; a list of (key, values) for each group.
+    """One pass of ``Passes``."""
+    return Passes(df).run(requests, raw)
 
-    Columns named in ``raw`` reach every ``work`` as Arrow arrays.
-    """
+
+class Passes:
+    """Passes over one table. Once it is known that at most ``FEW_TASKS`` tasks read it, the driver merges their partials itself."""
+
+    def __init__(self, df: DataFrame):
+        self.df = df
+        self.tasks: int | None = None
+
+    def run(self, requests: Sequence[Sums | Least], raw: Sequence[str] = ()) -> list:
+        """Each request's answer, from one pass: a matrix, or None where there is no row; (key, values) by group.
+
+        Columns named in ``raw`` reach every ``work`` as Arrow arrays.
+        """
+        rows, sizes = _partial_rows(self.df, requests, raw)
+        if self.tasks is not None and self.tasks <= FEW_TASKS:
+            merged = pa.Table.from_batches(_merged(rows.toArrow().to_batches(), sizes), _SCHEMA)
+        else:
+            merged = rows.repartition("request", "line").mapInArrow(partial(_merged, sizes=sizes), _PARTIAL).toArrow()
+        found: list[dict[int, list]] = [{} for _ in requests]
+        tasks = 0
+        for row in merged.to_pylist():
+            if row["request"] < 0:
+                tasks += 1
+            else:
+                found[row["request"]].setdefault(row["line"], []).append((row["key"], row["value"]))
+        self.tasks = tasks
+        out: list = []
+        for size, lines in zip(sizes, found):
+            if size:
+                out.append({line: sorted((k, tuple(v)) for k, v in rows) for line, rows in lines.items()})
+            else:
+                out.append(np.array([lines[line][0][1] for line in sorted(lines)]) if lines else None)
+        return out
+
+
+def _partial_rows(df: DataFrame, requests: Sequence[Sums | Least], raw: Sequence[str]) -> tuple[DataFrame, list[int]]:
+    """Every task's own results as rows, and one row with request -1 from each task."""
     named: dict[str, tuple[str, Column]] = {}
     wanted: list[dict[str, int]] = []
     for request in requests:
@@ -56,8 +97,9 @@ def run_partials(df: DataFrame, requests: Sequence[Sums | Least], raw: Sequence[
     sizes = [r.size if isinstance(r, Least) else 0 for r in requests]
     width = len(named)
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Held(sizes)
+        held.lines[-1, TaskContext.get().partitionId()] = np.empty(0)
         for batch in batches:
             given = {name: batch.column(width + n) for n, name in enumerate(raw)}
             columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in range(width)]
@@ -76,35 +118,26 @@ def run_partials(df: DataFrame, requests: Sequence[Sums | Least], raw: Sequence[
                     held.add_rows(i, line, keys[near], values[near])
         yield from held.batches()
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Held(sizes)
-        for batch in batches:
-            lists = batch.column(3)
-            flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *lists.value_lengths().to_pylist()])
-            of_line: dict[tuple[int, int], list[int]] = {}
-            for n, where in enumerate(zip(*(batch.column(c).to_pylist() for c in range(2)))):
-                of_line.setdefault(where, []).append(n)
-            keys = batch.column(2).to_numpy()
-            for (i, line), places in of_line.items():
-                values = [flat[ends[n] : ends[n + 1]] for n in places]
-                if sizes[i]:
-                    held.add_rows(i, line, keys[places], np.array(values))
-                else:
-                    held.add_line(i, line, np.sum(values, 0))
-        yield from held.batches()
+    return df.select(*[c.cast("double").alias(name) for name, c in named.values()], *raw).mapInArrow(run, _PARTIAL), sizes
 
-    rows = df.select(*[c.cast("double").alias(name) for name, c in named.values()], *raw).mapInArrow(partial, _PARTIAL)
-    merged = rows.repartition("request", "line").mapInArrow(merge, _PARTIAL).toArrow()
-    found: list[dict[int, list]] = [{} for _ in requests]
-    for row in merged.to_pylist():
-        found[row["request"]].setdefault(row["line"], []).append((row["key"], row["value"]))
-    out: list = []
-    for size, lines in zip(sizes, found):
-        if size:
-            out.append({line: sorted((k, tuple(v)) for k, v in rows) for line, rows in lines.items()})
-        else:
-            out.append(np.array([lines[line][0][1] for line in sorted(lines)]) if lines else None)
-    return out
+
+def _merged(batches: Iterator[pa.RecordBatch], sizes: Sequence[int]) -> Iterator[pa.RecordBatch]:
+    """The partials of each request and line, merged."""
+    held = _Held(sizes)
+    for batch in batches:
+        lists = batch.column(3)
+        flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *lists.value_lengths().to_pylist()])
+        of_line: dict[tuple[int, int], list[int]] = {}
+        for n, where in enumerate(zip(*(batch.column(c).to_pylist() for c in range(2)))):
+            of_line.setdefault(where, []).append(n)
+        keys = batch.column(2).to_numpy()
+        for (i, line), places in of_line.items():
+            values = [flat[ends[n] : ends[n + 1]] for n in places]
+            if i >= 0 and sizes[i]:
+                held.add_rows(i, line, keys[places], np.array(values))
+            else:
+                held.add_line(i, line, np.sum(values, 0))
+    yield from held.batches()
 
 
 class _Held:
@@ -137,5 +170,4 @@ class _Held:
         rows += [(i, line, k, v) for (i, line), (keys, values) in self.rows.items() for k, v in zip(keys, values)]
         for start in range(0, len(rows), 1024):
             part = rows[start : start + 1024]
-            kinds = (pa.int32(), pa.int32(), pa.float64(), pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in part], kind) for c, kind in enumerate(kinds)], ["request", "line", "key", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in part], field.type) for c, field in enumerate(_SCHEMA)], schema=_SCHEMA)

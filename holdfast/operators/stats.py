@@ -22,7 +22,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.operators.partials import Least, Sums, run_partials
+from holdfast.operators.partials import Least, Passes, Sums
 
 BRACKET_BUCKETS = 1024
 #: Aggregate functions per job. 45 correlations in one job took six times as long as in four (150,000
@@ -150,6 +150,7 @@ def side_by_side(jobs: Sequence[Callable[[], Any]], at_once: int = 8) -> list[An
 class _Reader:
     def __init__(self, df: DataFrame):
         self.df = df
+        self.passes = Passes(df)
 
     def answer(self, asked: dict[int, dict[str, Any]]) -> dict[int, dict[str, Any]]:
         """The jobs of one depth, side by side: scalars and spreads dealt out, one per grouping."""
@@ -170,7 +171,7 @@ class _Reader:
             jobs.append(lambda: found.update(_quantiles_by_rank(self.df, ranked)))
         batched = {w: r for w, r in requests.items() if isinstance(r, (Sums, Least))}
         if batched:
-            jobs.append(lambda: found.update(zip(batched, run_partials(self.df, list(batched.values())))))
+            jobs.append(lambda: found.update(zip(batched, self.passes.run(list(batched.values())))))
         for where, request in requests.items():
             if isinstance(request, (Levels, Grouped)):
                 jobs.append(lambda w=where, r=request: found.__setitem__(w, self._grouped(r)))

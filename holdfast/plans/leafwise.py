@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from holdfast import config
 from holdfast.operators.clusters import hashed_uniform
-from holdfast.operators.partials import Arrays, Sums, run_partials
+from holdfast.operators.partials import Arrays, Passes, Sums
 from holdfast.operators.stats import Quantiles, fit_one
 
 REFRESH = 10
@@ -191,23 +191,22 @@ class LeafwiseRegressor(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol
         bins = max(len(e) for e in edges) + 1
         rng = np.random.default_rng(o["seed"])
         trees: list[Tree] = []
-        since = 0
+        passes, since = Passes(table), 0
         try:
             for number in range(o["maxIter"]):
                 features = sorted(rng.choice(p, max(1, round(o["featureShare"] * p)), replace=False).tolist())
 
-                def histograms_of(tree: Tree, nodes: list[int], table=table, number=number, since=since) -> np.ndarray:
+                def histograms_of(tree: Tree, nodes: list[int], passes=passes, number=number, since=since) -> np.ndarray:
                     work = partial(_histograms, p=p, bins=bins, since=trees[since:], tree=tree, leaves=nodes, share=o["subsamplingRate"],
                                    tag=o["seed"] * 1_000_003 + number)
-                    found = run_partials(table, [Sums({c: F.col(c) for c in ("y", "f", "draw")}, work)], raw=("bins",))[0]
-                    return found
+                    return passes.run([Sums({c: F.col(c) for c in ("y", "f", "draw")}, work)], raw=("bins",))[0]
 
                 made = grow(histograms_of, p, bins, features, o["numLeaves"], o["minInstancesPerNode"], o["lambdaL2"])
                 trees.append((*made[:3], [o["stepSize"] * v for v in made[3]]))
                 if len(trees) - since >= REFRESH and number + 1 < o["maxIter"]:
                     older, table = table, _refreshed(table, p, trees[since:])
                     older.unpersist()
-                    since = len(trees)
+                    passes, since = Passes(table), len(trees)
         finally:
             table.unpersist()
         #: thresholds as values in place of bins

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from holdfast.operators import clusters, steps
-from holdfast.operators.partials import Least, Sums, run_partials
+from holdfast.operators.partials import Least, Passes, Sums, run_partials
 from holdfast.operators.stats import fit_one, fit_together, keep_all, keep_where
 
 
@@ -60,6 +60,8 @@ def test_sums_and_least_rows_in_one_pass(spark):
     a, b = run_partials(df, [total, least])
     assert a.tolist() == [[499500.0, 2 * sum(i for i in range(1000) if i % 3)], [1000.0, 334.0]]
     assert b == {0: [(0.0, (500.0,)), (1.0, (499.0,)), (1.0, (501.0,))], 1: [(-1.0, (998.0,)), (-1.0, (999.0,))]}
+    passes = Passes(df)
+    assert passes.run([least]) == passes.run([least]) == [b] and passes.tasks == 7
     none = run_partials(df.where("x < 0"), [total, least])
     assert none == [None, {}]
 
@@ -105,11 +107,9 @@ def test_folds_advance_together_and_equal_separate_fits(frame, monkeypatch):
     df = points(frame, rows).withColumn("fold", F.pmod(F.xxhash64("latitude"), F.lit(3)).cast("int")).cache()
     step = steps.Geo(n_clusters=4, n_init=3)
     jobs = []
-    from holdfast.operators import stats
-
-    monkeypatch.setattr(stats, "run_partials", lambda d, r: jobs.append(len(r)) or run_partials(d, r))
+    monkeypatch.setattr(Passes, "run", lambda self, r, raw=(), run=Passes.run: jobs.append(len(r)) or run(self, r, raw))
     together = fit_together(df, [step.fit(columns(), keep_where(F.col("fold") != i)) for i in range(3)])
-    assert jobs[0] == 3 and len(jobs) < 40
+    assert jobs[0] == 6 and len(jobs) < 40
     for i, state in enumerate(together):
         alone = fit_one(df.where(F.col("fold") != i), step.fit(columns(), keep_all))
         assert np.allclose(state["centers"], alone["centers"], atol=1e-9)
