@@ -58,22 +58,26 @@ class RidgeRegressor(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol, D
 
     def model(self, weights: np.ndarray, intercept: float) -> "RidgeModel":
         return RidgeModel()._set(
-            weights=[float(w) for w in weights], intercept=intercept, featuresCol=self.getFeaturesCol(), predictionCol=self.getPredictionCol()
+            weights=[float(w) for w in weights], bias=intercept, featuresCol=self.getFeaturesCol(), predictionCol=self.getPredictionCol()
         )
 
 
 class RidgeModel(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
     weights = Param(Params._dummy(), "weights", "weights in feature order", TypeConverters.toListFloat)
-    intercept = Param(Params._dummy(), "intercept", "intercept", TypeConverters.toFloat)
+    bias = Param(Params._dummy(), "bias", "intercept", TypeConverters.toFloat)
 
     @property
     def coefficients(self) -> DenseVector:
         return DenseVector(self.getOrDefault(self.weights))
 
+    @property
+    def intercept(self) -> float:
+        return self.getOrDefault(self.bias)
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         x = vector_to_array(F.col(self.getFeaturesCol()))
         terms = F.zip_with(x, number_array(self.getOrDefault(self.weights)), lambda a, b: a * b)
-        return dataset.withColumn(self.getPredictionCol(), F.lit(self.getOrDefault(self.intercept)) + F.aggregate(terms, F.lit(0.0), lambda a, b: a + b))
+        return dataset.withColumn(self.getPredictionCol(), F.lit(self.intercept) + F.aggregate(terms, F.lit(0.0), lambda a, b: a + b))
 
 
 def _error_sums(columns: Arrays, of: Sequence[str], weights: Sequence[np.ndarray], intercepts: Sequence[np.ndarray], shift: float) -> np.ndarray:
