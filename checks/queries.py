@@ -911,9 +911,9 @@ def stack_out_of_fold(spark, d):
 
 @query("random_search")
 def random_search(spark, d):
-    """The whole space of a ridge but for nearest-neighbour imputation, ten draws."""
+    """The whole space of a ridge but for nearest-neighbour imputation, five draws."""
     space = {**search.search_space("ridge"), "preprocess__heavy__impute": ["median", "mean"]}
-    found = search.random_search("ridge", housing(spark, d), KEY, n_iter=10, space=space)
+    found = search.random_search("ridge", housing(spark, d), KEY, n_iter=5, space=space)
     return found.table(housing(spark, d))
 
 
