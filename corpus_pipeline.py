@@ -2,6 +2,10 @@
 
 Each stage reads what the one before has written. The first four drop documents and keep every column; the last adds
 the ids and says whether they decode to the text.
+
+Null and empty texts break a quality rule and go. Of rows alike in key and text one stays, whether the key is null or
+not. Extra columns pass through all stages whatever their names, but a given ``ids``, ``n_ids`` or ``round_trip`` gives way
+to the last stage's own. An empty table gives an empty result with the same columns.
 """
 
 from __future__ import annotations
@@ -10,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.llm import decontaminate, pieces, quality, simhash, toxicity
-from holdfast.llm.common import text_of, written
+from holdfast.llm.common import free_name, text_of, written
 
-#: Words that the last stage's workers remember: they also run the other stages, so it is little.
-WORDS = 60_000
+#: Bytes of the caches of the last stage's workers: they also run the other stages, so it is little.
+KEPT_BYTES = 96 << 20
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +42,11 @@ def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds the piece ids of every document, their number, and whether they decode to its text."""
-    both = pieces.decode(pieces.encode(docs, ids="ids", kept_words=WORDS), decoded="_decoded")
-    same = F.col("_decoded") == F.translate(text_of("text"), pieces.SPACE, " ")
-    return both.withColumn("n_ids", F.size("ids").cast("long")).withColumn("round_trip", same).drop("_decoded")
+    docs = docs.drop("ids", "n_ids", "round_trip")
+    decoded = free_name(docs, "decoded")
+    both = pieces.encode(docs, decoded=decoded, kept_bytes=KEPT_BYTES)
+    same = F.col(decoded) == F.translate(text_of("text"), pieces.SPACE, " ")
+    return both.withColumn("n_ids", F.size("ids").cast("long")).withColumn("round_trip", same).drop(decoded)
 
 
 STAGES = [

@@ -37,11 +37,15 @@ from holdfast.llm.common import text_of
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-#: Words of at most so many characters are remembered, the last so many and at most as many before them.
+#: Words of at most so many characters are remembered.
 KEPT_CHARS = 64
-KEPT_WORDS = 400_000
-#: Beginnings of words, of so many characters, whose search is remembered.
-BEGIN, BEGINNINGS = 5, 20_000
+#: Bytes of a worker's caches: 5/16 each for the words met lately and those before them, 1/16 for parts of words and
+#: some 5/32 each for pairs of pieces and for beginnings of words.
+KEPT_BYTES = 256 << 20
+#: What a remembered word takes beside its characters (at most four bytes each) and ids; a pair of pieces; a search begun.
+WORD_BYTES, PAIR_BYTES, BEGUN_BYTES = 200, 80, 2_000
+#: Beginnings of words whose search is remembered have so many characters.
+BEGIN = 5
 
 
 def model_path(model: str) -> str:
@@ -83,8 +87,8 @@ def _spaced_keys(text: str) -> list[str]:
         if run:
             keys.append(SPACE * (run - 1))
     return keys
-#: Pairs of pieces remembered.
-PAIRS = 500_000
+
+
 #: The best path to a boundary: its weight, the boundary before, the piece between, what may follow that piece.
 Path = tuple[float, int, str, dict[str, bool]]
 
@@ -92,7 +96,7 @@ Path = tuple[float, int, str, dict[str, bool]]
 class Lattice:
     """Streaming Viterbi search over the pieces of one model."""
 
-    def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], merges: bool, pairs: int = PAIRS):
+    def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], merges: bool, pairs: int = 500_000):
         self.pieces = pieces
         self.byte_ids = byte_ids
         self.longest = max(map(len, pieces))
@@ -314,20 +318,19 @@ class Vocabulary:
 class Encoder:
     """Encodes whole texts with one model; holds the worker's cache of words."""
 
-    def __init__(self, path: str, kept_words: int = 0):
-        self.kept_words = kept_words or KEPT_WORDS
-        own = Vocabulary(path)
+    def __init__(self, path: str, kept_bytes: int = KEPT_BYTES):
+        own = vocabulary(path)
         #: merge ranks are whole numbers from 0 down, log probabilities are not
         merges = all(float(score).is_integer() for _, score in own.pieces.values())
-        #: all that is remembered grows and shrinks with the words
-        share = self.kept_words / KEPT_WORDS
-        self.beginnings = max(1, round(BEGINNINGS * share))
-        self.lattice = Lattice(own.pieces, own.byte_ids, merges, max(1, round(PAIRS * share)))
+        self.word_bytes, self.inner_bytes = kept_bytes * 5 // 16, kept_bytes // 16
+        self.beginnings = max(1, kept_bytes * 5 // 32 // BEGUN_BYTES)
+        self.lattice = Lattice(own.pieces, own.byte_ids, merges, max(1, kept_bytes * 5 // 32 // PAIR_BYTES))
         self.begun: dict[str, tuple[list[int], Search]] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         #: parts of words that no space goes before
         self.inner: dict[str, bytes] = {}
+        self.known_size = self.inner_size = 0
 
     def _search(self, chars: str) -> bytes:
         """The ids of a part of a word; the search goes on from where it stood after the part's first characters."""
@@ -346,7 +349,10 @@ class Encoder:
         return array("i", ids).tobytes()
 
     def _word(self, key: str) -> bytes:
-        """The ids of a word that is not among the words met lately."""
+        """The ids of a word that was not among the words met lately when its text began."""
+        found = self.known.get(key)
+        if found is not None:
+            return found
         found = self.older.get(key)
         if found is None:
             parts = self.lattice.parts(key if key[:1] == "\n" else SPACE + key)
@@ -357,18 +363,22 @@ class Encoder:
                 first = self._search(parts[0]) if stem is None else self.known.get(stem) or self._word(stem)
                 found = first + b"".join([self.inner.get(part) or self._inner(part) for part in parts[1:]])
         if len(key) <= KEPT_CHARS:
-            if len(self.known) >= self.kept_words:
-                self.older = dict(self.known)
-                self.known.clear()
+            size = WORD_BYTES + 4 * len(key) + len(found)
+            if self.known_size + size > self.word_bytes:
+                self.older, self.known, self.known_size = self.known, {}, 0
             self.known[key] = found
+            self.known_size += size
         return found
 
     def _inner(self, part: str) -> bytes:
         found = self._search(part)
         if len(part) <= KEPT_CHARS:
-            if len(self.inner) >= self.kept_words // 8:
+            size = WORD_BYTES + 4 * len(part) + len(found)
+            if self.inner_size + size > self.inner_bytes:
                 self.inner.clear()
+                self.inner_size = 0
             self.inner[part] = found
+            self.inner_size += size
         return found
 
     def encode(self, text: str) -> np.ndarray:
@@ -382,54 +392,61 @@ class Encoder:
 
 
 @lru_cache(2)
-def encoder(path: str, kept_words: int = 0) -> Encoder:
+def vocabulary(path: str) -> Vocabulary:
+    return Vocabulary(path)
+
+
+@lru_cache(2)
+def encoder(path: str, kept_bytes: int = KEPT_BYTES) -> Encoder:
     """The worker's encoder for a model file; the collector needn't visit it again."""
-    own = Encoder(path, kept_words)
+    own = Encoder(path, kept_bytes)
     gc.collect()
     gc.freeze()
     return own
 
 
-@lru_cache(2)
-def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
-
-
-def _mapped(df: DataFrame, into: str, kind: T.DataType, make: Callable[[pa.Array], pa.Array], source: Column) -> DataFrame:
-    """``df`` with a column made from ``source``, some rows at a time."""
-    if into in df.columns:
-        raise ValueError(f"there is a column {into} already")
-    schema = T.StructType([*df.schema.fields, T.StructField(into, kind)])
+def _mapped(df: DataFrame, into: dict[str, T.DataType], make: Callable[[pa.Array], list[pa.Array]], source: Column) -> DataFrame:
+    """``df`` with columns made from ``source``, some rows at a time."""
+    taken = {c.lower() for c in df.columns} & {c.lower() for c in into}
+    if taken:
+        raise ValueError(f"there is a column {min(taken)} already")
+    schema = T.StructType([*df.schema.fields, *[T.StructField(name, kind) for name, kind in into.items()]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                made = make(part.column(part.num_columns - 1))
-                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(part.num_columns - 1)], made], schema.fieldNames())
+                *given, last = batch.slice(start, 256).columns
+                yield pa.RecordBatch.from_arrays([*given, *make(last)], schema.fieldNames())
         pa.default_memory_pool().release_unused()
 
-    return df.select(*[F.col(f"`{c}`") for c in df.columns], source.alias(into)).mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{c}`") for c in df.columns], source.alias(next(iter(into)))).mapInArrow(run, schema)
+
 
+def encode(df: DataFrame, *, text: str = "text", ids: str = "ids", decoded: str | None = None, model: str = MODEL, kept_bytes: int = KEPT_BYTES) -> DataFrame:
+    """``df`` with the ids (array of int) of its texts and, if ``decoded`` names a column, what these ids decode to.
 
-def encode(df: DataFrame, *, text: str = "text", ids: str = "ids", model: str = MODEL, kept_words: int = KEPT_WORDS) -> DataFrame:
-    """``df`` with the ids (array of int) of its texts; a worker remembers up to twice ``kept_words`` words (some 200 bytes
-    each), and pairs and beginnings of words in proportion."""
+    A worker's caches take some ``kept_bytes``. A column of ``df`` that has one of the new names is refused.
+    """
+    into = {ids: T.ArrayType(T.IntegerType()), **({decoded: T.StringType()} if decoded else {})}
 
-    def make(texts: pa.Array) -> pa.Array:
-        own = encoder(model_path(model), kept_words)
+    def make(texts: pa.Array) -> list[pa.Array]:
+        path = model_path(model)
+        own = encoder(path, kept_bytes)
         found = [own.encode(t) for t in texts.to_pylist()]
         ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *found])))
+        made = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *found])))]
+        if decoded:
+            made.append(pa.array(map(vocabulary(path).decode, found), pa.string()))
+        return made
 
-    return _mapped(df, ids, T.ArrayType(T.IntegerType()), make, text_of(text))
+    return _mapped(df, into, make, text_of(text))
 
 
 def decode(df: DataFrame, *, ids: str = "ids", decoded: str = "decoded", model: str = MODEL) -> DataFrame:
     """``df`` with the texts of its ids; a null array gives the empty text."""
 
-    def make(lists: pa.Array) -> pa.Array:
+    def make(lists: pa.Array) -> list[pa.Array]:
         own = vocabulary(model_path(model))
-        return pa.array([own.decode(one.values.to_numpy(zero_copy_only=False)) if one.is_valid else "" for one in lists], pa.string())
+        return [pa.array([own.decode(one.values.to_numpy(zero_copy_only=False)) if one.is_valid else "" for one in lists], pa.string())]
 
-    return _mapped(df, decoded, T.StringType(), make, F.coalesce(F.col(ids), F.array().cast("array<int>")))
+    return _mapped(df, {decoded: T.StringType()}, make, F.coalesce(F.col(ids), F.array().cast("array<int>")))

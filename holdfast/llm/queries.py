@@ -67,7 +67,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, and whether they decode to its text (U+2581 read as the space that the model takes it for)."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", text_of("text").alias("text"))
-    both = pieces.decode(pieces.encode(docs))
+    both = pieces.encode(docs, decoded="decoded")
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
         (F.col("decoded") == F.translate("text", pieces.SPACE, " ")).alias("round_trip"),

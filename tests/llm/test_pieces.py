@@ -68,13 +68,14 @@ def test_a_unigram_models_heaviest_path(text):
     assert sum(scores[p] for p in got) == pytest.approx(best_by_force(text, scores))
 
 
-def test_caches_do_not_change_ids(library, monkeypatch):
-    monkeypatch.setattr(pieces, "KEPT_WORDS", 16)
-    monkeypatch.setattr(pieces, "BEGINNINGS", 3)
-    monkeypatch.setattr(pieces, "PAIRS", 10)
-    own = pieces.Encoder(PATH)
+def test_caches_do_not_change_ids(library):
+    own = pieces.Encoder(PATH, kept_bytes=16_000)
+    assert own.beginnings == 1 and own.lattice.pairs == 31
     text = " ".join(f"w{i % 37}thing{i % 11}, on" for i in range(400))
     assert own.encode(text).tolist() == library.encode(text) == own.encode(text).tolist()
+    # the two generations of words stay within their bytes
+    held = [sum(pieces.WORD_BYTES + 4 * len(k) + len(v) for k, v in kept.items()) for kept in (own.known, own.older)]
+    assert held[0] == own.known_size and 0 < max(held) <= own.word_bytes
 
 
 def test_query_against_the_library(spark, sf, library):
@@ -95,11 +96,11 @@ def test_counts_query_against_the_library(spark, sf, library):
 
 
 def test_awkward_rows(awkward, nothing, library):
-    both = pieces.decode(pieces.encode(awkward))
-    assert both.columns == [*awkward.columns, "ids", "decoded"]
-    for r in both.collect():
-        text = r.text or ""
-        assert r.ids == library.encode(text) and r.decoded == text.replace(pieces.SPACE, " ")
+    for both in (pieces.decode(pieces.encode(awkward)), pieces.encode(awkward, decoded="decoded")):
+        assert both.columns == [*awkward.columns, "ids", "decoded"]
+        for r in both.collect():
+            text = r.text or ""
+            assert r.ids == library.encode(text) and r.decoded == text.replace(pieces.SPACE, " ")
     assert pieces.decode(pieces.encode(nothing)).count() == 0
     with pytest.raises(ValueError):
         pieces.encode(awkward, ids="key")
