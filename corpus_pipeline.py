@@ -31,8 +31,8 @@ def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves one document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
-    return simhash.drop_near_duplicates(docs)
+    """Leaves one document of each group that the fingerprints link: four-word shingles, at most four of 64 bits apart."""
+    return simhash.drop_near_duplicates(docs, simhash.Ring())
 
 
 def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,17 +1,15 @@
 """Near-duplicates by SimHash, with pigeonring filtering of candidates.
 
-A fingerprint has one bit per hash bit: set if it is set in over half of a text's shingle hashes, repeats included
-unless the ring says ``distinct``, as it does where shingle sets verify. Two texts link if
-their fingerprints differ in at most ``max_distance`` bits. The bits are laid out as a ring of segments. If two rings
+A fingerprint has one bit per hash bit: set if it is set in over half of a text's shingle hashes, repeats included. Two texts link
+if their fingerprints differ in at most ``max_distance`` bits. The bits are laid out as a ring of segments. If two rings
 differ in at most t bits over m segments, then at some segment a chain starts whose first l segments differ in at most
 l*t/m bits, for every l (the pigeonring principle). With m = t + 1 the first segment of that chain is equal and the
 second differs in one bit at most, so the join key is a chain of two segments (26 of 64 bits for t = 4), looked up as
 it is and with each 0 of the second segment set to 1. The third segment's budget prunes what meets, and the whole
 ring's budget is the Hamming check. No link is lost.
 
-Where t is too large for that (a similarity of 0.8 on five-word shingles flips some 15 % of the bits), the ring of a
-longer fingerprint is dealt several times in fixed random orders and a chain must start with two equal segments. That
-finds a link with a probability that grows with the number of orders; README has the measured recall.
+Where t is too large for that, the ring of a longer fingerprint can be dealt several times in fixed random orders, and a
+chain must start with two equal segments. That finds a link with a probability that grows with the number of orders.
 
 Scale. Equal texts fall together first, so a group of copies is one node. Keys are counted before rows meet. A key
 with more than ``block`` rows is cut into blocks by hash, and every two blocks meet in a task of their own: memory is
@@ -31,10 +29,11 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from holdfast.llm.common import cut, text_of, written
+from holdfast.llm.common import cut, free_name, text_of, written
 
 #: Rows of one key that meet in one task, at most twice as many.
 BLOCK = 2048
@@ -52,13 +51,6 @@ class Ring(NamedTuple):
     segments: int = 5
     #: 0: complete search; otherwise so many random orders of the ring, each chain starting with two equal segments.
     orders: int = 0
-    #: a shingle counts once however often a text repeats it
-    distinct: bool = False
-
-
-#: Five-word shingles and a Jaccard similarity of 0.8: 256 bits, of which 56 may differ, verified on the shingles.
-WIDE = Ring(shingle_words=5, words64=4, max_distance=56, segments=21, orders=30, distinct=True)
-SIMILARITY = 0.8
 
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
@@ -100,23 +92,17 @@ def fingerprint(hashes: np.ndarray, words64: int = 1) -> bytes:
     return out
 
 
-def _same(text: str) -> Column:
-    """128 bits that stand for a text."""
-    return F.substring(F.unhex(F.sha2(text_of(text), 256)), 1, 16)
-
-
-def fingerprints(docs: DataFrame, ring: Ring, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, fp (binary) and same (digest of the text) per row."""
+def fingerprints(texts: DataFrame, ring: Ring) -> DataFrame:
+    """``texts`` (a key of any type and the text) with fp (binary) in place of the text."""
+    kind = texts.schema[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = (value.as_buffer().to_pybytes() for value in batch.column(1))
-            hashes = (shingle_hashes(data, ring.shingle_words) for data in texts)
-            fps = [fingerprint(np.unique(h) if ring.distinct else h, ring.words64) for h in hashes]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary()), batch.column(2)], ["key", "fp", "same"])
+            hashes = (shingle_hashes(value.as_buffer().to_pybytes(), ring.shingle_words) for value in batch.column(1))
+            fps = [fingerprint(h, ring.words64) for h in hashes]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary())], [kind.name, "fp"])
 
-    narrow = docs.select(F.col(key).alias("key"), text_of(text).alias("text"), _same(text).alias("same"))
-    return narrow.mapInArrow(run, f"key {narrow.schema['key'].dataType.simpleString()}, fp binary, same binary")
+    return texts.mapInArrow(run, T.StructType([kind, T.StructField("fp", T.BinaryType())]))
 
 
 def _bounds(ring: Ring) -> np.ndarray:
@@ -299,82 +285,32 @@ def components(edges: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
+def linked(nodes: DataFrame, ring: Ring) -> DataFrame:
+    """fp, root (the smallest fingerprint of its component), least of the distinct fingerprints ``nodes`` (fp, least)."""
+    roots = components(links(nodes, ring))
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+
+
 def near_duplicates(docs: DataFrame, ring: Ring = Ring(), *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, fingerprint (hex) and component_id (smallest key linked to it, over any number of links) of every row."""
-    marked = written(fingerprints(docs, ring, key=key, text=text).select("key", "fp"), "fingerprints")
-    nodes = marked.groupBy("fp").agg(F.min("key").alias("least"))
-    roots = components(links(nodes, ring))
-    of = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    marked = written(fingerprints(docs.select(F.col(key).alias("key"), text_of(text).alias("text")), ring), "fingerprints")
+    of = linked(marked.groupBy("fp").agg(F.min("key").alias("least")), ring)
     groups = of.groupBy("root").agg(F.min("least").alias("component_id"))
     ids = of.join(groups, "root").select("fp", "component_id")
     return marked.join(ids, "fp").select(F.col("key").alias(key), F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-def _similar(members: DataFrame, similarity: float, shingle_words: int, at_once: int) -> DataFrame:
-    """a, b: a spanning forest of the pairs of texts of a cluster (columns cluster, same, text) whose shingle sets are similar."""
+def drop_near_duplicates(docs: DataFrame, ring: Ring = Ring(), *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row left of each component that ``near_duplicates`` finds: the one with the smallest key.
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [np.unique(shingle_hashes(v.as_buffer().to_pybytes(), shingle_words)) for v in batch.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(x) for x in made], pa.int64()), pa.array([x.tobytes() for x in made], pa.binary())],
-                ["cluster", "same", "size", "items"],
-            )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in runs(batches, ["cluster", "lo", "hi"]):
-            names = table.column("same").to_pylist()
-            items = [np.frombuffer(x, np.uint64) for x in table.column("items").to_pylist()]
-            sizes = np.array([len(x) for x in items])
-            _, ids = np.unique(np.concatenate(items), return_inverse=True)
-            starts = np.concatenate([[0], np.cumsum(sizes)])
-            order = np.argsort(ids, kind="stable")
-            holder = np.repeat(np.arange(len(items)), sizes)[order]
-            first = np.concatenate([[0], np.cumsum(np.bincount(ids))])
-
-            def near(i, rest, ids=ids, starts=starts, holder=holder, first=first, sizes=sizes):
-                mine = ids[starts[i] : starts[i + 1]]
-                lengths = first[mine + 1] - first[mine]
-                at = np.repeat(first[mine] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-                common = np.bincount(holder[at], minlength=len(sizes))[rest]
-                return rest[common >= similarity * (sizes[rest] + sizes[i] - common) - 1e-9]
-
-            edges = forest(len(names), near)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([names[i] for i, _ in edges], pa.binary()), pa.array([names[j] for _, j in edges], pa.binary())], ["a", "b"]
-            )
-
-    made = written(members.select("cluster", "same", "text").mapInArrow(sets, "cluster binary, same binary, size long, items binary"), "sets")
-    sizes = made.groupBy("cluster").agg(F.sum("size").alias("total"))
-    dealt = units(made.join(sizes, "cluster"), "cluster", "same", F.ceil(F.greatest(F.col("total"), F.lit(1)) / at_once))
-    return dealt.select("cluster", "lo", "hi", "same", "items").mapInArrow(run, "a binary, b binary")
-
-
-def drop_near_duplicates(
-    docs: DataFrame, ring: Ring = WIDE, *, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text", at_once: int = 1 << 18
-) -> DataFrame:
-    """``docs`` with one document left of each group of texts linked by a Jaccard similarity of ``similarity`` or more.
-
-    Fingerprints within ``ring.max_distance`` gather texts into clusters; within a cluster the shingle sets decide, in
-    blocks of about ``at_once`` shingles; texts without a word are alike. The smallest key of a group stays (null: last). Rows alike in key and text
-    are one document and stay or go together. All columns pass through.
+    A null key comes last; of rows alike in key the first as written stays, so rows loaded twice count once and null keys
+    don't save a copy. Null texts, empty ones and those without a word are alike. All columns pass through, whatever
+    their names; an empty table gives an empty result.
     """
-    marked = written(fingerprints(docs, ring, key=key, text=text), "fingerprints")
-    order = F.struct(F.col("key").isNull().alias("missing"), F.col("key"))
-    texts = marked.groupBy("same").agg(F.min(order).alias("first"), F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n"))
-    texts = written(texts, "texts")
-    roots = components(links(texts.select("fp").distinct(), ring))
-    #: texts alike in every bit meet too, so a fingerprint that several texts share is a cluster of its own
-    shared = texts.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("fp")
-    alone = shared.join(roots, shared["fp"] == roots["node"], "left_anti").select(F.col("fp").alias("node"), F.col("fp").alias("root"))
-    clusters = alone.unionByName(roots)
-    near = texts.join(clusters, texts["fp"] == clusters["node"]).select(F.col("root").alias("cluster"), "same", F.col("first.key").alias("first"))
-    bodies = docs.select(F.col(key).alias("key"), text_of(text).alias("text"), _same(text).alias("digest"))
-    members = near.join(bodies, near["first"].eqNullSafe(bodies["key"]) & (near["same"] == bodies["digest"]))
-    groups = components(_similar(members, similarity, ring.shingle_words, at_once))
-    of = texts.join(groups, texts["same"] == groups["node"], "left").select("same", F.coalesce("root", "same").alias("root"), "first", "n")
-    best = of.groupBy("root").agg(F.min("first").alias("best"), F.sum("n").alias("rows")).filter("rows > 1")
-    goes = of.join(best, "root").select("same", "best", (F.min("same").over(Window.partitionBy("root", "first")) == F.col("same")).alias("chosen"))
-    rows = marked.select("key", "same", order.alias("own")).join(goes, "same")
-    gone = rows.filter(~(F.col("chosen") & (F.col("own") == F.col("best")))).select(F.col("key").alias("_gone_key"), F.col("same").alias("_gone_same")).distinct()
-    return docs.join(gone, F.col(key).eqNullSafe(F.col("_gone_key")) & (_same(text) == F.col("_gone_same")), "left_anti")
+    row = free_name(docs, "row")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    order = F.struct(F.col(f"`{key}`").isNull().alias("missing"), F.col(f"`{key}`").alias("key"), F.col(row).alias("row"))
+    marked = written(fingerprints(numbered.select(order.alias("own"), text_of(text).alias("text")), ring), "fingerprints")
+    nodes = marked.groupBy("fp").agg(F.min("own").alias("least"))
+    stays = linked(nodes, ring).groupBy("root").agg(F.min("least").alias("best")).select(F.col("best.row").alias(row))
+    return numbered.join(stays, row, "left_semi").drop(row)
