@@ -7,7 +7,9 @@ are matched. The matched share of the template's words is its coverage.
 Regions are found without looking at a prefix or a sample. A template of n words that is covered to a share c or more
 misses at most ``n - ceil(c * n)`` of its words, so one more than that many of its rarest words (rare among the
 templates, long words first) must include a word that is there: each place in a text with such a word makes a region,
-of the length that the template has before and after that word and half as much again. The cost of a text is one
+long enough on each side for the whole template at the least density. A template's ``REQUIRED`` words, which tell it
+from its relatives, must all be matched, and a notice of fewer than ``SHORT`` words must be covered whole without
+other words inside; one with a ``FORBIDDEN`` word inside is another license's. The cost of a text is one
 lookup per word and an alignment per such place; nothing is shuffled.
 
 Null and empty texts have no words and no license. A notice that stands in a text several times is reported as often;
@@ -28,11 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.common import folded_words, text_of
+from holdfast.llm.common import folded_words, free_name, text_of
 
 #: Least covered share of a template, and least matched share of the words between its first and last matched word.
 COVERAGE = 0.8
 DENSITY = 0.7
+#: Templates of fewer words are found only word for word.
+SHORT = 16
 
 #: Notices as their licenses word them.
 TEMPLATES: Mapping[str, str] = {
@@ -52,8 +56,25 @@ TEMPLATES: Mapping[str, str] = {
     "cc-by-4.0": "Licensed under CC BY 4.0.",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
     "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0.",
+    "cc-by-nc-sa-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nd-4.0": "Licensed under CC BY-ND 4.0.",
+    "cc-by-nc-nd-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "agpl-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "bsd": "Released under the BSD License.",
     "gpl-2.0": "This work is licensed under the GNU General Public License, version 2.",
     "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "gpl-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+        "FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."
+    ),
+    "lgpl-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "lgpl-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "mpl-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+        "this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
     "isc": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
         "that the above copyright notice and this permission notice appear in all copies."
@@ -68,6 +89,10 @@ TEMPLATES: Mapping[str, str] = {
     ),
 }
 
+#: Words that a match must hold beside its coverage, and words that mustn't stand among the matched ones.
+REQUIRED: Mapping[str, str] = {"mpl-2.0-header": "mozilla", "gpl-header": "general public"}
+FORBIDDEN: Mapping[str, str] = {"gpl-header": "lesser library affero"}
+
 
 def increasing(values: list[int]) -> list[int]:
     """Places of a longest increasing subsequence of distinct ``values``, by patience piles."""
@@ -126,6 +151,8 @@ class Scanner:
     def __init__(self, templates: Mapping[str, str], coverage: float = COVERAGE, density: float = DENSITY):
         self.coverage, self.density = coverage, density
         self.words = {name: folded_words(text.encode()) for name, text in templates.items()}
+        self.required = {name: frozenset(folded_words(REQUIRED.get(name, "").encode())) for name in templates}
+        self.forbidden = {name: frozenset(folded_words(FORBIDDEN.get(name, "").encode())) for name in templates}
         holders = Counter(w for words in self.words.values() for w in set(words))
         #: key word: templates and the word's places in them
         self.keys: dict[bytes, list[tuple[str, int]]] = {}
@@ -133,10 +160,13 @@ class Scanner:
             if not words:
                 raise ValueError(f"the template {name} has no words")
             places = sorted(range(len(words)), key=lambda i, words=words: (holders[words[i]], words.count(words[i]), -len(words[i]), words[i], i))
-            may_miss = len(words) - math.ceil(coverage * len(words) - 1e-9)
+            may_miss = len(words) - math.ceil(self._least(words) * len(words) - 1e-9)
             for i in places[: may_miss + 1]:
                 self.keys.setdefault(words[i], []).append((name, i))
 
+    def _least(self, template: list[bytes]) -> float:
+        return 1.0 if len(template) < SHORT else self.coverage
+
     def scan(self, words: list[bytes]) -> list[Match]:
         found: set[Match] = set()
         keys = self.keys
@@ -146,13 +176,18 @@ class Scanner:
             for name, place in keys[word]:
                 template = self.words[name]
                 size = len(template)
-                first = max(0, at - place - place // 2)
-                region = words[first : at + (size - place) + (size - place) // 2]
+                dense = 1.0 if size < SHORT else self.density
+                reach = math.ceil(size / dense) + 1
+                first = max(0, at - reach) if dense < 1 else max(0, at - place)
+                region = words[first : at + reach] if dense < 1 else words[first : first + size]
                 pairs = align(region, template)
                 if not pairs:
                     continue
                 start, end = pairs[0][0], pairs[-1][0] + 1
-                if len(pairs) >= self.coverage * size - 1e-9 and len(pairs) >= self.density * (end - start):
+                matched = {template[j] for _, j in pairs}
+                if not self.required[name] <= matched or not self.forbidden[name].isdisjoint(region[start:end]):
+                    continue
+                if len(pairs) >= self._least(template) * size - 1e-9 and len(pairs) >= dense * (end - start):
                     found.add(Match(name, len(pairs) / size, first + start, first + end, len(pairs)))
         best: list[Match] = []
         for match in sorted(found, key=lambda m: (-m.coverage, -m.words, m.license, m.start)):
@@ -184,4 +219,4 @@ def scan_licenses(
             found = [[m._asdict() for m in scanner.scan(folded_words(v.as_buffer().to_pybytes()))] for v in batch.column(last)]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(last)], pa.array(found, _MATCH_ARROW)], schema.fieldNames())
 
-    return docs.select(*[F.col(f"`{c}`") for c in docs.columns], text_of(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns], text_of(text).alias(free_name(docs, "text"))).mapInArrow(run, schema)

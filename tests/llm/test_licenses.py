@@ -64,6 +64,36 @@ def test_edited_texts_and_other_versions():
     assert a.license == b.license == "all-rights-reserved" and a.end <= b.start
 
 
+def test_relatives_are_told_apart():
+    named = {
+        "Released under the BSD License.": ["bsd"],
+        "This work is licensed under the GNU Lesser General Public License, version 3.": ["lgpl-3.0"],
+        "This work is licensed under the GNU Affero General Public License, version 3.": ["agpl-3.0"],
+        "Licensed under CC BY-NC-SA 4.0.": ["cc-by-nc-sa-4.0"],
+        "Licensed under CC BY-ND 4.0.": ["cc-by-nd-4.0"],
+        "Licensed under CC BY-NC-ND 4.0.": ["cc-by-nc-nd-4.0"],
+        "all human rights reserved": [],
+        "Released under the Foo License.": [],
+        licenses.TEMPLATES["gpl-header"]: ["gpl-header"],
+        licenses.TEMPLATES["gpl-header"].replace("General", "Lesser General"): [],
+        licenses.TEMPLATES["mpl-2.0-header"]: ["mpl-2.0-header"],
+    }
+    assert {text: [m.license for m in scan(f"some words {text} more words")] for text in named} == named
+
+
+def test_a_dense_enough_notice_is_found_wherever_the_other_words_stand():
+    words = licenses.TEMPLATES["mit-text"].split()
+    for at in (1, 10, len(words) // 2, len(words) - 10, len(words) - 1):
+        text = " ".join([*words[:at], *["other"] * 25, *words[at:]])
+        assert [m.license for m in scan(f"start {text} end")] == ["mit-text"]
+
+
+def test_a_column_of_the_inner_name_passes_through(spark):
+    df = spark.createDataFrame([("All rights reserved.", "x", "y")], "text string, _text string, __text string")
+    row = licenses.scan_licenses(df).first()
+    assert (row["_text"], row["__text"], len(row["licenses"])) == ("x", "y", 1)
+
+
 def test_query_finds_the_planted_notices_and_no_others(spark, sf):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = op6_license_scan(spark, sf).collect()
