@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.common import text_of
+from holdfast.llm.common import free_name, text_of
 from holdfast.llm.pieces import KEPT_CHARS, MODEL, Lattice, model_path, word_keys
 
 #: Pre-tokens in the broadcast table; a task's summary names at most ``PER_TASK`` and keeps at most ``HELD`` meanwhile.
@@ -132,4 +132,4 @@ def count_tokens(docs: DataFrame, *, text: str = "text", count: str = "n_tokens"
             found = np.fromiter((own.of(v.as_py()) for v in batch.column(last)), np.int64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(last)], pa.array(found)], schema.fieldNames())
 
-    return docs.select(*[F.col(f"`{c}`") for c in docs.columns], text_of(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns], text_of(text).alias(free_name(docs, "text"))).mapInArrow(run, schema)

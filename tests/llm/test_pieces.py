@@ -112,6 +112,8 @@ def test_awkward_counts(awkward, nothing, library):
     for r in counted.collect():
         assert r.n_tokens == len(library.encode(r.text or ""))
     assert token_counts.count_tokens(nothing).count() == 0
+    clash = awkward.withColumnRenamed("key", "_text").withColumnRenamed("row", "__text")
+    assert {(r["_text"], r["__text"]) for r in token_counts.count_tokens(clash).collect()} == {(r["key"], r["row"]) for r in awkward.collect()}
 
 
 def test_frequent_words_are_bounded_and_counted(spark):
