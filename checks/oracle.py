@@ -586,16 +586,16 @@ def linear(**over: str) -> str:
     )
 
 
-_TAGS = ["median_income", "population", "total_bedrooms", "households", "ocean_proximity"]
+_TAGS = [*config.NUMERIC_COLUMNS, *config.CATEGORICAL_COLUMNS]
 _SWAP = {c: f"case when t.col = '{c}' then a.{c} else b.{c} end" for c in _TAGS}
 _IMPORTANCE = [
-    "tg as (select col, rep from (values " + ", ".join(f"('{c}')" for c in _TAGS) + ") c(col), (values (0), (1), (2)) p(rep))",
+    "tg as (select col, rep from (values " + ", ".join(f"('{c}')" for c in _TAGS) + ") c(col), range(5) p(rep))",
     "hm as (select *, row_number() over (order by md5(concat_ws('|', '42', cast(id as varchar))), id) as place from h)",
     """aw as (select col, rep, h.*, row_number() over (partition by col, rep
    order by md5(concat_ws('|', '42', col, cast(rep as varchar), cast(id as varchar))), id) as place from h, tg)""",
     f"bs as (select sqrt(avg(pow(median_house_value - {linear()}, 2))) as base from h)",
     "im as (select t.col, t.rep, sqrt(avg(pow(b.median_house_value - "
-    + linear(**{c: f"({_SWAP[c]})" for c in _TAGS if c != "households"}, latitude="b.latitude")
+    + linear(**{c: f"({s})" for c, s in _SWAP.items()})
     + ", 2))) - (select base from bs) as inc from aw a join tg t on a.col = t.col and a.rep = t.rep join hm b on a.place = b.place group by 1, 2)",
 ]
 ORACLE["perm_importance"] = h(

@@ -24,10 +24,13 @@ LITERAL_GROUPS = 200
 PASS_BITS = 10
 #: Rows that may be left to rank directly, over all groups.
 RANKED_ROWS = 200_000
+#: Rows of a bucket that one window ranks.
+ROWS_PER_BUCKET = 1 << 14
 
 
 def prefix_bits(n: int, per_bucket: int) -> int:
-    return min(16, max(0, math.ceil(math.log2(max(n, 1) / per_bucket))))
+    """Bits of the prefix that leaves some ``per_bucket`` of n hashes in a bucket."""
+    return min(HASH_BITS, max(0, math.ceil(math.log2(max(n, 1) / per_bucket))))
 
 
 def hash_cuts(
@@ -102,14 +105,14 @@ def up_to_cut(df: DataFrame, number: Column, cuts: dict[Any, int], group: Column
 
 
 def global_rank(
-    df: DataFrame, number: Column, name: str, n: int, by: Sequence[str] = (), ties: Sequence[str] = (), groups: int = 1
+    df: DataFrame, number: Column, name: str, n: int, by: Sequence[str] = (), ties: Sequence[str] = ()
 ) -> DataFrame:
-    """Add the exact rank 1..n in hash order (within each of ``groups`` groups of ``by``) as column ``name``.
+    """Add the exact rank 1..n in hash order (within each group of ``by``, of n rows each) as column ``name``.
 
-    Buckets are ranked apart and shifted by the bucket counts before them. All groups together have
-    at most 65,536 buckets, which is why the table of counts may be broadcast.
+    Buckets are ranked apart and shifted by the bucket counts before them. There are more buckets the more rows there
+    are, so a task's share stays the same; their offsets are joined as a table of one row a bucket, without a hint.
     """
-    bits = max(min(prefix_bits(n, 4096), 16 - math.ceil(math.log2(groups))), 0)
+    bits = prefix_bits(n, ROWS_PER_BUCKET)
     rows = df.withColumn("__h", number).withColumn("__k", F.shiftright("__h", HASH_BITS - bits))
     here = F.row_number().over(Window.partitionBy(*by, "__k").orderBy("__h", *ties))
     if bits == 0:
@@ -121,7 +124,7 @@ def global_rank(
     )
     return (
         rows.withColumn(name, here)
-        .join(F.broadcast(offsets), [*by, "__k"])
+        .join(offsets, [*by, "__k"])
         .withColumn(name, F.col(name) + F.col("__before"))
         .drop("__h", "__k", "__before")
     )

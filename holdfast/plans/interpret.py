@@ -17,6 +17,8 @@ from holdfast.operators.rank import global_rank
 from holdfast.operators.stats import Quantiles, fit_one, levels
 
 GRID_POINTS = 100
+#: Types whose values a double holds exactly; all others travel as text.
+_AS_DOUBLE = {"double", "float", "int", "smallint", "tinyint"}
 
 
 def permuted(
@@ -24,37 +26,33 @@ def permuted(
 ) -> DataFrame:
     """All shuffled variants at once: rows tagged (column, repeat) with that one column permuted.
 
-    A row's place in key-hash order is matched with the same place in a hash order of its own per
-    tag. Both orders are uniform, so ranks come from buckets of like size and the join has no hot
-    key, whatever the columns hold.
+    A row's place in key-hash order is matched with the same place in a hash order of its own per tag. Only
+    (place, tag, value) travels for a tag: the values meant for one place meet in one row, whose size is the number of
+    tags, and a whole row goes to its place once and fans out there, narrowly. All orders are uniform hashes, so
+    neither the ranks nor the join have a hot key, whatever the columns hold.
     """
-    rows, n = df, df.count()
-    tags = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(r).alias("repeat")) for c in columns for r in range(n_repeats)])
-    home = global_rank(rows, hash_number(seeded_md5(seed, keys)), "place", n, ties=keys)
-    home = home.withColumn("tag", F.explode(tags)).select("*", "tag.*").drop("tag")
-    text = [c for c in columns if dict(df.dtypes)[c] == "string"]
-    number, word = F.lit(None).cast("double"), F.lit(None).cast("string")
-    for c in columns:
-        if c in text:
-            word = F.when(F.col("column") == c, F.col(c)).otherwise(word)
-        else:
-            number = F.when(F.col("column") == c, F.col(c).cast("double")).otherwise(number)
-    away = (
-        rows.withColumn("tag", F.explode(tags)).select("*", "tag.*")
-        .select("column", "repeat", *keys, number.alias("__number"), word.alias("__word"))
-    )
+    n, types = df.count(), dict(df.dtypes)
+    fits = [c for c in columns if types[c] in _AS_DOUBLE]
+    home = global_rank(df, hash_number(seeded_md5(seed, keys)), "__place", n, ties=keys)
+    handed = [
+        F.struct(
+            F.lit(c).alias("column"), F.lit(r).alias("repeat"),
+            (F.col(c).cast("double") if c in fits else F.lit(None).cast("double")).alias("number"),
+            (F.lit(None).cast("string") if c in fits else F.col(c).cast("string")).alias("word"),
+        )
+        for c in columns for r in range(n_repeats)
+    ]
+    away = df.select(*keys, F.inline(F.array(*handed)).alias("column", "repeat", "__number", "__word"))
     order = F.md5(key_text(F.lit(str(seed)), F.col("column"), F.col("repeat"), *[F.col(k) for k in keys]))
-    away = global_rank(
-        away, hash_number(order), "place", n, by=["column", "repeat"], ties=keys, groups=len(columns) * n_repeats
-    )
-    away = away.select("column", "repeat", "place", "__number", "__word")
-    out = home.join(away, ["column", "repeat", "place"])
-    types = dict(df.dtypes)
+    away = global_rank(away, hash_number(order), "__place", n, by=["column", "repeat"], ties=keys)
+    value = F.struct("column", "repeat", "__number", "__word")
+    met = home.join(away.groupBy("__place").agg(F.collect_list(value).alias("__values")), "__place")
+    out = met.select(*df.columns, F.inline("__values").alias("column", "repeat", "__number", "__word"))
     swapped = {
-        c: F.when(F.col("column") == c, F.col("__word" if c in text else "__number").cast(types[c])).otherwise(F.col(c))
+        c: F.when(F.col("column") == c, F.col("__number" if c in fits else "__word").cast(types[c])).otherwise(F.col(c))
         for c in columns
     }
-    return out.withColumns(swapped).drop("place", "__number", "__word")
+    return out.withColumns(swapped).drop("__number", "__word")
 
 
 def importance_table(
