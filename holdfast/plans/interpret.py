@@ -34,20 +34,24 @@ def permuted(
     n, types = df.count(), dict(df.dtypes)
     fits = [c for c in columns if types[c] in _AS_DOUBLE]
     home = global_rank(df, hash_number(seeded_md5(seed, keys)), "__place", n, ties=keys)
+    tags = [(c, r) for c in columns for r in range(n_repeats)]
     handed = [
         F.struct(
-            F.lit(c).alias("column"), F.lit(r).alias("repeat"),
+            F.lit(i).alias("tag"),
             (F.col(c).cast("double") if c in fits else F.lit(None).cast("double")).alias("number"),
             (F.lit(None).cast("string") if c in fits else F.col(c).cast("string")).alias("word"),
         )
-        for c in columns for r in range(n_repeats)
+        for i, (c, _) in enumerate(tags)
     ]
-    away = df.select(*keys, F.inline(F.array(*handed)).alias("column", "repeat", "__number", "__word"))
-    order = F.md5(key_text(F.lit(str(seed)), F.col("column"), F.col("repeat"), *[F.col(k) for k in keys]))
-    away = global_rank(away, hash_number(order), "__place", n, by=["column", "repeat"], ties=keys)
-    value = F.struct("column", "repeat", "__number", "__word")
+    named = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(r).alias("repeat")) for c, r in tags])
+    tag = F.element_at(named, F.col("__tag") + 1)
+    away = df.select(*keys, F.inline(F.array(*handed)).alias("__tag", "__number", "__word"))
+    order = F.md5(key_text(F.lit(str(seed)), tag["column"], tag["repeat"], *[F.col(k) for k in keys]))
+    away = global_rank(away, hash_number(order), "__place", n, by=["__tag"], ties=keys)
+    value = F.struct("__tag", "__number", "__word")
     met = home.join(away.groupBy("__place").agg(F.collect_list(value).alias("__values")), "__place")
-    out = met.select(*df.columns, F.inline("__values").alias("column", "repeat", "__number", "__word"))
+    out = met.select(*df.columns, F.inline("__values").alias("__tag", "__number", "__word"))
+    out = out.withColumns({"column": tag["column"], "repeat": tag["repeat"]}).drop("__tag")
     swapped = {
         c: F.when(F.col("column") == c, F.col("__number" if c in fits else "__word").cast(types[c])).otherwise(F.col(c))
         for c in columns
