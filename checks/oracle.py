@@ -323,6 +323,9 @@ ORACLE["binned_block"] = h(
 )
 ORACLE["ordinal_learned"] = """with s as (select lang, row_number() over (order by lang) - 1 as code from (select distinct lang from documents))
  select doc_id, cast(code as double) as lang from documents join s using (lang)"""
+ORACLE["ordinal_learned_wide"] = """with n as (select c_custkey, cast(c_custkey as varchar) as name from customer),
+ s as (select name, cast(row_number() over (order by name) - 1 as double) as code from n where c_custkey % 2 = 0)
+ select c_custkey, coalesce(code, -1) as name from n left join s using (name)"""
 _MODE = ORACLE["impute_mode"].replace("with d as", "d as").split(" select doc_id, coalesce")[0].rstrip()
 _FILLED = "f as (select doc_id, coalesce(d.lang, m.lang) as lang from d, m)"
 ORACLE["categorical_block"] = f"with {_MODE}, {_FILLED}, c as (select lang, count(*) as n, sum(count(*)) over () as t from f group by lang) " + (
@@ -456,6 +459,12 @@ ORACLE["strat_impossible"] = "with " + strata("customer", ACCOUNT, "cast(c_natio
  select stratum, count(*) as n from ks group by stratum having count(*) < 60"""
 ORACLE["split_stratified"] = h("select id, side from sd", *HOUSE_SPLIT)
 ORACLE["split_customer"] = "with " + ", ".join(CUSTOMER_SPLIT) + " select c_custkey, stratum, side from sd"
+ORACLE["split_many_strata"] = "with " + ", ".join([
+    strata("lineitem", "l_orderkey", "l_returnflag", 1), allocation(),
+    """sd as (select ks.*, case when row_number() over (partition by ks.stratum
+   order by md5(concat_ws('|', '42', cast(l_orderkey as varchar), cast(l_linenumber as varchar)))) <= alloc.take then 'test' else 'train' end as side
+   from ks join alloc on ks.stratum = alloc.stratum)""",
+]) + " select l_orderkey, l_linenumber, l_returnflag, side from sd"
 ORACLE["split_partition_check"] = h(
     """select 0 as on_both, 0 as lost, 0 as added, count(*) filter (where side = 'train') as n_train,
  count(*) filter (where side = 'test') as n_test from sd""", *HOUSE_SPLIT

@@ -19,6 +19,7 @@ from holdfast.functions import expressions as fx
 from holdfast.operators import contract, metrics, profile, split, steps
 from holdfast.operators.branches import ColumnSteps, FeatureBranches, binned_steps, numeric_steps, ratio_steps
 from holdfast.operators.knn import KnnImputer
+from holdfast.operators.order import LevelCodes
 from holdfast.operators.stats import fit_one, keep_all
 from holdfast.plans import cv, final, interpret, leak, models, search
 from holdfast.plans.estimators import MedianRegressor, RidgeRegressor, StackRegressor, as_vector
@@ -470,6 +471,13 @@ def ordinal_learned(spark, d):
     return fitted(table(spark, d, "documents"), ["lang"], [steps.Ordinal(declared=False)], keep=["doc_id"])
 
 
+@query("ordinal_learned_wide")
+def ordinal_learned_wide(spark, d):
+    """A column with a level of its own for each row: customers' names, and a second table that knows half of them."""
+    named = table(spark, d, "customer").select("c_custkey", F.col("c_custkey").cast("string").alias("name"))
+    return LevelCodes.fit(named.where("c_custkey % 2 = 0"), "name").transform(named)
+
+
 @query("categorical_block")
 def categorical_block(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 7 != 0, F.col("lang")).alias("lang"))
@@ -691,6 +699,14 @@ def split_customer(spark, d):
     return split.with_side(c, found, ["c_custkey"]).select("c_custkey", found.key.alias("stratum"), "side")
 
 
+@query("split_many_strata")
+def split_many_strata(spark, d):
+    """A stratum for each order and return flag: more of them than a driver should list."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    found = split.strata(lines, F.col("l_orderkey"), F.col("l_returnflag"), min_per_stratum=1)
+    return split.with_side(lines, found, ["l_orderkey", "l_linenumber"])
+
+
 @query("split_partition_check")
 def split_partition_check(spark, d):
     h = housing(spark, d)

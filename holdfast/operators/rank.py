@@ -94,6 +94,35 @@ def hash_cuts(
     }
 
 
+def cut_table(rows: DataFrame, wanted: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The groups ``by`` with ``cut``, the hash number at rank ``r`` of their n rows: ``hash_cuts`` for groups in a table.
+
+    ``rows`` holds the groups and the hash number ``__h``, ``wanted`` the groups with n and r. A group has the more
+    buckets the more rows it has, so a hot group is counted and ranked in as many tasks as it takes; only the one
+    bucket of each group that holds its rank is ranked.
+    """
+    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / ROWS_PER_BUCKET))).cast("int")
+    open_ranks = wanted.where("r > 0 and r < n").select(*by, "r", bits.alias("__bits"))
+    inside = rows.join(open_ranks, [*by]).withColumn("__k", F.expr(f"shiftright(__h, {HASH_BITS} - __bits)"))
+    running = Window.partitionBy(*by).orderBy("__k")
+    held = (
+        inside.groupBy(*by, "__k").agg(F.count("*").alias("c"), F.first("r").alias("r"))
+        .withColumn("upto", F.sum("c").over(running))
+        .where("upto >= r and upto - c < r")
+        .select(*by, "__k", F.expr("r - upto + c").alias("place"))
+    )
+    order = Window.partitionBy(*by, "__k").orderBy("__h")
+    alike = F.raise_error(F.lit("the key columns do not tell rows apart: no exact cut exists")).cast("bigint")
+    hits = (
+        inside.drop("r", "__bits").join(held, [*by, "__k"])
+        .withColumn("__n", F.row_number().over(order)).withColumn("__after", F.lead("__h").over(order))
+        .where("__n = place")
+        .select(*by, F.when(F.col("__h") == F.col("__after"), alike).otherwise(F.col("__h")).alias("__hit"))
+    )
+    cut = F.when(F.col("r") <= 0, NO_ROWS).when(F.col("r") >= F.col("n"), ALL_ROWS).otherwise(F.col("__hit"))
+    return wanted.join(hits, [*by], "left").select(*by, cut.alias("cut"))
+
+
 def up_to_cut(df: DataFrame, number: Column, cuts: dict[Any, int], group: Column) -> tuple[DataFrame, Column]:
     """The table and a boolean column: does the row's hash lie at or below its group's cut?"""
     if len(cuts) <= LITERAL_GROUPS:

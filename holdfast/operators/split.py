@@ -11,19 +11,36 @@ from pyspark.sql import functions as F
 from holdfast import config
 from holdfast.functions import expressions as fx
 from holdfast.functions.keys import hash_number, key_text, seeded_md5
-from holdfast.operators.rank import hash_cuts, up_to_cut
+from holdfast.operators.order import settled, with_place
+from holdfast.operators.rank import cut_table, hash_cuts, up_to_cut
 
-#: Strata are counted on the driver; a stratification finer than this is not one.
-MAX_STRATA = 100_000
+#: Strata that are listed on the driver; more of them stay a table.
+LISTED_STRATA = 10_000
 
 
 @dataclass(frozen=True)
 class Strata:
-    """A fitted stratification: the key expression, its group sizes, the levels that collapsed."""
+    """A fitted stratification: the key expression, its group sizes, the levels that collapsed.
+
+    Of more than ``LISTED_STRATA`` strata sizes and collapsed levels are tables (``stratum, n`` and ``level``); then
+    ``sizes`` is None and ``key`` is the stratum of a level that didn't collapse.
+    """
 
     key: Column
-    sizes: dict[str, int]
+    sizes: dict[str, int] | None
     collapsed: list[str]
+    size_table: DataFrame | None = None
+    collapsed_table: DataFrame | None = None
+    text: Column | None = None
+
+    def keyed(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` with its stratum as column ``name``."""
+        if self.collapsed_table is None:
+            return df.withColumn(name, self.key)
+        small = self.collapsed_table.select(F.col("level").alias("__level"), F.lit(True).alias("__small"))
+        joined = df.withColumn("__level", self.text).join(small, "__level", "left")
+        stratum = F.when(F.col("__small"), F.col("__level")).otherwise(self.key)
+        return joined.withColumn(name, stratum).drop("__level", "__small")
 
 
 def strata(
@@ -31,20 +48,33 @@ def strata(
 ) -> Strata:
     """``band|level``, except that a level with any group too small is one stratum on its own."""
     text, full = fx.level_text(level), fx.composite_key(band, level)
-    counts = _counts(df.groupBy(full.alias("key"), text.alias("level")).count())
-    collapsed = sorted({r["level"] for r in counts if r["count"] < min_per_stratum})
-    sizes: dict[str, int] = {}
-    for r in counts:
-        key = r["level"] if r["level"] in collapsed else r["key"]
-        sizes[key] = sizes.get(key, 0) + r["count"]
-    found = Strata(F.when(text.isin(collapsed), text).otherwise(full) if collapsed else full, sizes, collapsed)
+    groups = df.groupBy(full.alias("key"), text.alias("level")).count()
+    counts = groups.limit(LISTED_STRATA + 1).collect()
+    if len(counts) > LISTED_STRATA:
+        groups = settled(groups)
+        smallest = F.min("count").over(Window.partitionBy("level"))
+        marked = groups.withColumn("small", smallest < min_per_stratum)
+        key = F.when(F.col("small"), F.col("level")).otherwise(F.col("key"))
+        sizes = settled(marked.groupBy(key.alias("stratum")).agg(F.sum("count").alias("n")))
+        found = Strata(full, None, [], sizes, marked.where("small").select("level").distinct(), text)
+    else:
+        collapsed = sorted({r["level"] for r in counts if r["count"] < min_per_stratum})
+        listed: dict[str, int] = {}
+        for r in counts:
+            key = r["level"] if r["level"] in collapsed else r["key"]
+            listed[key] = listed.get(key, 0) + r["count"]
+        found = Strata(F.when(text.isin(collapsed), text).otherwise(full) if collapsed else full, listed, collapsed)
     if check:
         refuse_small(found, min_per_stratum)
     return found
 
 
 def refuse_small(found: Strata, min_per_stratum: int) -> None:
-    small = {k: n for k, n in sorted(found.sizes.items()) if n < min_per_stratum}
+    if found.sizes is None:
+        few = found.size_table.where(F.col("n") < min_per_stratum).orderBy("stratum").limit(20)
+        small = {r["stratum"]: r["n"] for r in few.collect()}
+    else:
+        small = {k: n for k, n in sorted(found.sizes.items()) if n < min_per_stratum}
     if small:
         raise ValueError(f"Cannot stratify: fewer than {min_per_stratum} rows even after collapsing: {small}")
 
@@ -77,6 +107,22 @@ def allocate(sizes: dict[str, int], test_size: float) -> dict[str, int]:
     return {k: n - train[k] for k, n in sizes.items()}
 
 
+def allocate_table(sizes: DataFrame, test_size: float) -> DataFrame:
+    """stratum, n, n_test: ``allocate`` for strata in a table. Remainders are ranked by range partitions."""
+    total = sizes.agg(F.sum("n")).first()[0]
+    n_train = total + int(-total * test_size // 1)
+    # n * n_train may pass 64 bits.
+    dealt = F.expr(f"cast(n as decimal(19, 0)) * cast({n_train} as decimal(19, 0))")
+    parts = sizes.withColumn("__dealt", dealt).withColumns({
+        "__train": F.expr(f"__dealt div cast({total} as decimal(19, 0))"),
+        "__rest": F.expr(f"cast(__dealt % cast({total} as decimal(19, 0)) as bigint)"),
+    })
+    placed = with_place(parts.drop("__dealt"), [F.desc("__rest"), F.col("stratum")], "__place")
+    left = n_train - placed.agg(F.sum("__train")).first()[0]
+    train = F.col("__train") + (F.col("__place") <= left).cast("bigint")
+    return placed.select("stratum", "n", (F.col("n") - train).alias("n_test"))
+
+
 def with_side(
     df: DataFrame,
     found: Strata,
@@ -85,8 +131,17 @@ def with_side(
     test_size: float = 0.2,
     seed=config.RANDOM_SEED,
 ) -> DataFrame:
-    """Add ``side`` = train/test. Two small jobs find the cuts; the result is a narrow projection."""
+    """Add ``side`` = train/test. Two small jobs find the cuts; the result is a narrow projection.
+
+    Strata in a table have their cuts in a table, which the rows are joined with.
+    """
     number = hash_number(seeded_md5(seed, keys))
+    if found.sizes is None:
+        rows = found.keyed(df, "__stratum").withColumn("__h", number)
+        wanted = allocate_table(found.size_table, test_size).withColumnRenamed("stratum", "__stratum")
+        cuts = cut_table(rows.select("__stratum", "__h"), wanted.withColumnRenamed("n_test", "r"), ["__stratum"])
+        side = F.when(F.col("__h") <= F.col("cut"), "test").otherwise("train")
+        return rows.join(cuts, "__stratum").withColumn("side", side).drop("__stratum", "__h", "cut")
     test = allocate(found.sizes, test_size)
     cuts = hash_cuts(df, number, {g: [n] for g, n in test.items()}, found.sizes, found.key)
     rows, taken = up_to_cut(df, number, {g: c[0] for g, c in cuts.items()}, found.key)
@@ -114,8 +169,11 @@ def split_train_test(
 def naive_strata(df: DataFrame, band: Column) -> Strata:
     """The contrast: the band alone, which leaves a rare level to luck."""
     key = F.coalesce(band.cast("string"), F.lit("<NA>"))
-    rows = _counts(df.groupBy(key.alias("key")).count())
-    return Strata(key, {r["key"]: r["count"] for r in rows}, [])
+    counts = df.groupBy(key.alias("stratum")).agg(F.count("*").alias("n"))
+    rows = counts.limit(LISTED_STRATA + 1).collect()
+    if len(rows) > LISTED_STRATA:
+        return Strata(key, None, [], settled(counts))
+    return Strata(key, {r["stratum"]: r["n"] for r in rows}, [])
 
 
 def split_partition_check(whole: DataFrame, train: DataFrame, test: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -148,15 +206,25 @@ def coverage_by_seed(
     df: DataFrame, found: Strata, keys: Sequence[str], seeds: Sequence, level: str, *, test_size: float = 0.2
 ) -> DataFrame:
     """Coverage of every level for several seeds: rows fan out over a literal seed list, in one pass each."""
-    test = allocate(found.sizes, test_size)
-    fanned = df.withColumn("__stratum", found.key).withColumn(
-        "seed", F.explode(F.array(*[F.lit(str(s)) for s in seeds]))
-    )
+    seeded = F.explode(F.array(*[F.lit(str(s)) for s in seeds]))
+    fanned = found.keyed(df, "__stratum").withColumn("seed", seeded)
     number = hash_number(F.md5(key_text(F.col("seed"), *[F.col(k) for k in keys])))
-    group = F.concat_ws("#", "seed", "__stratum")
-    sizes = {f"{s}#{g}": n for s in seeds for g, n in found.sizes.items()}
-    cuts = hash_cuts(fanned, number, {f"{s}#{g}": [n] for s in seeds for g, n in test.items()}, sizes, group)
-    rows, taken = up_to_cut(fanned, number, {g: c[0] for g, c in cuts.items()}, group)
+    if len(seeds) * (len(found.sizes) if found.sizes is not None else LISTED_STRATA) >= LISTED_STRATA:
+        by = ["seed", "__stratum"]
+        sizes = found.size_table
+        if sizes is None:
+            sizes = df.sparkSession.createDataFrame(list(found.sizes.items()), "stratum string, n bigint")
+        wanted = allocate_table(sizes, test_size).withColumn("seed", seeded)
+        wanted = wanted.withColumnsRenamed({"stratum": "__stratum", "n_test": "r"})
+        rows = fanned.withColumn("__h", number)
+        rows = rows.join(cut_table(rows.select(*by, "__h"), wanted, by), by)
+        taken = F.col("__h") <= F.col("cut")
+    else:
+        test = allocate(found.sizes, test_size)
+        group = F.concat_ws("#", "seed", "__stratum")
+        sizes = {f"{s}#{g}": n for s in seeds for g, n in found.sizes.items()}
+        cuts = hash_cuts(fanned, number, {f"{s}#{g}": [n] for s in seeds for g, n in test.items()}, sizes, group)
+        rows, taken = up_to_cut(fanned, number, {g: c[0] for g, c in cuts.items()}, group)
     return (
         rows.withColumn("__test", F.coalesce(taken, F.lit(False)))
         .groupBy(F.col("seed").cast("int").alias("seed"), level)
@@ -192,10 +260,3 @@ def sample_n(df: DataFrame, n: int, keys: Sequence[str], *, seed=config.RANDOM_S
     number = hash_number(seeded_md5(seed, keys))
     cut = hash_cuts(df, number, {"all": [n]}, {"all": total})["all"][0]
     return df.where(number <= cut)
-
-
-def _counts(counts: DataFrame) -> list:
-    rows = counts.limit(MAX_STRATA + 1).collect()
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata")
-    return rows

@@ -143,3 +143,47 @@ def test_the_split_is_a_filter_not_a_shuffle(house, plan):
     sided = split.with_side(house, found, ["id"])
     tree = plan(sided)
     assert "Exchange" not in tree.split("InMemoryTableScan")[0] and "Window" not in tree.split("InMemoryTableScan")[0]
+
+
+def test_strata_in_a_table_give_the_listed_split(house, monkeypatch):
+    """Hot strata go through several buckets; sides, refusals and coverage are those of the listed strata."""
+    band, level = fx.income_band(), F.col("ocean_proximity")
+    listed = split.strata(house, band, level)
+    want = {tuple(r) for r in sided_ids(house)}
+    by_seed = split.coverage_by_seed(house, listed, ["id"], [1, 2], "ocean_proximity").collect()
+    monkeypatch.setattr(split, "LISTED_STRATA", 3)
+    monkeypatch.setattr(rank, "ROWS_PER_BUCKET", 16)
+    found = split.strata(house, band, level)
+    assert found.sizes is None and {tuple(r) for r in found.size_table.collect()} == set(listed.sizes.items())
+    sided = split.with_side(house, found, ["id"])
+    assert set(sided.columns) == {*house.columns, "side"}
+    assert {tuple(r) for r in sided.select("id", "side").collect()} == want == {tuple(r) for r in sided_ids(house)}
+    assert split.coverage_by_seed(house, found, ["id"], [1, 2], "ocean_proximity").collect() == by_seed
+    with pytest.raises(ValueError, match="Cannot stratify"):
+        split.strata(house, band, level, min_per_stratum=10_000)
+
+
+def test_strata_in_a_table_collapse_refuse_equal_keys_and_allow_none(frame, monkeypatch):
+    monkeypatch.setattr(split, "LISTED_STRATA", 1)
+    monkeypatch.setattr(rank, "ROWS_PER_BUCKET", 2)
+    rows = [(i, i % 3, "big") for i in range(60)] + [(100 + i, i, "rare") for i in range(3)] + [(200 + i, None, None) for i in range(7)]
+    df = frame(rows, "id int, b int, lv string")
+    found = split.strata(df, F.col("b"), F.col("lv"))
+    assert {tuple(r) for r in found.size_table.collect()} == {("0|big", 20), ("1|big", 20), ("2|big", 20), ("rare", 3), ("<NA>|None", 7)}
+    sizes = {r["stratum"]: r["n"] for r in found.size_table.collect()}
+    given = {r["stratum"]: r["n_test"] for r in split.allocate_table(found.size_table, 0.2).collect()}
+    assert given == split.allocate(sizes, 0.2)
+    assert split.with_side(df, found, ["id"]).where("side = 'test'").count() == sum(given.values())
+    same = df.withColumn("id", F.lit(1))
+    with pytest.raises(Exception, match="tell rows apart"):
+        split.with_side(same, split.strata(same, F.col("b"), F.col("lv")), ["id"]).collect()
+
+
+def test_level_codes(frame):
+    from holdfast.operators.order import LevelCodes
+
+    df = frame([(1, "b"), (2, None), (3, "a"), (4, "b"), (5, "")], "code int, value string")
+    codes = LevelCodes.fit(df, "value")
+    later = codes.transform(df.unionByName(frame([(6, "zz")], "code int, value string")))
+    assert sorted(map(tuple, later.collect())) == [(1, 2.0), (2, -1.0), (3, 1.0), (4, 2.0), (5, 0.0), (6, -1.0)]
+    assert LevelCodes.fit(df.limit(0), "value").transform(df).where("value <> -1").count() == 0
