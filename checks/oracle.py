@@ -462,9 +462,10 @@ ORACLE["split_customer"] = "with " + ", ".join(CUSTOMER_SPLIT) + " select c_cust
 ORACLE["split_many_strata"] = "with " + ", ".join([
     strata("lineitem", "l_orderkey", "l_returnflag", 1), allocation(),
     """sd as (select ks.*, case when row_number() over (partition by ks.stratum
-   order by md5(concat_ws('|', '42', cast(l_orderkey as varchar), cast(l_linenumber as varchar)))) <= alloc.take then 'test' else 'train' end as side
+   order by md5(concat_ws('|', '42', cast(l_orderkey as varchar), cast(l_linenumber as varchar),
+   cast(l_partkey as varchar), cast(l_suppkey as varchar)))) <= alloc.take then 'test' else 'train' end as side
    from ks join alloc on ks.stratum = alloc.stratum)""",
-]) + " select l_orderkey, l_linenumber, l_returnflag, side from sd"
+]) + " select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, side from sd"
 ORACLE["split_partition_check"] = h(
     """select 0 as on_both, 0 as lost, 0 as added, count(*) filter (where side = 'train') as n_train,
  count(*) filter (where side = 'test') as n_test from sd""", *HOUSE_SPLIT

@@ -702,9 +702,10 @@ def split_customer(spark, d):
 @query("split_many_strata")
 def split_many_strata(spark, d):
     """A stratum for each order and return flag: more of them than a driver should list."""
-    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    lines = table(spark, d, "lineitem").select(*keys, "l_returnflag")
     found = split.strata(lines, F.col("l_orderkey"), F.col("l_returnflag"), min_per_stratum=1)
-    return split.with_side(lines, found, ["l_orderkey", "l_linenumber"])
+    return split.with_side(lines, found, keys)
 
 
 @query("split_partition_check")
