@@ -301,6 +301,16 @@ ORACLE["bin_quantile"] = "with s as (select list_sort(list(value)) as a, count(v
 ORACLE["bin_uniform"] = "with s as (select min(value) as a, max(value) as b from events) " + " union all ".join(
     f"select {i} as i, {r(f'a + (b - a) * {i} / 7.0::double')} as edge from s" for i in range(8)
 )
+ORACLE["bin_kmeans"] = f"""with recursive v as (select cast(value as double) as x from events where value is not null),
+ ends as (select min(x) as a, max(x) as b from v),
+ it(i, c, done) as (select 0, [a + (b - a) * (j + 0.5) / 5 for j in range(5)], false from ends
+  union all
+  select any_value(i) + 1, list_sort(list(coalesce(m, c[k]) order by k)), bool_and(abs(coalesce(m, c[k]) - c[k]) <= 1e-12 * abs(c[k])) from (
+   select it.i, it.c, ks.k, (select avg(x) from v where (ks.k = 1 or x >= (it.c[ks.k - 1] + it.c[ks.k]) / 2)
+    and (ks.k = 5 or x < (it.c[ks.k] + it.c[ks.k + 1]) / 2)) as m from it, range(1, 6) ks(k) where not it.done and it.i < 300) r
+  having count(*) > 0),
+ f as (select c from it order by i desc limit 1)
+select j as i, {r('case j when 0 then a when 5 then b else (c[j] + c[j + 1]) / 2 end')} as edge from f, ends, (select cast(range as integer) as j from range(6))"""
 ORACLE["bin_apply"] = """select l_orderkey, l_linenumber, cast((l_quantity >= 10)::int + (l_quantity >= 20)::int + (l_quantity >= 30)::int as double) as bin from lineitem"""
 ORACLE["bin_encode"] = """select event_id, cast(value < 10 as double) as bin_0, cast(value >= 10 and value < 50 as double) as bin_1,
  cast(value >= 50 as double) as bin_2 from events"""

@@ -18,6 +18,7 @@ from holdfast import config
 from holdfast.errors import DomainError, UnsafeEncoderError
 from holdfast.functions import expressions as fx
 from holdfast.operators.clusters import fit_kmeans
+from holdfast.operators.line import fit_line_kmeans
 from holdfast.operators.stats import Agg, FitSteps, Levels, Quantiles, Spread, in_step, sql_double
 
 Columns = dict[str, Column]
@@ -463,7 +464,7 @@ class Bins(Step):
         edges = {c: [v["a"], v["b"]] for c, v in found.items() if v["a"] == v["b"]}
         wide = {c: [float(e) for e in np.linspace(v["a"], v["b"], n + 1)] for c, v in found.items() if c not in edges}
         if strategy == "kmeans" and wide:
-            fits = {c: _fit_line_kmeans(columns[c], keep, wide[c], self.options["max_iter"]) for c in wide}
+            fits = {c: fit_line_kmeans(keep(columns[c]), wide[c], self.options["max_iter"]) for c in wide}
             wide = yield from in_step(fits)
             wide = {c: _distinct_edges(e) for c, e in wide.items()}
         return {"edges": {**edges, **wide}}
@@ -493,28 +494,6 @@ def _distinct_edges(edges: list[float]) -> list[float]:
     return [e for i, e in enumerate(edges) if i == 0 or e - edges[i - 1] > 1e-8]
 
 
-def _fit_line_kmeans(x: Column, keep: Keep, edges: list[float], max_iter: int) -> FitSteps:
-    """One-dimensional k-means from the centres of equal-width bins; edges are the midpoints."""
-    x = keep(x)
-    centers = [(a + b) / 2 for a, b in zip(edges, edges[1:])]
-    for _ in range(max_iter):
-        cuts = [(a + b) / 2 for a, b in zip(centers, centers[1:])]
-        asked = {}
-        for i in range(len(centers)):
-            inside = x
-            if i > 0:
-                inside = F.when(x >= cuts[i - 1], inside)
-            if i < len(cuts):
-                inside = F.when(x < cuts[i], inside)
-            asked[f"m{i}"] = F.avg(inside)
-        found = yield {"c": Agg(asked)}
-        moved = sorted(found["c"][f"m{i}"] if found["c"][f"m{i}"] is not None else c for i, c in enumerate(centers))
-        if moved == centers:
-            break
-        centers = moved
-    return [edges[0], *[(a + b) / 2 for a, b in zip(centers, centers[1:])], edges[-1]]
-
-
 # --- geography -------------------------------------------------------------------------
 
 

@@ -176,6 +176,39 @@ def test_line_kmeans_edges_are_midpoints_of_means(frame):
     assert state["edges"]["x"] == [0.0, 5.5, 11.0]
 
 
+def lloyd(values, k, rounds=300):
+    """The rounds over all rows."""
+    edges = np.linspace(min(values), max(values), k + 1)
+    x, now = np.sort(np.array(values)), (edges[:-1] + edges[1:]) / 2
+    for _ in range(rounds):
+        at = np.searchsorted((now[:-1] + now[1:]) / 2, x, "right")
+        moved = np.sort([x[at == i].mean() if (at == i).any() else now[i] for i in range(k)])
+        if np.abs(moved - now).max() < 1e-12 * np.abs(x).max():
+            break
+        now = moved
+    return [edges[0], *((now[:-1] + now[1:]) / 2), edges[-1]]
+
+
+@pytest.mark.parametrize("shape", ["even", "hot", "outlier", "heavy"])
+def test_line_kmeans_on_few_cells_is_that_of_the_rows(frame, monkeypatch, shape):
+    from holdfast.operators import line
+
+    rng = np.random.default_rng(5)
+    values = {
+        "even": rng.normal(0, 1, 3000), "hot": np.where(rng.random(3000) < 0.4, 0.25, rng.random(3000)),
+        "outlier": np.append(rng.random(2000), 1e9), "heavy": np.exp(rng.normal(0, 3, 3000)),
+    }[shape].tolist()
+    monkeypatch.setattr(line, "ROOT_CELLS", 16)
+    monkeypatch.setattr(line, "FINE_CELLS", 8)
+    asked = []
+    counted = line._counted
+    monkeypatch.setattr(line, "_counted", lambda *given: asked.append(1) or counted(*given))
+    df = frame([(v,) for v in [*values, None]], "x double")
+    state = fit_one(df, steps.Bins(n_bins=5, strategy="kmeans").fit({"x": F.col("x")}, keep_all))
+    want = steps._distinct_edges(lloyd(values, 5))
+    assert np.allclose(state["edges"]["x"], want, rtol=1e-9) and len(asked) < 40
+
+
 # --- clusters -------------------------------------------------------------------------
 
 
