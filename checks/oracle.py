@@ -460,7 +460,8 @@ ORACLE["profile_all"] = h("""select * from (values (0, 'censoring', 1), (1, 'tar
  (7, 'band_shares', 5), (8, 'coverage', (select count(distinct ocean_proximity) from h))) v(position, profile, n_rows)""")
 _HALF = "sum(cast('0x' || substr(md5(t), {at}, 13) as ubigint))"
 ORACLE["table_digest"] = f"""select count(*) as n, concat(cast({_HALF.format(at=1)} as varchar), '-', cast({_HALF.format(at=14)} as varchar)) as digest
- from (select concat_ws('|', cast(o_orderkey as varchar), cast(o_custkey as varchar), o_orderstatus, o_orderpriority) as t from orders)"""
+ from (select concat_ws('|', cast(o_orderkey as varchar), cast(o_custkey as varchar), o_orderstatus,
+ cast(cast(round(o_totalprice * 100) as bigint) as varchar), cast(cast(floor(epoch(o_orderdate)) as bigint) as varchar), o_orderpriority) as t from orders)"""
 
 # --- split, folds, samples ------------------------------------------------------------------------------------------
 

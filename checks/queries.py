@@ -271,7 +271,7 @@ def category_mask(spark, d):
 
 @query("null_flag")
 def null_flag(spark, d):
-    return labelled_documents(spark, d).select("doc_id", F.col("quality").isNull().alias("quality_missing"))
+    return labelled_documents(spark, d).select("doc_id", fx.null_flag(F.col("quality")).alias("quality_missing"))
 
 
 @query("ordinal_declared")
@@ -290,7 +290,7 @@ def select_whitelist(spark, d):
 
 @query("drop_target")
 def drop_target(spark, d):
-    return housing(spark, d).drop(Y)
+    return contract.HOUSING.features_and_target(housing(spark, d))[0]
 
 
 @query("fan_out")
@@ -321,7 +321,7 @@ def derive_leaky_column(spark, d):
 
 @query("noise_columns")
 def noise_columns(spark, d):
-    return leak.noise_columns(housing(spark, d).select("id"), KEY, 20)
+    return leak.noise_columns(housing(spark, d).select("id"), KEY)
 
 
 # --- fitted numeric statistics ------------------------------------------------------------------
@@ -667,7 +667,9 @@ def profile_all(spark, d):
 
 @query("table_digest")
 def table_digest(spark, d):
-    return profile.table_digest(table(spark, d, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
+    """Every column; the price in cents and the date in whole seconds, which all engines print alike."""
+    cents, seconds = F.round(F.col("o_totalprice") * 100).cast("bigint"), F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
+    return profile.table_digest(table(spark, d, "orders").withColumns({"o_totalprice": cents, "o_orderdate": seconds}))
 
 
 # --- split, folds, samples -----------------------------------------------------------------------------------
@@ -746,7 +748,7 @@ def sample_n(spark, d):
 @query("top_k")
 def top_k(spark, d):
     c = table(spark, d, "customer").select("c_custkey", "c_acctbal")
-    return rounded(c.orderBy("c_acctbal", "c_custkey").limit(5))
+    return rounded(profile.top_k(c, 5, "c_acctbal", ["c_custkey"]))
 
 
 @query("sort_tables")
@@ -769,17 +771,14 @@ def hconcat(spark, d):
 
 @query("align_labels")
 def align_labels(spark, d):
-    piece = split.sample_n(housing(spark, d).drop(Y), 500, KEY)
-    return housing(spark, d).select("id", Y).join(piece.select("id"), "id", "left_semi")
+    features, target = contract.HOUSING.features_and_target(housing(spark, d), KEY)
+    return split.align_labels(target, split.sample_n(features, 500, KEY), KEY)
 
 
 @query("align_counts")
 def align_counts(spark, d):
     p = table(spark, d, "part")
-    small = p.where("p_size <= 10").groupBy("p_brand").agg(F.count(F.lit(1)).alias("small"))
-    dear = p.where("p_retailprice > 2080").groupBy("p_brand").agg(F.count(F.lit(1)).alias("dear"))
-    both = small.join(dear, "p_brand", "full")
-    return both.select("p_brand", F.coalesce("small", F.lit(0)).alias("small"), F.coalesce("dear", F.lit(0)).alias("dear"))
+    return profile.align_counts({"small": p.where("p_size <= 10"), "dear": p.where("p_retailprice > 2080")}, ["p_brand"])
 
 
 @query("apply_stats")

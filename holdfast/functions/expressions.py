@@ -101,6 +101,11 @@ def censored_mask(y: Column, cap: float = config.TARGET_CAP, floor: float = conf
     return (y >= cap) | (y <= floor)
 
 
+def null_flag(x: Column, *, nan: bool = False) -> Column:
+    """True where a value is missing; with ``nan`` also where a number is none."""
+    return x.isNull() | F.isnan(x) if nan else x.isNull()
+
+
 def category_mask(level: Column, value: str = "INLAND") -> Column:
     """True at the level; null is not the level."""
     return F.coalesce(level == value, F.lit(False))

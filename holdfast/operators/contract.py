@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,12 @@ class Contract:
     def expected_columns(self, *, require_target: bool = True) -> list[str]:
         return [c for c in self.schema.fieldNames() if require_target or c != self.target]
 
+    def features_and_target(self, df: DataFrame, keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+        """The table without its target, and keys and target alone: two narrow projections of one scan."""
+        if self.target not in df.columns:
+            raise MissingColumnsError(f"Missing required column(s) {[self.target]}; got {df.columns}")
+        return df.drop(self.target), df.select(*keys, self.target)
+
     # -- schema checks: no job ------------------------------------------------
 
     def check_missing(self, df: DataFrame, *, require_target: bool = True) -> None:

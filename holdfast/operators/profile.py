@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -133,6 +134,20 @@ def row_counts(sided: DataFrame, columns: int | None = None) -> DataFrame:
     )
 
 
+def top_k(df: DataFrame, k: int, by: str, keys: Sequence[str], *, largest: bool = False) -> DataFrame:
+    """The k rows with the smallest (or largest) value, ties by key, nulls never: each task keeps k rows, nothing is sorted whole."""
+    order = F.desc(by) if largest else F.asc(by)
+    return df.where(F.col(by).isNotNull()).orderBy(order, *keys).limit(k)
+
+
+def align_counts(tables: dict[str, DataFrame], by: Sequence[str]) -> DataFrame:
+    """Rows of each table per key side by side, absent = 0: one aggregation over all tables, no join."""
+    marked = [
+        table.select(*by, *[F.lit(int(name == other)).alias(other) for other in tables]) for name, table in tables.items()
+    ]
+    return reduce(DataFrame.unionAll, marked).groupBy(*by).agg(*[F.sum(name).cast("bigint").alias(name) for name in tables])
+
+
 def table_digest(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Content digest that ignores row order and partitioning but not duplicates.
 

@@ -252,6 +252,11 @@ def with_fold(
     return df.withColumn(name, fold)
 
 
+def align_labels(labels: DataFrame, piece: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The labels of the rows in ``piece``, once each, by key."""
+    return labels.join(piece.select(*keys), list(keys), "left_semi")
+
+
 def sample_n(df: DataFrame, n: int, keys: Sequence[str], *, seed=config.RANDOM_SEED) -> DataFrame:
     """Exactly n rows without replacement (all rows when there are fewer): a filter on the hash."""
     total = df.count()
