@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.common import folded_words, text_of
+from holdfast.llm.common import folded_words, free_name, text_of
 
 WINDOW = 10
 #: Distinct windows that are broadcast at a time.
@@ -130,6 +130,7 @@ def contamination(
     found = windows(items, item=item, text=item_text, window=window)
     out = docs.withColumn(mark, F.lit(None).cast(_MARK))
     schema = T.StructType([*docs.schema.fields, T.StructField(mark, _MARK)])
+    folded = free_name(out, "folded")
     block: list[tuple[list[bytes], list[str]]] = []
 
     def through(df: DataFrame, block: list[tuple[list[bytes], list[str]]]) -> DataFrame:
@@ -150,7 +151,7 @@ def contamination(
                 kept = [batch.column(i) for i in range(batch.num_columns - 2)]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(marks, _MARK_ARROW)], schema.fieldNames())
 
-        return df.select(*[F.col(f"`{c}`") for c in docs.columns], text_of(text).alias("_folded"), F.col(mark)).mapInArrow(run, schema)
+        return df.select(*[F.col(f"`{c}`") for c in docs.columns], text_of(text).alias(folded), F.col(mark)).mapInArrow(run, schema)
 
     for row in found.toLocalIterator():
         block.append(([bytes(w) for w in row["words"]], list(row["items"])))
@@ -161,5 +162,6 @@ def contamination(
 
 def clean_documents(docs: DataFrame, items: DataFrame, *, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` without a hit, all columns as they were."""
-    marked = contamination(docs, items, text=text, item=item, item_text=item_text, mark="_contamination")
-    return marked.filter(F.size("_contamination.spans") == 0).drop("_contamination")
+    mark = free_name(docs, "contamination")
+    marked = contamination(docs, items, text=text, item=item, item_text=item_text, mark=mark)
+    return marked.filter(F.size(F.col(mark)["spans"]) == 0).drop(mark)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.common import cut, folded_words, text_of
+from holdfast.llm.common import cut, folded_words, free_name, text_of
 
 #: Labelled documents that train the chain, folds, words of a category's model.
 SAMPLE, FOLDS, WORDS = 20_000, 4, 256
@@ -224,7 +224,7 @@ def classify(
                 told.append({c.name: None if m.bias is None else float(1 / (1 + np.exp(-o))) for c, m, o in zip(categories, chain, odds, strict=True)})
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(last)], pa.array(told, arrow)], schema.fieldNames())
 
-    return docs.select(*[F.col(f"`{c}`") for c in docs.columns], text_of(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns], text_of(text).alias(free_name(docs, "text"))).mapInArrow(run, schema)
 
 
 def is_toxic(into: str = "toxicity", category: str = "toxic", threshold: float = THRESHOLD) -> Column:
@@ -233,5 +233,6 @@ def is_toxic(into: str = "toxicity", category: str = "toxic", threshold: float =
 
 def clean_documents(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that the chain doesn't call toxic, all columns as they were."""
-    told = classify(docs, train(docs, labels, key=key, text=text), text=text, into="_toxicity")
-    return told.filter(~is_toxic("_toxicity")).drop("_toxicity")
+    into = free_name(docs, "toxicity")
+    told = classify(docs, train(docs, labels, key=key, text=text), text=text, into=into)
+    return told.filter(~is_toxic(into)).drop(into)

@@ -86,3 +86,15 @@ def test_query_against_brute_force(spark, sf):
         words, hit, names = brute(docs[i], items)
         sha = hashlib.sha256(",".join(names).encode()).hexdigest()
         assert (rows[i].n_words, rows[i].n_hit, rows[i].n_items, rows[i].items_sha256, rows[i].contaminated) == (words, hit, len(names), sha, hit > 0)
+
+
+def test_columns_named_as_those_used_inside(spark):
+    names = ["_folded", "folded", "contamination", "_contamination", "words", "items", "spans"]
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "x y"), (3, None)], "doc_id long, text string")
+    clashing = docs.selectExpr("*", *[f"doc_id as `{n}`" for n in names])
+    items = spark.createDataFrame([(7, "b c", 1)], "item_id long, text string, words long")
+    got = decontaminate.clean_documents(clashing, items)
+    assert got.columns == clashing.columns
+    assert sorted((r.doc_id, *(r[n] for n in names)) for r in got.collect()) == [(i, *[i] * len(names)) for i in (2, 3)]
+    marks = [r.mark for r in decontaminate.contamination(clashing, items, mark="mark").collect()]
+    assert [(m.n_words, [tuple(s) for s in m.spans], m.items) for m in marks] == [(4, [(1, 3)], ["7"]), (2, [], []), (0, [], [])]

@@ -98,3 +98,14 @@ def test_query_against_labels(spark, sf):
     told = [(r.toxic, toxic[r.doc_id]) for r in rows if r.doc_id in toxic]
     assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count()
     assert np.mean([a == (b == 1) for a, b in told]) > 0.85
+
+
+def test_columns_named_as_those_used_inside(spark, tables):
+    docs, labels = tables
+    names = ["_text", "__text", "toxicity", "_toxicity", "TOXIC", "row", "key", "words", "before"]
+    clashing = docs.selectExpr("*", *[f"doc_id as `{n}`" for n in names])
+    got = toxicity.clean_documents(clashing, labels)
+    assert got.columns == clashing.columns
+    want = {r.doc_id for r in toxicity.clean_documents(docs, labels).select("doc_id").collect()}
+    rows = got.collect()
+    assert {r.doc_id for r in rows} == want and all(r[n] == r.doc_id for r in rows for n in names)
