@@ -36,7 +36,7 @@ def chain_of(spark, monkeypatch):
     return run
 
 
-@pytest.mark.parametrize("name", ["hgb", "lgbm"])
+@pytest.mark.parametrize("name", ["hgb", "lgbm", "xgb"])
 def test_boosting_is_fitted_as_chosen(chain_of, name):
     branches, learner = chain_of(f"model_{name}")
     assert settings(learner) == settings(models.build(name, **models.CHOSEN[name]))
