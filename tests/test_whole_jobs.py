@@ -41,3 +41,12 @@ def test_boosting_is_fitted_as_chosen(chain_of, name):
     branches, learner = chain_of(f"model_{name}")
     assert settings(learner) == settings(models.build(name, **models.CHOSEN[name]))
     assert settings(branches) == settings(FeatureBranches(**models.CHOSEN_FEATURES[name]))
+
+
+def test_the_stack_has_its_members_as_chosen_and_all_folds(chain_of):
+    branches, stack = chain_of("stack")
+    whole = models.stack(["id"])
+    assert list(stack.members) == list(models.MEMBERS) and settings(stack) == settings(whole)
+    for name, member in stack.members.items():
+        assert settings(member) == settings(whole.members[name])
+    assert settings(branches) == settings(FeatureBranches(**models.CHOSEN_FEATURES["stack"]))
