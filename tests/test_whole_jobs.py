@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline
 from checks import queries
 from holdfast.operators import split
 from holdfast.operators.branches import FeatureBranches
-from holdfast.plans import models
+from holdfast.plans import final, models
 
 
 class Fitted(Exception):
@@ -50,3 +50,23 @@ def test_the_stack_has_its_members_as_chosen_and_all_folds(chain_of):
     for name, member in stack.members.items():
         assert settings(member) == settings(whole.members[name])
     assert settings(branches) == settings(FeatureBranches(**models.CHOSEN_FEATURES["stack"]))
+
+
+def test_the_final_evaluation_changes_no_arm_and_explains_the_best(spark, frame, monkeypatch):
+    table = frame([(1, 2.0)], "id int, x double")
+    arms, explained = [], []
+
+    def evaluate(train, test, keys, *, overrides=None):
+        arms.append(overrides or {})
+        return {"ridge": "the model"}, frame([("ridge", "all", 1.0, 1.0, 1.0, 1)], "arm string, segment string, rmse double, mae double, r2 double, n bigint"), {}
+
+    def explain(model, rows, keys, *, seed):
+        explained.append((model, rows.count()))
+        return table, table
+
+    monkeypatch.setattr(queries, "held_housing", lambda *_: table)
+    monkeypatch.setattr(final, "split_train_test", lambda df, keys, **_: (df, df))
+    monkeypatch.setattr(final, "evaluate_arms", evaluate)
+    monkeypatch.setattr(final, "explain", explain)
+    assert queries.QUERIES["final_eval"](spark, "").count() == 1
+    assert arms == [{}] and explained == [("the model", 1)]
