@@ -6,7 +6,8 @@ from pyspark.ml import Pipeline
 from checks import queries
 from holdfast.operators import split
 from holdfast.operators.branches import FeatureBranches
-from holdfast.plans import final, models
+from holdfast.plans import final, leak, models
+from holdfast.plans.estimators import as_vector
 
 
 class Fitted(Exception):
@@ -70,3 +71,28 @@ def test_the_final_evaluation_changes_no_arm_and_explains_the_best(spark, frame,
     monkeypatch.setattr(final, "explain", explain)
     assert queries.QUERIES["final_eval"](spark, "").count() == 1
     assert arms == [{}] and explained == [("the model", 1)]
+
+
+def test_selection_is_from_200_noise_columns_in_five_folds(spark, frame, monkeypatch):
+    seen = []
+
+    def stop(wide, k, n_splits):
+        seen.append((len(wide.first()["features"]), k, n_splits, sorted(r["fold"] for r in wide.select("fold").distinct().collect())))
+        return 2.0, 1.0
+
+    class Branches:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, df):
+            return self
+
+        def transform(self, df):
+            return df.withColumn("branches", as_vector("x"))
+
+    table = frame([(i, float(i), 1.0) for i in range(50)], f"id int, x double, {leak.LABEL} double")
+    monkeypatch.setattr(queries, "held_housing", lambda *_: table)
+    monkeypatch.setattr(leak, "FeatureBranches", Branches)
+    monkeypatch.setattr(leak, "_selected_rmse", stop)
+    assert queries.QUERIES["leak_selection"](spark, "").first()["leak"] == 1.0
+    assert seen == [(201, 10, 5, [0, 1, 2, 3, 4])]
