@@ -99,3 +99,17 @@ def test_search_over_penalties_needs_no_further_passes(house):
     one = next(r for r in found.results if r["params"] == {"model__alpha": 10.0, "preprocess__geo__gamma": 1.0})
     alone = cv.cross_validate(RidgeRegressor(labelCol=Y, alpha=10.0), house.where("id % 3 = 0"), ["id"], n_splits=3, preprocess={"nClusters": 3, "gamma": 1.0})
     assert len(found.results) == 10 and np.isclose(one["rmse"], alone["rmse"]) and np.isclose(one["mae_std"], alone["mae_std"])
+
+
+def test_folds_that_learned_different_numbers_of_features(frame):
+    rng = np.random.default_rng(5)
+    rows = [(i % 3, *map(float, rng.normal(0, 1, 3)), float(rng.normal(0, 1))) for i in range(60)]
+    df = frame(rows, "fold int, a double, b double, c double, y double").repartition(3)
+    wide, narrow = F.array("a", "b", "c"), F.array("a", "c")
+    masks = [F.col("fold") != i for i in range(3)]
+    together = moments.target_moments(df, [wide, narrow, wide], F.col("y"), masks)
+    for array, mask, found in zip([wide, narrow, wide], masks, together):
+        alone = moments.target_moments(df, [array], F.col("y"), [mask])[0]
+        assert found.n == alone.n and np.allclose(found.xx, alone.xx) and np.allclose(found.xy, alone.xy) and np.allclose(found.x_mean, alone.x_mean)
+    scores = ridge_folds(RidgeRegressor(labelCol="y"), [1.0], df, [wide, narrow, wide], 3, label="y")[0]
+    assert [len(s["model"].getOrDefault(s["model"].weights)) for s in scores] == [3, 2, 3]

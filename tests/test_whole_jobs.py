@@ -96,3 +96,17 @@ def test_selection_is_from_200_noise_columns_in_five_folds(spark, frame, monkeyp
     monkeypatch.setattr(leak, "_selected_rmse", stop)
     assert queries.QUERIES["leak_selection"](spark, "").first()["leak"] == 1.0
     assert seen == [(201, 10, 5, [0, 1, 2, 3, 4])]
+
+
+def test_the_leak_is_measured_at_all_sizes_in_five_folds(spark, monkeypatch):
+    seen = []
+
+    def fold(df, keys, *, n_splits=5, **_):
+        seen.append((df, n_splits))
+        return {"n": 1, "honest_rmse": 2.0, "leaked_rmse": 1.0, "leak": 1.0}
+
+    monkeypatch.setattr(queries, "held_housing", lambda *_: "all")
+    monkeypatch.setattr(leak, "sample_n", lambda df, n, keys, **_: n)
+    monkeypatch.setattr(leak, "leak_fold", fold)
+    assert queries.QUERIES["leak_by_size"](spark, "").count() == 4
+    assert seen == [(300, 5), (1000, 5), (5000, 5), ("all", 5)]
