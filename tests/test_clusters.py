@@ -72,6 +72,18 @@ def test_as_good_as_the_best_of_ten_starts_on_all_rows(frame):
         assert inertia(rows, fitted(points(frame, rows), tol=0.0)) <= 1.0001 * best_of_row_starts(rows, 10, 10)
 
 
+def test_every_start_moves_over_the_rows_until_it_rests(frame, monkeypatch):
+    moved = []
+    monkeypatch.setattr(clusters, "_inertia", lambda inputs, d, k, starts, judge=clusters._inertia: moved.append([*starts]) or judge(inputs, d, k, starts))
+    rows = blobs(400, 6, seed=4)
+    found = fitted(points(frame, rows), tol=0.0)
+    (ends,) = moved
+    assert len(ends) == 10
+    for c in ends:
+        assert np.allclose(clusters._settled(rows[:, :2], rows[:, 2], c), c, atol=1e-9)
+    assert inertia(rows, found) == min(inertia(rows, c) for c in ends)
+
+
 def test_one_far_outlier_leaves_ten_different_centres(frame):
     rows = [*blobs(800), (1e7, -1e7, 1.0)]
     found = fitted(points(frame, rows))
