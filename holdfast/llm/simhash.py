@@ -13,7 +13,8 @@ chain must start with two equal segments. That finds a link with a probability t
 
 Scale. Equal texts fall together first, so a group of copies is one node. Keys are counted before rows meet. A key
 with more than ``block`` rows is cut into blocks by hash, and every two blocks meet in a task of their own: memory is
-bounded, nothing is dropped. A task returns a spanning forest of the links it finds, never all pairs; components are
+bounded, nothing is dropped. Joins are asked for by merge: Spark sizes what comes of keys and counts by the file of fingerprints and
+would send it to the driver. A task returns a spanning forest of the links it finds, never all pairs; components are
 then found by alternating star operations whose state is cut by checkpoints.
 
 Null and empty texts have fingerprint zero and link like any other. A text of fewer words than a shingle is one
@@ -210,11 +211,16 @@ def forest(count: int, near: Callable[[int, np.ndarray], np.ndarray]) -> list[tu
     return edges
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is never broadcast, however small Spark believes it to be: it grows with the corpus."""
+    return df.hint("merge")
+
+
 def links(fps: DataFrame, ring: Ring, *, block: int = BLOCK) -> DataFrame:
     """a, b (binary): a spanning forest, per meeting of blocks, of the links between the distinct fingerprints ``fps``."""
     rows = chain_keys(fps, ring)
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("probe")).alias("own")).filter("n > 1 and own > 0")
-    met = rows.join(sizes.select("key", "n"), "key").select("key", "fp", "n")
+    met = rows.join(merged(sizes.select("key", "n")), "key").select("key", "fp", "n")
     dealt = units(met, "key", "fp", F.ceil(F.col("n") / block))
     words, bounds, most = ring.words64, _bounds(ring), ring.max_distance
     masks = []
@@ -272,9 +278,9 @@ def components(edges: DataFrame) -> DataFrame:
     while before[0]:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
-        large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a <> b").distinct()
+        large = both.join(merged(low), "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("low"))
-        joined = large.join(least, "a")
+        joined = large.join(merged(least), "a")
         small = joined.select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(joined.select("a", F.col("low").alias("b")))
         pairs = cut(small.filter("a <> b").distinct())
         now = mark(pairs)
@@ -288,7 +294,7 @@ def components(edges: DataFrame) -> DataFrame:
 def linked(nodes: DataFrame, ring: Ring) -> DataFrame:
     """fp, root (the smallest fingerprint of its component), least of the distinct fingerprints ``nodes`` (fp, least)."""
     roots = components(links(nodes, ring))
-    return nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    return nodes.join(merged(roots), nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
 
 
 def near_duplicates(docs: DataFrame, ring: Ring = Ring(), *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -296,8 +302,8 @@ def near_duplicates(docs: DataFrame, ring: Ring = Ring(), *, key: str = "doc_id"
     marked = written(fingerprints(docs.select(F.col(key).alias("key"), text_of(text).alias("text")), ring), "fingerprints")
     of = linked(marked.groupBy("fp").agg(F.min("key").alias("least")), ring)
     groups = of.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = of.join(groups, "root").select("fp", "component_id")
-    return marked.join(ids, "fp").select(F.col("key").alias(key), F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+    ids = of.join(merged(groups), "root").select("fp", "component_id")
+    return marked.join(merged(ids), "fp").select(F.col("key").alias(key), F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, ring: Ring = Ring(), *, key: str = "doc_id", text: str = "text") -> DataFrame:

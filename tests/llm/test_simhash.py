@@ -137,3 +137,19 @@ def test_fingerprint_bits_are_majorities():
     bits = [(hashes >> np.uint64(63 - b) & np.uint64(1)).sum() * 2 > len(hashes) for b in range(64)]
     assert simhash.fingerprint(hashes) == np.packbits(bits).tobytes()
     assert simhash.fingerprint(hashes[:0], 4) == bytes(32)
+
+
+def test_no_table_that_grows_is_broadcast(spark, plan, tmp_path, monkeypatch):
+    rng = random.Random(7)
+    made = spark.createDataFrame([(i, rng.randbytes(8)) for i in range(200)], "key long, fp binary")
+    made.write.parquet(str(tmp_path / "fps"))
+    marked = spark.read.parquet(str(tmp_path / "fps"))
+    assert "BroadcastHashJoin" not in plan(simhash.links(marked.select("fp"), simhash.Ring()))
+    rounds = []
+    monkeypatch.setattr(simhash, "cut", lambda df: rounds.append(plan(df)) or df.localCheckpoint())
+    monkeypatch.setattr(simhash, "written", lambda df, name: marked)
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    assert "BroadcastHashJoin" not in plan(simhash.near_duplicates(docs))
+    pairs = spark.createDataFrame([(b"b", b"a"), (b"c", b"b")], "a binary, b binary")
+    simhash.components(pairs).collect()
+    assert len(rounds) > 2 and not any("BroadcastHashJoin" in text for text in rounds)
