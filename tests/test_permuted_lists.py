@@ -55,3 +55,19 @@ def test_numbers_are_those_of_spark(spark):
 def test_hardly_any_rows(spark, n):
     df = spark.createDataFrame([(i, 2.5) for i in range(n)], "id long, x double")
     assert [r["x"] for r in interpret.permuted(df, ["x"], ["id"], n_repeats=1).collect()] == [2.5] * n
+
+
+def test_no_list_is_held_and_columns_go_one_at_a_time(spark, house, monkeypatch):
+    asked, made = [], interpret.permuted
+
+    def recorded(df, columns, keys, **options):
+        asked.append((columns, spark.conf.get(interpret._CLEANUP)))
+        return made(df, columns, keys, **options)
+
+    monkeypatch.setattr(interpret, "permuted", recorded)
+    before, held = spark.conf.get(interpret._CLEANUP, None), spark.sparkContext._jsc.getPersistentRDDs().size()
+    table = interpret.importance_table(interpret.LinearScorer({"median_income": 1.0}), house, ["id"], columns=["median_income", "ocean_proximity"], n_repeats=2)
+    assert {r["column"] for r in table.collect()} == {"median_income", "ocean_proximity"}
+    assert asked == [(["median_income"], "true"), (["ocean_proximity"], "true")]
+    assert spark.conf.get(interpret._CLEANUP, None) == before
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
